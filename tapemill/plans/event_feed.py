@@ -77,5 +77,6 @@ def read_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same trades as a stream. The file source wants a folder or a pattern, not one file's path."""
     schema = spark.read.parquet(events_path(sf_dir)).schema
-    return event_trades(spark.readStream.schema(schema).parquet(events_path(sf_dir)))
+    return event_trades(spark.readStream.schema(schema).parquet(f"{events_path(sf_dir)}*"))

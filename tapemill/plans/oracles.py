@@ -14,7 +14,7 @@ _MEASURES = """
 
 _TRADE = f"""trade AS (
   SELECT event_id,
-         {ORIGIN_MS} + (epoch_ms(ts) - {ORIGIN_MS}) // {COMPRESSION} AS ts,
+         {ORIGIN_MS} + (epoch_us(ts) // 1000 - {ORIGIN_MS}) // {COMPRESSION} AS ts,
          event_type AS symbol, value AS price,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS qty,
          CASE WHEN event_id % 2 = 0 THEN 'sell' ELSE 'buy' END AS side
