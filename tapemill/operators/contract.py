@@ -1,5 +1,8 @@
 """The table contract: column types, no nulls, one row per key."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +11,9 @@ from tapemill.functions.temporal import Now
 from tapemill.schemas import BAR_SCHEMA, KEYS
 
 
+VIOLATION = "row_cnt > 1 OR null_row_cnt > 0"
+
+
 class ContractError(ValueError):
     """Rows that a bar table must not hold."""
 
@@ -19,15 +25,17 @@ def conform_bars(bars: DataFrame, now: Now = None) -> DataFrame:
     return bars.select([F.col(field.name).cast(field.dataType).alias(field.name) for field in BAR_SCHEMA])
 
 
-def contract_violations(bars: DataFrame) -> DataFrame:
-    """Keys that occur more than once or come with a null in any column."""
-    has_null = F.lit(False)
-    for name in BAR_SCHEMA.fieldNames():
-        has_null = has_null | F.col(name).isNull()
-    per_key = bars.groupBy(*KEYS).agg(
+def key_counts(bars: DataFrame, *extra: str) -> DataFrame:
+    """Per key (and `extra` columns): its rows, and those of them with a null in any column."""
+    has_null = reduce(or_, [F.col(name).isNull() for name in BAR_SCHEMA.fieldNames()])
+    return bars.groupBy(*extra, *KEYS).agg(
         F.count(F.lit(1)).alias("row_cnt"), F.count_if(has_null).alias("null_row_cnt")
     )
-    return per_key.where("row_cnt > 1 OR null_row_cnt > 0")
+
+
+def contract_violations(bars: DataFrame) -> DataFrame:
+    """Keys that occur more than once or come with a null in any column."""
+    return key_counts(bars).where(VIOLATION)
 
 
 def check_contract(bars: DataFrame) -> None:

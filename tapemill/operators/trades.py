@@ -1,7 +1,11 @@
 """From exchange messages to trades: normalise, reject, encode for the topic, parse back."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tapemill.functions import event_time, usable_price, usable_qty
 from tapemill.schemas import RAW_SCHEMA, TRADE_SCHEMA, VOLUME_TYPE
@@ -14,14 +18,28 @@ def _number(text: Column) -> Column:
     return F.when(text.try_cast(VOLUME_TYPE).isNotNull(), text.try_cast("double"))
 
 
-def _any_present(*columns: str) -> Column:
-    return F.coalesce(*[F.col(name).cast("string") for name in columns]).isNotNull()
+def _parsed(text: Column, schema: StructType) -> Column:
+    """The fields of a JSON text as columns, parsed once per record.
+
+    A filter on a field of a plain `from_json` column is pushed below it, and the parse then repeats for
+    every mention of a field in the filter. Nothing is pushed below a generator.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
+
+
+def _all_null(*columns: str) -> Column:
+    return reduce(and_, [F.col(name).isNull() for name in columns])
+
+
+def _usable() -> Column:
+    price, qty = usable_price(F.col("price")), usable_qty(F.col("qty"))
+    return F.col("ts").isNotNull() & F.col("symbol").isNotNull() & price & qty
 
 
 def _reject_reason() -> Column:
     """NULL for a usable trade, else the first thing wrong with it."""
     return (
-        F.when(~_any_present("ts", "symbol", "price", "qty"), "unreadable message")
+        F.when(_all_null("ts", "symbol", "price", "qty"), "unreadable message")
         .when(F.col("ts").isNull(), "no event time")
         .when(~usable_price(F.col("price")), "bad price")
         .when(~usable_qty(F.col("qty")), "bad quantity")
@@ -29,36 +47,40 @@ def _reject_reason() -> Column:
     )
 
 
-def classify_messages(messages: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Every message with its trade columns and, where it is unusable, a `reason`.
-
-    `symbol` overrides the message's own symbol. Writing both the trades and the rejects of one feed from
-    this frame costs a single parse.
-    """
+def _from_messages(messages: DataFrame, symbol: str | None) -> DataFrame:
     message = messages.select(F.col("value").cast("string").alias("value"))
-    parsed = message.select("value", F.from_json("value", RAW_SCHEMA).alias("raw"))
-    readable = _any_present(*[f"raw.{name}" for name in RAW_SCHEMA.fieldNames()])
-    maker = F.coalesce("raw.m", F.lit(False))
-    trades = parsed.select(
+    parsed = message.select("value", _parsed(F.col("value"), RAW_SCHEMA))
+    constant = F.when(~_all_null(*RAW_SCHEMA.fieldNames()), F.lit(symbol))
+    return parsed.select(
         "value",
         # T = 0 counts as missing, like T itself being absent.
-        F.coalesce(F.nullif("raw.T", F.lit(0)), "raw.E").alias("ts"),
-        (F.when(readable, F.lit(symbol)) if symbol is not None else F.col("raw.s")).alias("symbol"),
-        _number(F.col("raw.p")).alias("price"),
-        _number(F.col("raw.q")).alias("qty"),
-        F.when(maker, "sell").otherwise("buy").alias("side"),
+        F.coalesce(F.nullif("T", F.lit(0)), "E").alias("ts"),
+        (F.col("s") if symbol is None else constant).alias("symbol"),
+        _number(F.col("p")).alias("price"),
+        _number(F.col("q")).alias("qty"),
+        F.when(F.col("m"), "sell").otherwise("buy").alias("side"),
     )
-    return trades.withColumn("reason", _reject_reason())
 
 
 def normalize_trades(messages: DataFrame, symbol: str | None = None) -> DataFrame:
-    classified = classify_messages(messages, symbol)
-    return classified.where(F.col("reason").isNull()).select(*TRADE_COLUMNS)
+    """Trades of exchange messages; `symbol` overrides the message's own."""
+    return _from_messages(messages, symbol).where(_usable()).select(*TRADE_COLUMNS)
+
+
+def classify_messages(messages: DataFrame, symbol: str | None = None) -> DataFrame:
+    """Every message with its trade columns and, where it is unusable, a `reason`.
+
+    Writing both the trades and the rejects of one feed from this frame costs a single parse.
+    """
+    return _from_messages(messages, symbol).withColumn("reason", _reject_reason())
 
 
 def rejected_trades(messages: DataFrame, symbol: str | None = None) -> DataFrame:
-    classified = classify_messages(messages, symbol)
-    return classified.where(F.col("reason").isNotNull()).select("value", "reason")
+    return _rejects(_from_messages(messages, symbol))
+
+
+def _rejects(decoded: DataFrame) -> DataFrame:
+    return decoded.where(~_usable()).select("value", _reject_reason().alias("reason"))
 
 
 def encode_trades(trades: DataFrame) -> DataFrame:
@@ -70,9 +92,8 @@ def encode_trades(trades: DataFrame) -> DataFrame:
 
 
 def _decoded(messages: DataFrame) -> DataFrame:
-    text = F.col("value").cast("string")
-    trade = messages.select(F.from_json(text, TRADE_SCHEMA).alias("trade"), text.alias("value"))
-    return trade.select("trade.*", "value")
+    message = messages.select(F.col("value").cast("string").alias("value"))
+    return message.select("value", _parsed(F.col("value"), TRADE_SCHEMA))
 
 
 def parse_trades(messages: DataFrame) -> DataFrame:
@@ -81,12 +102,11 @@ def parse_trades(messages: DataFrame) -> DataFrame:
     Records the aggregate tables could not hold (no time, symbol, price or quantity) are left out here and
     listed by `unparsed_trades`: one of them would otherwise fail the write of its whole batch.
     """
-    trades = _decoded(messages).where(_reject_reason().isNull())
-    return with_event_time(trades.select(*TRADE_COLUMNS))
+    return with_event_time(_decoded(messages).where(_usable()).select(*TRADE_COLUMNS))
 
 
 def unparsed_trades(messages: DataFrame) -> DataFrame:
-    return _decoded(messages).withColumn("reason", _reject_reason()).where("reason IS NOT NULL").select("value", "reason")
+    return _rejects(_decoded(messages))
 
 
 def with_event_time(trades: DataFrame) -> DataFrame:

@@ -10,11 +10,11 @@ import json
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapemill.functions.temporal import Now
-from tapemill.operators.contract import check_contract, conform_bars
+from tapemill.operators.contract import VIOLATION, check_contract, conform_bars, key_counts
 from tapemill.schemas import BAR_SCHEMA, KEYS
 from tapemill.sinks.files import Folder
 
@@ -22,6 +22,12 @@ PARTITIONING = {
     "day": ["window_date"],
     "hour": ["window_date", "window_hour"],
 }
+_PARTITION_TYPES = {"window_date": "date", "window_hour": "int"}
+
+
+def _partition_value(name: str) -> Column:
+    ts = F.col("window_start_ts")
+    return F.to_date(ts) if name == "window_date" else F.hour(ts)
 
 
 class BarTable:
@@ -30,9 +36,8 @@ class BarTable:
         self.spark = spark
         self.parts = PARTITIONING[partition_by]
         self.folder = Folder(spark, root)
-        types = {"window_date": "date", "window_hour": "int"}
         columns = [f"{field.name} {field.dataType.simpleString()}" for field in BAR_SCHEMA]
-        self._ddl = ", ".join(columns + [f"{name} {types[name]}" for name in self.parts])
+        self._ddl = ", ".join(columns + [f"{name} {_PARTITION_TYPES[name]}" for name in self.parts])
 
     def read(self, since: datetime | None = None) -> DataFrame:
         """The current rows with their partition columns; `since` (UTC) spares listing older dates."""
@@ -49,29 +54,36 @@ class BarTable:
         The rows are first written to a staging folder, so a streaming micro-batch is computed once and
         the merge no longer depends on it. No row passes through the driver.
         """
+        self.folder.remove("_staging")
         staging = f"_staging/{uuid.uuid4().hex}"
-        conformed = conform_bars(bars, now).withColumns(
-            {
-                "window_date": F.to_date("window_start_ts"),
-                **({"window_hour": F.hour("window_start_ts")} if "window_hour" in self.parts else {}),
-            }
-        )
-        conformed.write.partitionBy(*self.parts).parquet(self.folder.path(staging))
+        conformed = conform_bars(bars, now).withColumns({name: _partition_value(name) for name in self.parts})
+        conformed.write.parquet(self.folder.path(staging))
         try:
-            touched = [path.removeprefix(f"{staging}/") for path in self.folder.glob(f"{staging}/{self._pattern()}")]
+            staged = self.spark.read.schema(self._ddl).parquet(self.folder.path(staging))
+            touched = self._touched(staged)
             if touched:
-                staged = self.spark.read.schema(self._ddl).parquet(self.folder.path(staging))
-                check_contract(staged)
                 self._replace(staged, touched)
         finally:
             self.folder.remove(staging)
 
+    def _touched(self, staged: DataFrame) -> list[str]:
+        """Folders of the partitions the staged rows belong to, once they are known to keep the contract."""
+        summary = (
+            key_counts(staged, *self.parts)
+            .groupBy(*self.parts)
+            .agg(F.count_if(F.expr(VIOLATION)).alias("violations"))
+            .orderBy(*self.parts)
+            .collect()
+        )
+        if any(row["violations"] for row in summary):
+            check_contract(staged)
+        return ["/".join(f"{name}={row[name]}" for name in self.parts) for row in summary]
+
     def _replace(self, staged: DataFrame, touched: list[str]) -> None:
         number, live = self._pointer()
         stale = {part: live[part] for part in touched if part in live}
-        # A crashed attempt may have left a folder behind the pointer: never write into one.
-        taken = [int(name.split("=")[1]) for name in self.folder.glob("version=*")]
-        version = max([number, *taken]) + 1
+        # A crashed attempt may have left a folder the pointer does not name: never write into one.
+        version = max([number, *self._versions()]) + 1
         kept = self._load(stale).join(staged.select(*KEYS), KEYS, "left_anti")
         merged = kept.unionByName(staged) if stale else staged
         (
@@ -83,32 +95,31 @@ class BarTable:
         self._publish(version, live | dict.fromkeys(touched, version))
 
     def _publish(self, version: int, live: dict[str, int]) -> None:
-        previous = self._pointers()
+        """Switch readers over; what the previous pointer names stays for queries still running on it."""
+        pointers = self._pointers()
+        before = self._read_pointer(pointers[-1]) if pointers else {}
         self.folder.write_text(json.dumps(live), "_current", f"{version:012d}.json")
-        # Keep what the previous pointer reads, for queries still running on it; drop what only older ones did.
-        if len(previous) > 1:
-            before = json.loads(self.folder.read_text("_current", previous[-1]))
-            for name in previous[:-1]:
-                older = json.loads(self.folder.read_text("_current", name))
-                for part, number in older.items():
-                    if number not in (before.get(part), live.get(part)):
-                        self.folder.remove(f"version={number}", part)
-                for number in set(older.values()) - set(before.values()) - set(live.values()):
-                    self.folder.remove(f"version={number}")
-                self.folder.remove("_current", name)
-
-    def _pattern(self) -> str:
-        return "/".join(f"{name}=*" for name in self.parts)
+        readable = set(before.items()) | set(live.items())
+        for name in pointers[:-1]:
+            for part, number in set(self._read_pointer(name).items()) - readable:
+                self.folder.remove(f"version={number}", part)
+            self.folder.remove("_current", name)
+        for number in set(self._versions()) - {number for _, number in readable}:
+            self.folder.remove(f"version={number}")
+
+    def _versions(self) -> list[int]:
+        return [int(name.split("=")[1]) for name in self.folder.glob("version=*")]
 
     def _pointers(self) -> list[str]:
         return [path.split("/")[-1] for path in self.folder.glob("_current/*.json")]
 
+    def _read_pointer(self, name: str) -> dict[str, int]:
+        return json.loads(self.folder.read_text("_current", name))
+
     def _pointer(self) -> tuple[int, dict[str, int]]:
         """Number of the last upsert, and the version every partition is read from."""
         names = self._pointers()
-        if not names:
-            return 0, {}
-        return int(names[-1].removesuffix(".json")), json.loads(self.folder.read_text("_current", names[-1]))
+        return (int(names[-1].removesuffix(".json")), self._read_pointer(names[-1])) if names else (0, {})
 
     def _load(self, live: dict[str, int]) -> DataFrame:
         if not live:

@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "4000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

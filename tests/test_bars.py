@@ -1,0 +1,87 @@
+"""Window aggregation and the hourly rollup."""
+
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from helpers import NOON, at, bars, trades
+from pyspark.sql import functions as F
+
+from tapemill.functions import event_time, exact_mean, exact_sum
+from tapemill.operators.bars import hour_bars, minute_bars, rollup_1h
+
+ROUNDED = {8: Decimal("1e-8"), 10: Decimal("1e-10")}
+
+
+@pytest.mark.parametrize("scale", [8, 10])
+@pytest.mark.parametrize("magnitude", [1e-6, 1.0, 70000.0, 2e5])
+def test_exact_sum_equals_decimal_arithmetic(spark, scale, magnitude):
+    random.seed(scale)
+    values = [round(random.uniform(-magnitude, magnitude), scale) for _ in range(2000)] + [0.0, -0.5, 0.99999999]
+    expected = sum(Decimal(repr(value)).quantize(ROUNDED[scale], ROUND_HALF_UP) for value in values)
+    frame = spark.createDataFrame([(value,) for value in values], "x double").repartition(7)
+    got = frame.agg(exact_sum(F.col("x"), scale).alias("total"), exact_mean(F.col("x"), scale).alias("mean")).first()
+    assert got.total == expected
+    assert abs(got.mean - expected / len(values)) < ROUNDED[scale]
+
+
+def test_exact_sum_does_not_depend_on_order(spark):
+    values = [(float(i), 0.1 * i) for i in range(5000)]
+    frame = spark.createDataFrame(values, "i double, x double")
+    totals = {frame.orderBy(order).agg(exact_sum(F.col("x"), 10)).first()[0] for order in ("i", F.desc("i"), F.rand(1))}
+    assert totals == {Decimal("1249750.0000000000")}
+
+
+def test_large_quantities_and_a_wide_range(spark):
+    frame = spark.createDataFrame([(1e15,), (0.0000000001,), (123456789.0,)], "x double")
+    assert frame.agg(exact_sum(F.col("x"), 10)).first()[0] == Decimal("1000000123456789.0000000001")
+
+
+def test_window_edges(spark):
+    rows = [(at(milliseconds=-1), "A", 1.0, 1.0), (NOON, "A", 2.0, 1.0), (at(milliseconds=59999), "A", 4.0, 1.0)]
+    out = minute_bars(trades(spark, rows)).orderBy("window_start_ts").selectExpr("date_format(window_start_ts,'HH:mm')", "trade_cnt", "price_avg").collect()
+    assert [tuple(row) for row in out] == [("11:59", 1, Decimal(1)), ("12:00", 2, Decimal(3))]
+
+
+def test_types_and_plain_mean(spark):
+    out = minute_bars(trades(spark, [(NOON, "A", 1.0, 100.0), (NOON, "A", 2.0, 1.0), (NOON, "A", 2.0, 1.0)]))
+    types = dict(out.dtypes)
+    assert types["volume_sum"] == "decimal(38,10)"
+    assert {types[name] for name in ("price_avg", "price_min", "price_max")} == {"decimal(18,8)"}
+    assert out.first().price_avg == Decimal("1.66666667")
+
+
+def test_event_time_is_exact(spark):
+    frame = spark.range(1_704_067_200_000, 1_704_067_400_000)
+    off = frame.where(F.unix_millis(event_time(F.col("id"))) != F.col("id"))
+    assert off.isEmpty()
+
+
+def test_hour_mean_weighs_minutes_alike(spark):
+    frame = bars(spark, [("A", NOON, 1000, 5, 1, 0.5, 9), ("A", at(minutes=1), 1, 2, 4, 3, 4)])
+    row = hour_bars(frame).first()
+    assert (row.trade_cnt, row.volume_sum, row.price_avg) == (1001, Decimal(7), Decimal("2.5"))
+    assert (row.price_min, row.price_max) == (Decimal("0.5"), Decimal(9))
+
+
+def test_rollup_covers_the_previous_and_the_current_hour(spark):
+    hours = range(-3, 3)
+    frame = bars(spark, [("A", at(hours=h), 1, 1, 1) for h in hours] + [("A", at(minutes=-1), 1, 1, 1)])
+    out = rollup_1h(frame, at(minutes=59)).orderBy("window_start_ts")
+    assert [(row.h, row.trade_cnt) for row in out.select(F.hour("window_start_ts").alias("h"), "trade_cnt").collect()] == [
+        (11, 2),
+        (12, 1),
+    ]
+
+
+def test_one_hot_symbol_and_minute(spark):
+    """A group with most of the rows: many tasks pre-aggregate it, none drops a row."""
+    frame = spark.range(0, 300_000, numPartitions=16).select(
+        F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("HOT").alias("symbol"),
+        F.lit(NOON).cast("timestamp").alias("event_time"),
+        (F.col("id") % 100 / 100).alias("price"),
+        F.lit(0.1).alias("qty"),
+    )
+    hot = minute_bars(frame).where("symbol = 'HOT'").first()
+    assert (hot.trade_cnt, hot.volume_sum) == (270_000, Decimal("27000.0000000000"))
+    assert minute_bars(frame).count() == 30_001

@@ -1,0 +1,126 @@
+"""Panels, figures and chart feeds at their edges."""
+
+import math
+import random
+from datetime import datetime, timedelta
+
+import pandas as pd
+import pytest
+from helpers import NOON, at, bars, minutes_before
+
+from tapemill.functions import display_time, grouped_text, minute_label, parse_time, percent_text
+from tapemill.operators import panels
+from tapemill.operators.quality import DataQualityError, freshness_report, ingest_status, require_fresh
+from tapemill.plans import build_dashboard
+from pyspark.sql import functions as F
+
+
+def test_hour_panel_has_a_lower_bound_only(spark):
+    frame = bars(spark, [("A", at(minutes=m), 1, 1, 1) for m in (-61, -60, -1, 0, 5)])
+    assert panels.panel_1h(frame, NOON).count() == 4
+
+
+def test_limit_of_ten_cuts_the_oldest(spark):
+    frame = bars(spark, [(s, at(minutes=-m), 1, 1, 1) for s in "AB" for m in range(0, 11)])
+    everyone = panels.panel_recent(frame, NOON)
+    single = panels.panel_recent(frame, NOON, "A")
+    assert (everyone.count(), single.count()) == (20, 10)
+    oldest = datetime(2024, 3, 5, 11, 51)
+    assert single.agg(F.min("window_start_ts").cast("timestamp_ntz")).first()[0] == oldest
+    assert single.select(F.col("window_start_ts").cast("timestamp_ntz")).first()[0] == datetime(2024, 3, 5, 12, 0)
+    assert {r.recent_rows for r in panels.recent_total(frame, NOON).collect()} == {10}
+
+
+def test_empty_panel(spark):
+    frame = minutes_before(spark, [1.0], now=at(hours=-3))
+    kpis = panels.kpis_1h(frame, NOON, "A").first()
+    assert (kpis.avg_price, kpis.max_price, kpis.min_price, kpis.trade_count) == (None, None, None, 0)
+    assert tuple(ingest_status(frame, NOON, "A").first()) == ("no data", 0)
+    assert panels.kpis_1h(frame, NOON).isEmpty()
+    assert tuple(freshness_report(frame, NOON).first()) == (0, False)
+
+
+def test_one_minute_has_no_deviation(spark):
+    frame = minutes_before(spark, [5.0])
+    row = panels.volatility_1h(frame, NOON, "A").first()
+    assert (row.std_dev, row.vol_rate) == (None, 0.0)
+    assert panels.kpi_text(frame, NOON, "A").first().std_dev == "nan"
+
+
+def test_zero_mean_has_no_rate(spark):
+    row = panels.volatility_1h(minutes_before(spark, [0.0, 0.0]), NOON, "A").first()
+    assert (row.std_dev, row.vol_rate) == (0.0, None)
+
+
+@pytest.mark.parametrize("length", [1, 4, 5, 9])
+def test_rolling_needs_five_minutes(spark, length):
+    means = [1.5, 2.25, 2.0, 8.0, 3.0, 1.0, 0.5, 4.0, 4.25][:length]
+    out = panels.rolling_std(minutes_before(spark, means), NOON).orderBy("window_start_ts").toPandas()
+    expected = pd.Series(means).rolling(window=5).std()
+    assert out.rolling_std.isna().tolist() == expected.isna().tolist()
+    for got, want in zip(out.rolling_std, expected, strict=True):
+        assert (math.isnan(got) and math.isnan(want)) or math.isclose(got, want, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("rows", [2, 3, 5])
+def test_rolling_history_equals_a_single_window(spark, rows):
+    """Random gaps: chunks with none, one or many minutes, so lead-in rows come from several chunks back."""
+    random.seed(rows)
+    data = []
+    for symbol, density in (("A", 0.004), ("B", 0.03), ("C", 0.5)):
+        for minute in range(0, 3000):
+            if random.random() < density:
+                data.append((symbol, NOON + timedelta(minutes=minute), 1, 1, round(random.uniform(1, 9), 4)))
+    frame = bars(spark, data)
+    split = panels.rolling_std_history(frame, rows, chunk="hour").toPandas()
+    keys = ["symbol", "window_start_ts"]
+    pdf = frame.select(*keys, F.col("price_avg").cast("double")).toPandas().sort_values(keys)
+    pdf["want"] = pdf.groupby("symbol")["price_avg"].rolling(rows).std().reset_index(level=0, drop=True)
+    both = pdf.merge(split, on=keys)
+    assert len(both) == len(pdf) == len(split)
+    assert both.want.isna().equals(both.rolling_std.isna())
+    assert (both.want - both.rolling_std).abs().max() < 1e-6
+
+
+def test_gate(spark):
+    stale = bars(spark, [("A", at(minutes=-31), 1, 1, 1)])
+    with pytest.raises(DataQualityError):
+        require_fresh(stale, NOON)
+    require_fresh(bars(spark, [("Z", at(minutes=-30), 1, 1, 1)]), NOON)
+
+
+def test_number_texts_follow_exact_rounding(spark):
+    values = [1234.5, 1234.125, 0.125, 1.005, 2.675, -0.001, 1e6, 0.0, 99999.995, 1234567.891]
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    out = frame.select(grouped_text(F.col("x"), 2).alias("g"), percent_text(F.col("x")).alias("p")).collect()
+    assert [row.g for row in out] == [f"{v:,.2f}" for v in values]
+    assert [row.p for row in out] == [f"{v:.2f}%" for v in values]
+    count = spark.range(1).select(grouped_text(F.lit(1234567), 0)).first()[0]
+    assert count == "1,234,567"
+
+
+def test_times_shown(spark):
+    frame = spark.createDataFrame([("2024-01-01 20:05:59",), ("bad",)], "t string").select(parse_time(F.col("t")).alias("t"))
+    out = frame.select(
+        display_time(F.col("t")).alias("seoul"),
+        minute_label(F.col("t")).alias("utc"),
+        minute_label(F.col("t"), "Asia/Seoul").alias("local"),
+    ).collect()
+    assert tuple(out[0]) == (datetime(2024, 1, 2, 5, 5, 59), "20:05", "05:05")
+    assert tuple(out[1]) == (None, None, None)
+
+
+def test_dashboard_names_every_frame(spark):
+    frame = bars(spark, [(s, at(minutes=-m), m, 1, m + 1) for s in "AB" for m in range(0, 70)])
+    for symbol in (None, "A"):
+        frames = build_dashboard(frame, NOON, symbol)
+        assert all(not f.isEmpty() for f in frames.values())
+    assert frames["kpis_1h"].first().avg_price == 31.0
+    assert frames["kpis_1h"].first().trade_count == sum(range(61))
+    axis = frames["axis_range_1h"].first()
+    assert math.isclose(axis.y_min, 0.999) and math.isclose(axis.y_max, 61 * 1.001)
+
+
+def test_default_clock_is_the_wall_clock(spark):
+    fresh = spark.range(1).select(F.lit("A").alias("symbol"), F.current_timestamp().alias("window_start_ts"))
+    assert freshness_report(fresh).first().fresh

@@ -1,0 +1,149 @@
+"""Contract, upsert, snapshot and the merge statement."""
+
+from datetime import timedelta
+from decimal import Decimal
+
+import duckdb
+import pytest
+from helpers import NOON, at, bars, plan
+from pyspark.sql import functions as F
+
+from tapemill.functions import instant, since
+from tapemill.operators.contract import ContractError, conform_bars, contract_violations
+from tapemill.operators.timerange import from_time
+from tapemill.schemas import BAR_SCHEMA
+from tapemill.sinks import BarTable, merge_statement, snapshot_tables
+
+
+@pytest.fixture(params=["day", "hour"])
+def table(spark, tmp_path, request):
+    return BarTable(spark, str(tmp_path / "bars"), request.param)
+
+
+def rows(frame):
+    names = BAR_SCHEMA.fieldNames()
+    return sorted(tuple(row) for row in frame.select(*names).collect())
+
+
+def test_empty_table_reads(table):
+    assert table.read().isEmpty()
+
+
+def test_upsert_inserts_replaces_and_repeats(spark, table):
+    first = bars(spark, [("A", NOON, 1, 1, 1), ("B", NOON, 2, 2, 2), ("A", at(hours=-30), 3, 3, 3)])
+    table.upsert(first)
+    assert rows(table.read()) == rows(first)
+    second = bars(spark, [("A", NOON, 9, 9, 9), ("C", at(hours=2), 4, 4, 4)], updated_at=at(hours=1))
+    expected = sorted(
+        rows(second) + [row for row in rows(first) if (row[0], row[1]) not in {(r[0], r[1]) for r in rows(second)}]
+    )
+    for _ in range(3):
+        table.upsert(second)
+        assert rows(table.read()) == expected
+
+
+def test_empty_upsert_changes_nothing(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    before = table._pointers()
+    table.upsert(bars(spark, []))
+    assert table._pointers() == before
+
+
+def test_updated_at_defaults_to_the_clock(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]).drop("updated_at"), at(hours=5))
+    assert table.read().where(F.col("updated_at") == instant(at(hours=5))).count() == 1
+
+
+@pytest.mark.parametrize("column", ["symbol", "window_start_ts", "price_avg"])
+def test_nulls_are_refused(spark, table, column):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    bad = bars(spark, [("A", NOON, 7, 7, 7)]).withColumn(column, F.lit(None).cast(BAR_SCHEMA[column].dataType))
+    with pytest.raises(ContractError):
+        table.upsert(bad)
+    assert table.read().first().trade_cnt == 1
+
+
+def test_duplicate_keys_are_refused(spark, table):
+    with pytest.raises(ContractError, match="row_cnt"):
+        table.upsert(bars(spark, [("A", NOON, 1, 1, 1), ("A", NOON, 2, 2, 2)]))
+    assert table.read().isEmpty()
+
+
+def test_reader_keeps_its_version_during_the_next_upsert(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    reader = table.read()
+    table.upsert(bars(spark, [("A", NOON, 2, 2, 2)]))
+    assert reader.first().trade_cnt == 1
+    assert table.read().first().trade_cnt == 2
+
+
+def test_old_versions_go_and_untouched_partitions_stay(spark, table):
+    table.upsert(bars(spark, [("A", at(days=-9), 1, 1, 1), ("A", NOON, 1, 1, 1)]))
+    for count in range(2, 7):
+        table.upsert(bars(spark, [("A", NOON, count, 1, 1)]))
+    assert len(table._versions()) == 3
+    assert len(table._pointers()) == 2
+    assert [row.trade_cnt for row in table.read().orderBy("window_start_ts").collect()] == [1, 6]
+
+
+def test_leftovers_of_a_crash_are_ignored_and_removed(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    bars(spark, [("X", NOON, 8, 8, 8)]).write.parquet(table.folder.path("version=2"))
+    bars(spark, [("Y", NOON, 8, 8, 8)]).write.parquet(table.folder.path("_staging", "dead"))
+    assert table.read().count() == 1
+    table.upsert(bars(spark, [("B", NOON, 1, 1, 1)]))
+    assert sorted(row.symbol for row in table.read().collect()) == ["A", "B"]
+    assert 2 not in table._versions()
+    assert table.folder.glob("_staging/*") == []
+
+
+def test_trailing_range_reads_only_its_partitions(spark, table):
+    table.upsert(bars(spark, [("A", at(hours=-h), 1, 1, 1) for h in range(72)]))
+    recent = from_time(table.read(), since(NOON, "1 HOUR"))
+    assert recent.count() == 2
+    text = plan(recent)
+    assert "window_date" in text.split("PartitionFilters:")[1].split("]")[0]
+    assert "GreaterThanOrEqual(window_start_ts" in text
+    assert len(table.read(since=at(hours=-1)).inputFiles()) < len(table.read().inputFiles())
+    assert from_time(table.read(since=at(hours=-1)), since(NOON, "1 HOUR")).count() == 2
+
+
+def test_conform_rounds_half_up(spark):
+    frame = bars(spark, [("A", NOON, 1, 1, 1)]).withColumn("price_avg", F.lit(Decimal("1.000000005")))
+    out = conform_bars(frame)
+    assert out.first().price_avg == Decimal("1.00000001")
+    assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in BAR_SCHEMA]
+
+
+def test_violations_name_the_keys(spark):
+    frame = bars(spark, [("A", NOON, 1, 1, 1), ("A", NOON, 1, 1, 1), ("B", NOON, 1, 1, 1)])
+    assert [(row.symbol, row.row_cnt) for row in contract_violations(frame).collect()] == [("A", 2)]
+
+
+def test_snapshot_copies_and_counts(spark, tmp_path):
+    frame = bars(spark, [("A", NOON, 1, 1, 1), ("A", at(minutes=7), 1, 1, 1)])
+    manifest = snapshot_tables({"m": frame, "none": frame.limit(0)}, str(tmp_path), NOON)
+    assert {(r.table_name, r.row_cnt) for r in manifest.collect()} == {("m", 2), ("none", 0)}
+    copy = spark.read.parquet(str(tmp_path / "backup_20240305_120000" / "m"))
+    assert rows(copy) == rows(frame)
+
+
+def test_merge_statement_replaces_by_key():
+    """The statement for a database with ON CONFLICT, tried in the engine the oracles run on."""
+    connection = duckdb.connect()
+    for name in ("target", "staging"):
+        connection.execute(
+            f"CREATE TABLE {name} (symbol TEXT, window_start_ts TIMESTAMP, trade_cnt BIGINT, volume_sum DOUBLE, "
+            "price_avg DOUBLE, price_min DOUBLE, price_max DOUBLE, updated_at TIMESTAMP, "
+            "PRIMARY KEY (symbol, window_start_ts))"
+        )
+    start = NOON.replace(tzinfo=None)
+    add = "INSERT INTO {} VALUES (?, ?, ?, 1, 1, 1, 1, ?)"
+    connection.execute(add.format("target"), ["A", start, 1, start])
+    connection.execute(add.format("target"), ["B", start, 2, start])
+    for symbol in ("A", "C"):
+        connection.execute(add.format("staging"), [symbol, start, 9, start + timedelta(hours=1)])
+    for _ in range(2):
+        connection.execute(merge_statement("target", "staging"))
+        got = connection.execute("SELECT symbol, trade_cnt FROM target ORDER BY symbol").fetchall()
+        assert got == [("A", 9), ("B", 2), ("C", 9)]
