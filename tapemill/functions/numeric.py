@@ -1,31 +1,40 @@
 """Exact sums over double columns, range checks and number texts."""
 
 from decimal import Decimal
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tapemill.schemas import PRICE_LIMIT, QTY_LIMIT
 
+# Bits in the lower piece of a whole part.
+_SHIFT = 30
+
 
 def exact_sum(value: Column, scale: int) -> Column:
     """Sum of doubles, each taken at `scale` decimal digits: the same result in any row order.
 
     Sums of decimal columns give this too, but go through BigDecimal for every row (about three times
-    slower than summing doubles). Here a value is split into its whole part and two halves of its
-    fraction, each summed as bigint; decimals appear once per group. `scale` must be even. A fraction
-    half stays below 10^(scale/2) plus rounding, so its sum holds for more than 10^13 rows per group.
+    slower than summing doubles). Here a value is cut into four small integers, two for its whole part and
+    two for its fraction, each summed as bigint; decimals appear once per group. `scale` must be even.
+    Below QTY_LIMIT every piece stays under 2^30, so its sum holds for 2^33 rows of one group and fails
+    loudly (ANSI mode) beyond; at everyday magnitudes, for thousands of times more.
     """
     half = 10 ** (scale // 2)
     whole = F.floor(value)
     fraction = value - whole
     upper = F.floor(fraction * F.lit(float(half)))
-    lower = F.rint(fraction * F.lit(float(10**scale))).cast("bigint") - upper * F.lit(half)
-    return (
-        F.sum(whole).cast("decimal(20,0)")
-        + F.sum(upper).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale // 2))
-        + F.sum(lower).cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
-    )
+    pieces = [
+        (F.shiftright(whole, _SHIFT), Decimal(2**_SHIFT)),
+        (whole.bitwiseAND(F.lit(2**_SHIFT - 1)), Decimal(1)),
+        (upper, Decimal(1).scaleb(-scale // 2)),
+        (F.rint(fraction * F.lit(float(10**scale))).cast("bigint") - upper * F.lit(half), Decimal(1).scaleb(-scale)),
+    ]
+    # 35 digits leave room for the three additions, which would otherwise give up decimal places.
+    total = f"decimal(35,{scale})"
+    return reduce(add, [(F.sum(piece).cast("decimal(20,0)") * F.lit(unit)).cast(total) for piece, unit in pieces])
 
 
 def exact_mean(value: Column, scale: int) -> Column:

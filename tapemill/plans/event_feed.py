@@ -72,8 +72,17 @@ def event_messages(events: DataFrame) -> DataFrame:
     return event_trades(events).select(F.when(fault("not json"), damaged).otherwise(message).alias("value"))
 
 
-def read_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_trades(spark.read.parquet(events_path(sf_dir)))
+def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+    """Trades of the whole table, or those at `since` and later, as a filter the scan can use.
+
+    A trade's time is derived from the stored one, so Spark cannot carry a range over to the scan itself.
+    """
+    events = spark.read.parquet(events_path(sf_dir))
+    if since is not None:
+        origin = datetime.fromtimestamp(ORIGIN_MS / 1000, timezone.utc)
+        stored = origin + (since - origin) * COMPRESSION
+        events = events.where(F.col("ts") >= F.lit(f"{stored:%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz"))
+    return event_trades(events)
 
 
 def stream_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """The registered queries, each over the whole `events` table of a data folder."""
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Symbol of the single-symbol panels.
 SYMBOL = "purchase"
 DIGITS = 6
+HOUR = timedelta(hours=1)
 
 
 def _comparable(frame: DataFrame) -> DataFrame:
@@ -61,12 +62,13 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_messages(spark.read.parquet(events_path(sf_dir)))
 
 
-def _trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_event_time(read_event_trades(spark, sf_dir))
+def _trades(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+    return with_event_time(read_event_trades(spark, sf_dir, since))
 
 
-def _minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minute_bars(_trades(spark, sf_dir))
+def _minutes(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
+    """All minutes, or those the operator on top will keep: a window from `since` on holds no older trade."""
+    return minute_bars(_trades(spark, sf_dir, since))
 
 
 def _table_rows(table: BarTable) -> DataFrame:
@@ -85,11 +87,18 @@ def _agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_rows(table)
 
 
+def _stored(frame: DataFrame, folder: str) -> DataFrame:
+    """The frame written out and read back, so that what follows does not scan the trades again."""
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
+
+
 def _upsert_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All minutes, then twice the minutes recomputed from sells alone, which replace theirs."""
-    table = BarTable(spark, f"{work_dir(spark, 'upsert_1m')}/trade_agg_1m", partition_by="hour")
+    root = work_dir(spark, "upsert_1m")
+    table = BarTable(spark, f"{root}/trade_agg_1m", partition_by="hour")
     table.upsert(_minutes(spark, sf_dir), CLOCK)
-    sells = minute_bars(_trades(spark, sf_dir).where("side = 'sell'"))
+    sells = _stored(minute_bars(_trades(spark, sf_dir).where("side = 'sell'")), f"{root}/sells")
     table.upsert(sells, CLOCK)
     table.upsert(sells, CLOCK)
     return _table_rows(table)
@@ -97,18 +106,19 @@ def _upsert_1m(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _upsert_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two consecutive hourly runs; the hour they share is replaced, not added."""
-    table = BarTable(spark, f"{work_dir(spark, 'upsert_1h')}/trade_agg_1h")
-    minutes = _minutes(spark, sf_dir)
-    for now in (CLOCK - timedelta(hours=1), CLOCK):
+    root = work_dir(spark, "upsert_1h")
+    minutes = _stored(_minutes(spark, sf_dir), f"{root}/trade_agg_1m")
+    table = BarTable(spark, f"{root}/trade_agg_1h")
+    for now in (CLOCK - HOUR, CLOCK):
         table.upsert(rollup_1h(minutes, now), now)
     return _table_rows(table)
 
 
 def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    minutes = _minutes(spark, sf_dir)
-    tables = {"trade_agg_1m": minutes, "trade_agg_1h": hour_bars(minutes)}
-    conformed = {name: conform_bars(table, CLOCK) for name, table in tables.items()}
-    return snapshot_tables(conformed, work_dir(spark, "snapshot"), CLOCK)
+    root = work_dir(spark, "snapshot")
+    minutes = _stored(conform_bars(_minutes(spark, sf_dir), CLOCK), f"{root}/trade_agg_1m")
+    tables = {"trade_agg_1m": minutes, "trade_agg_1h": conform_bars(hour_bars(minutes), CLOCK)}
+    return snapshot_tables(tables, root, CLOCK)
 
 
 def _display_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +129,10 @@ def _display_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _panel(build: Callable[..., DataFrame], *rounded: str, **arguments: str) -> Query:
+    """A frame over the last hour, or a shorter trailing range."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _rounded(build(_minutes(spark, sf_dir), CLOCK, **arguments), *rounded)
+        return _rounded(build(_minutes(spark, sf_dir, CLOCK - HOUR), CLOCK, **arguments), *rounded)
 
     return query
 
@@ -137,7 +149,7 @@ _QUERIES: dict[str, Query] = {
     "agg_1m_stream": _agg_1m_stream,
     "conform_agg": lambda spark, sf_dir: conform_bars(_minutes(spark, sf_dir), CLOCK),
     "upsert_1m": _upsert_1m,
-    "rollup_1h": lambda spark, sf_dir: rollup_1h(_minutes(spark, sf_dir), CLOCK),
+    "rollup_1h": lambda spark, sf_dir: rollup_1h(_minutes(spark, sf_dir, CLOCK - 2 * HOUR), CLOCK),
     "rollup_1h_history": lambda spark, sf_dir: hour_bars(_minutes(spark, sf_dir)),
     "upsert_1h": _upsert_1h,
     "snapshot_manifest": _snapshot_manifest,

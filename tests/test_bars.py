@@ -35,6 +35,10 @@ def test_exact_sum_does_not_depend_on_order(spark):
 def test_large_quantities_and_a_wide_range(spark):
     frame = spark.createDataFrame([(1e15,), (0.0000000001,), (123456789.0,)], "x double")
     assert frame.agg(exact_sum(F.col("x"), 10)).first()[0] == Decimal("1000000123456789.0000000001")
+    # Together beyond bigint, and below zero.
+    huge = spark.range(1000).select(F.lit(9e17).alias("x"), F.lit(-123456789012.5).alias("y"))
+    totals = huge.agg(exact_sum(F.col("x"), 10), exact_sum(F.col("y"), 8)).first()
+    assert tuple(totals) == (Decimal(9 * 10**20), Decimal("-123456789012500"))
 
 
 def test_window_edges(spark):

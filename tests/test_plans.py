@@ -67,3 +67,8 @@ def test_history_windows_are_cut_by_chunk(spark):
     frame.collect()
     text = plan(frame)
     assert "ReusedExchange" in text or text.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["kpis_1h", "rollup_1h", "dq_recent_30m", "panel_recent"])
+def test_trailing_queries_restrict_the_scan_of_trades(spark, name):
+    assert "GreaterThanOrEqual(ts,2024-01" in scan(queries()[name](spark, SF))
