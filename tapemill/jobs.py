@@ -7,7 +7,7 @@
 """
 
 import argparse
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,8 +54,9 @@ def hourly(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
-    bars = BarTable(spark, args.table, args.partition_by).read()
-    for name, frame in build_dashboard(bars, args.now, args.symbol).items():
+    now = args.now or datetime.now(timezone.utc)
+    bars = BarTable(spark, args.table, args.partition_by).read(since=now - timedelta(hours=1))
+    for name, frame in build_dashboard(bars, now, args.symbol).items():
         print(name)
         frame.show(100, truncate=False)
 

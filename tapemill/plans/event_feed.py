@@ -29,8 +29,11 @@ FAULTS = {
 }
 
 
-def events_path(sf_dir: str) -> str:
-    return f"{sf_dir}/events.parquet"
+EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double, props string"
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def event_trades(events: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None =
 
     A trade's time is derived from the stored one, so Spark cannot carry a range over to the scan itself.
     """
-    events = spark.read.parquet(events_path(sf_dir))
+    events = read_events(spark, sf_dir)
     if since is not None:
         origin = datetime.fromtimestamp(ORIGIN_MS / 1000, timezone.utc)
         stored = origin + (since - origin) * COMPRESSION
@@ -87,5 +90,4 @@ def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None =
 
 def stream_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same trades as a stream. The file source wants a folder or a pattern, not one file's path."""
-    schema = spark.read.parquet(events_path(sf_dir)).schema
-    return event_trades(spark.readStream.schema(schema).parquet(f"{events_path(sf_dir)}*"))
+    return event_trades(spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*"))

@@ -22,8 +22,8 @@ from tapemill.operators.trades import (
 from tapemill.plans.event_feed import (
     CLOCK,
     event_messages,
-    events_path,
     read_event_trades,
+    read_events,
     stream_event_trades,
 )
 from tapemill.schemas import KEYS, MEASURES
@@ -59,7 +59,7 @@ def _rounded(frame: DataFrame, *names: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_messages(spark.read.parquet(events_path(sf_dir)))
+    return event_messages(read_events(spark, sf_dir))
 
 
 def _trades(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
