@@ -44,6 +44,7 @@ def minutes(spark: SparkSession, args: argparse.Namespace) -> None:
         args.checkpoint,
         available_now=args.available_now,
         processing_time=args.every,
+        state_partitions=args.state_partitions,
     )
     query.awaitTermination()
 
@@ -88,6 +89,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--rejects", help="folder for messages that are not trades")
     sub = command("minutes", minutes, "source", "table")
     sub.add_argument("--available-now", action="store_true")
+    sub.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
     sub.add_argument("--every", help='micro-batch interval, e.g. "10 seconds"')
     sub = command("hourly", hourly, "table", "clock")
     sub.add_argument("--hours", required=True, help="folder of the hour table")

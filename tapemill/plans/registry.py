@@ -81,7 +81,11 @@ def _agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = BarTable(spark, f"{root}/trade_agg_1m")
     records = encode_trades(stream_event_trades(spark, sf_dir))
     query = start_minute_stream(
-        records, lambda batch: table.upsert(batch, CLOCK), f"{root}/checkpoint", available_now=True
+        records,
+        lambda batch: table.upsert(batch, CLOCK),
+        f"{root}/checkpoint",
+        available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     query.awaitTermination()
     return _table_rows(table)

@@ -92,6 +92,8 @@ class BarTable:
             .write.partitionBy(*self.parts)
             .parquet(self.folder.path(f"version={version}"))
         )
+        if self._pointer()[0] != number:
+            raise RuntimeError(f"{self.folder.root} was changed by another writer; repeat the upsert")
         self._publish(version, live | dict.fromkeys(touched, version))
 
     def _publish(self, version: int, live: dict[str, int]) -> None:

@@ -26,12 +26,16 @@ def start_minute_stream(
     width: str = WIDTH,
     available_now: bool = False,
     processing_time: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Emit the full current value of every touched window and hand it to `upsert`.
 
     A replayed micro-batch replaces the same keys, so the table is right after a restart on the same
     checkpoint. Without one, a minute already half read would be replaced by its rest: rebuild such minutes
-    from a batch over whole minutes. spark.sql.shuffle.partitions is fixed by the first start.
+    from a batch over whole minutes.
+
+    `state_partitions` is the shuffle width and the number of state stores. The first start fixes it for the
+    life of the checkpoint; the session's spark.sql.shuffle.partitions is the default.
     """
     writer = (
         minute_updates(messages, watermark, width)
@@ -43,4 +47,11 @@ def start_minute_stream(
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    conf, width_key = messages.sparkSession.conf, "spark.sql.shuffle.partitions"
+    session_width = conf.get(width_key)
+    conf.set(width_key, state_partitions or session_width)
+    try:
+        return writer.start()
+    finally:
+        # The query runs on a copy of the session's settings taken at its start.
+        conf.set(width_key, session_width)

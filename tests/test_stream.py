@@ -135,6 +135,19 @@ def test_stream_equals_batch(spark, job):
     assert not batch.isEmpty()
 
 
+def test_state_partitions_do_not_leak_into_the_session(spark, tmp_path):
+    job = Job(spark, tmp_path)
+    job.land((NOON, "A", 1, 1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    messages = read_trade_stream(spark, "text", str(job.landing))
+    query = start_minute_stream(
+        messages, job.upsert, str(tmp_path / "checkpoint"), available_now=True, state_partitions=3
+    )
+    query.awaitTermination()
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_kafka_records_keep_key_and_value(spark):
     trade = spark.createDataFrame([(1, "A", 1.0, 1.0, "buy")], TRADE_SCHEMA)
     assert dict(encode_trades(trade).dtypes) == {"key": "binary", "value": "binary"}

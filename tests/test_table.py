@@ -97,6 +97,22 @@ def test_leftovers_of_a_crash_are_ignored_and_removed(spark, table):
     assert table.folder.glob("_staging/*") == []
 
 
+def test_a_second_writer_is_noticed(spark, table, monkeypatch):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    other = BarTable(spark, table.folder.root, "hour" if "window_hour" in table.parts else "day")
+    load = table._load
+
+    def load_late(live):
+        monkeypatch.undo()
+        other._publish(other._pointer()[0] + 1, other._pointer()[1])
+        return load(live)
+
+    monkeypatch.setattr(table, "_load", load_late)
+    with pytest.raises(RuntimeError, match="another writer"):
+        table.upsert(bars(spark, [("A", NOON, 2, 2, 2)]))
+    assert table.read().first().trade_cnt == 1
+
+
 def test_trailing_range_reads_only_its_partitions(spark, table):
     table.upsert(bars(spark, [("A", at(hours=-h), 1, 1, 1) for h in range(72)]))
     recent = from_time(table.read(), since(NOON, "1 HOUR"))
