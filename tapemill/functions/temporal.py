@@ -42,8 +42,8 @@ def parse_time(text: Column) -> Column:
 
 
 def display_time(ts: Column, zone: str = DISPLAY_ZONE) -> Column:
-    """Wall clock in `zone` as a zone-less timestamp; the session runs in UTC."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
+    """Wall clock in `zone` as a zone-less timestamp, whatever zone the session runs in."""
+    return F.convert_timezone(None, F.lit(zone), ts.cast("timestamp_ntz"))
 
 
 def minute_label(ts: Column, zone: str = "UTC") -> Column:

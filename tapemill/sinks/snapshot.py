@@ -11,12 +11,13 @@ def snapshot_tables(tables: dict[str, DataFrame], folder: str, now: datetime | N
     """Copy every table to `folder`/backup_<time>/<table>; returns what the copies hold.
 
     The manifest (table, row count, first and last window) is read from the copies, not from the sources.
+    A repeated run with the same `now` writes its copies anew.
     """
     stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
     manifest = []
     for name, table in tables.items():
         path = f"{folder.rstrip('/')}/backup_{stamp}/{name}"
-        table.write.parquet(path)
+        table.write.mode("overwrite").parquet(path)
         copy = table.sparkSession.read.schema(table.schema).parquet(path)
         manifest.append(
             copy.agg(

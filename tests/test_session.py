@@ -1,0 +1,34 @@
+"""Session settings and the shared folder."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from tapemill import configure, work_dir
+
+
+def fake(master, shared=None):
+    settings = {} if shared is None else {"spark.checkpoint.dir": shared}
+    conf = SimpleNamespace(get=settings.get, set=settings.__setitem__)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)), settings
+
+
+def test_work_lies_in_the_shared_folder():
+    spark, _ = fake("yarn", "hdfs:///shared/")
+    first, second = (work_dir(spark, "x") for _ in range(2))
+    assert first.startswith("hdfs:///shared/tapemill/x-") and first != second
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(fake("yarn")[0], "x")
+
+
+def test_a_local_session_falls_back_once():
+    spark, settings = fake("local[2]")
+    assert work_dir(spark, "x").rsplit("/", 2)[0] == work_dir(spark, "y").rsplit("/", 2)[0]
+    assert "spark.checkpoint.dir" in settings
+
+
+def test_configured_in_utc(spark):
+    assert configure(spark).conf.get("spark.sql.session.timeZone") == "UTC"
