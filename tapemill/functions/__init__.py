@@ -7,6 +7,8 @@ from tapemill.functions.temporal import (
     minute_label,
     parse_time,
     since,
+    utc_date,
+    utc_hour,
 )
 
 __all__ = [
@@ -23,4 +25,6 @@ __all__ = [
     "since",
     "usable_price",
     "usable_qty",
+    "utc_date",
+    "utc_hour",
 ]

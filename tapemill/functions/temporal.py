@@ -48,3 +48,11 @@ def display_time(ts: Column, zone: str = DISPLAY_ZONE) -> Column:
 
 def minute_label(ts: Column, zone: str = "UTC") -> Column:
     return F.date_format(display_time(ts, zone), "HH:mm")
+
+
+def utc_date(ts: Column) -> Column:
+    return F.to_date(display_time(ts, "UTC"))
+
+
+def utc_hour(ts: Column) -> Column:
+    return F.hour(display_time(ts, "UTC"))

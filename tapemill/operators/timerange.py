@@ -3,19 +3,21 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapemill.functions import utc_date, utc_hour
+
 
 def from_time(bars: DataFrame, lower: Column) -> DataFrame:
     """Rows whose window starts at `lower` or later; there is no upper bound.
 
-    Tables are partitioned by date (and hour); Spark cannot derive those bounds from the window start, so
+    Tables are partitioned by UTC date (and hour); Spark cannot derive those bounds from the window start, so
     they are added where the columns exist.
     """
     bounded = bars.where(F.col("window_start_ts") >= lower)
     if "window_hour" in bars.columns:
-        day, hour = F.to_date(lower), F.hour(lower)
+        day, hour = utc_date(lower), utc_hour(lower)
         return bounded.where(
             (F.col("window_date") > day) | ((F.col("window_date") == day) & (F.col("window_hour") >= hour))
         )
     if "window_date" in bars.columns:
-        return bounded.where(F.col("window_date") >= F.to_date(lower))
+        return bounded.where(F.col("window_date") >= utc_date(lower))
     return bounded

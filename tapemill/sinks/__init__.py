@@ -1,6 +1,6 @@
-from tapemill.sinks.jdbc import merge_statement, upsert_jdbc
+from tapemill.sinks.jdbc import create_statement, merge_statement, upsert_jdbc
 from tapemill.sinks.snapshot import snapshot_tables
 from tapemill.sinks.table import BarTable
 from tapemill.sinks.topic import write_trade_topic
 
-__all__ = ["BarTable", "merge_statement", "snapshot_tables", "upsert_jdbc", "write_trade_topic"]
+__all__ = ["BarTable", "create_statement", "merge_statement", "snapshot_tables", "upsert_jdbc", "write_trade_topic"]

@@ -13,6 +13,20 @@ from tapemill.schemas import BAR_SCHEMA, KEYS
 BATCH_ROWS = 500
 
 
+# SQL names of the column types.
+_SQL_TYPES = {"string": "TEXT", "timestamp": "TIMESTAMPTZ", "bigint": "BIGINT"}
+
+
+def create_statement(table: str) -> str:
+    """Table with the bar contract: typed columns, none nullable, one row per key, a default `updated_at`."""
+    columns = []
+    for field in BAR_SCHEMA:
+        name = field.dataType.simpleString()
+        default = " DEFAULT CURRENT_TIMESTAMP" if field.name == "updated_at" else ""
+        columns.append(f"{field.name} {_SQL_TYPES.get(name, name.upper())} NOT NULL{default}")
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, PRIMARY KEY ({', '.join(KEYS)}))"
+
+
 def merge_statement(target: str, staging: str) -> str:
     """One atomic statement for a database with INSERT ... ON CONFLICT; repeatable."""
     names = BAR_SCHEMA.fieldNames()
@@ -34,7 +48,9 @@ def upsert_jdbc(
 ) -> None:
     """`options` go to the JDBC writer; `connect` opens a DB-API connection for the merge statement.
 
-    Key and null constraints are the table's own. An empty frame changes nothing.
+    Create both tables with `create_statement`: the writer then keeps the staging table's types, so window
+    starts stay instants whatever zone the database session has. Key and null constraints are the tables'
+    own; in the staging table they refuse a bad batch before the merge. An empty frame changes nothing.
     """
     (
         conform_bars(bars, now)

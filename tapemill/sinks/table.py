@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapemill.functions import utc_date, utc_hour
 from tapemill.functions.temporal import Now
 from tapemill.operators.contract import VIOLATION, check_contract, conform_bars, key_counts
 from tapemill.schemas import BAR_SCHEMA, KEYS
@@ -27,7 +28,7 @@ _PARTITION_TYPES = {"window_date": "date", "window_hour": "int"}
 
 def _partition_value(name: str) -> Column:
     ts = F.col("window_start_ts")
-    return F.to_date(ts) if name == "window_date" else F.hour(ts)
+    return utc_date(ts) if name == "window_date" else utc_hour(ts)
 
 
 class BarTable:

@@ -1,6 +1,5 @@
 """Contract, upsert, snapshot and the merge statement."""
 
-from datetime import timedelta
 from decimal import Decimal
 
 import duckdb
@@ -12,7 +11,7 @@ from tapemill.functions import instant, since
 from tapemill.operators.contract import ContractError, conform_bars, contract_violations
 from tapemill.operators.timerange import from_time
 from tapemill.schemas import BAR_SCHEMA
-from tapemill.sinks import BarTable, merge_statement, snapshot_tables
+from tapemill.sinks import BarTable, create_statement, merge_statement, snapshot_tables
 
 
 @pytest.fixture(params=["day", "hour"])
@@ -144,22 +143,37 @@ def test_snapshot_copies_and_counts(spark, tmp_path):
     assert rows(copy) == rows(frame)
 
 
-def test_merge_statement_replaces_by_key():
-    """The statement for a database with ON CONFLICT, tried in the engine the oracles run on."""
+def test_partitions_do_not_depend_on_the_session_zone(spark, table):
+    rows_in = bars(spark, [("A", at(hours=-h), 1, 1, 1) for h in range(48)])
+    lower = since(at(hours=-14), "1 HOUR")
+    try:
+        for writer, reader in (("UTC", "America/New_York"), ("Asia/Kolkata", "UTC")):
+            spark.conf.set("spark.sql.session.timeZone", writer)
+            table.upsert(rows_in)
+            spark.conf.set("spark.sql.session.timeZone", reader)
+            assert table.read().count() == 48
+            assert from_time(table.read(since=at(hours=-15)), lower).count() == 16
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_statements_create_and_merge_by_key():
+    """The statements for a database with ON CONFLICT, tried in the engine the oracles run on."""
     connection = duckdb.connect()
     for name in ("target", "staging"):
-        connection.execute(
-            f"CREATE TABLE {name} (symbol TEXT, window_start_ts TIMESTAMP, trade_cnt BIGINT, volume_sum DOUBLE, "
-            "price_avg DOUBLE, price_min DOUBLE, price_max DOUBLE, updated_at TIMESTAMP, "
-            "PRIMARY KEY (symbol, window_start_ts))"
-        )
-    start = NOON.replace(tzinfo=None)
-    add = "INSERT INTO {} VALUES (?, ?, ?, 1, 1, 1, 1, ?)"
-    connection.execute(add.format("target"), ["A", start, 1, start])
-    connection.execute(add.format("target"), ["B", start, 2, start])
-    for symbol in ("A", "C"):
-        connection.execute(add.format("staging"), [symbol, start, 9, start + timedelta(hours=1)])
+        connection.execute(create_statement(name))
+    types = {row[0]: row[1] for row in connection.execute("DESCRIBE target").fetchall()}
+    assert types["volume_sum"] == "DECIMAL(38,10)" and types["price_avg"] == "DECIMAL(18,8)"
+    assert types["window_start_ts"] == "TIMESTAMP WITH TIME ZONE"
+    add = "INSERT INTO {} (symbol, window_start_ts, trade_cnt, volume_sum, price_avg, price_min, price_max) VALUES "
+    row = "('{}', TIMESTAMPTZ '2024-03-05 12:00:00+00', {}, 1, 1, 1, 1)"
+    connection.execute(add.format("target") + row.format("A", 1) + ", " + row.format("B", 2))
+    connection.execute(add.format("staging") + row.format("A", 9) + ", " + row.format("C", 9))
     for _ in range(2):
         connection.execute(merge_statement("target", "staging"))
         got = connection.execute("SELECT symbol, trade_cnt FROM target ORDER BY symbol").fetchall()
         assert got == [("A", 9), ("B", 2), ("C", 9)]
+    with pytest.raises(duckdb.ConstraintException):
+        connection.execute(add.format("staging") + row.format("A", "NULL"))
+    with pytest.raises(duckdb.ConstraintException):
+        connection.execute(add.format("staging") + row.format("A", 1))
