@@ -5,7 +5,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tapemill.functions import event_time, usable_price, usable_qty
 from tapemill.schemas import RAW_SCHEMA, TRADE_SCHEMA, VOLUME_TYPE
@@ -18,13 +18,23 @@ def _number(text: Column) -> Column:
     return F.when(text.try_cast(VOLUME_TYPE).isNotNull(), text.try_cast("double"))
 
 
-def _parsed(text: Column, schema: StructType) -> Column:
-    """The fields of a JSON text as columns, parsed once per record.
+def _fields(struct: Column) -> Column:
+    """The fields of a parsed JSON text as columns, parsed once per record.
 
     A filter on a field of a plain `from_json` column is pushed below it, and the parse then repeats for
     every mention of a field in the filter. Nothing is pushed below a generator.
     """
-    return F.inline(F.array(F.from_json(text, schema)))
+    return F.inline(F.array(struct))
+
+
+def _strict_json(text: Column, schema: StructType) -> Column:
+    """Like from_json, but text after the object or single quotes make the record unreadable too.
+
+    from_json stops at the end of the first object; inside another object the parser has to go on.
+    """
+    wrapped = F.concat(F.lit('{"message":'), text, F.lit("}"))
+    wrapper = StructType([StructField("message", schema)])
+    return F.from_json(wrapped, wrapper, {"allowSingleQuotes": "false"})["message"]
 
 
 def _all_null(*columns: str) -> Column:
@@ -49,7 +59,7 @@ def _reject_reason() -> Column:
 
 def _from_messages(messages: DataFrame, symbol: str | None) -> DataFrame:
     message = messages.select(F.col("value").cast("string").alias("value"))
-    parsed = message.select("value", _parsed(F.col("value"), RAW_SCHEMA))
+    parsed = message.select("value", _fields(_strict_json(F.col("value"), RAW_SCHEMA)))
     constant = F.when(~_all_null(*RAW_SCHEMA.fieldNames()), F.lit(symbol))
     return parsed.select(
         "value",
@@ -93,7 +103,7 @@ def encode_trades(trades: DataFrame) -> DataFrame:
 
 def _decoded(messages: DataFrame) -> DataFrame:
     message = messages.select(F.col("value").cast("string").alias("value"))
-    return message.select("value", _parsed(F.col("value"), TRADE_SCHEMA))
+    return message.select("value", _fields(F.from_json("value", TRADE_SCHEMA)))
 
 
 def parse_trades(messages: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ def feed(spark, *values):
         (message(p=10.5, q=2), (1000, "BTC", 10.5, 2.0, "sell")),
         (message(p=" 1e3 ", q="-0.25"), (1000, "BTC", 1000.0, -0.25, "sell")),
         (message(extra={"a": [1]}), (1000, "BTC", 10.5, 2.0, "sell")),
+        (f" {message()}\n", (1000, "BTC", 10.5, 2.0, "sell")),
     ],
 )
 def test_accepted(spark, value, trade):
@@ -52,6 +53,10 @@ def test_accepted(spark, value, trade):
         ("[1, 2]", "unreadable message"),
         ('{"T": 5', "unreadable message"),
         ("{}", "unreadable message"),
+        (message() + " trailing", "unreadable message"),
+        (message() + message(), "unreadable message"),
+        (message() + "," + message(), "unreadable message"),
+        (message().replace('"', "'"), "unreadable message"),
         (message(T=..., E=...), "no event time"),
         (message(T=0, E=...), "no event time"),
         (message(p="x"), "bad price"),
