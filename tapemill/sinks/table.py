@@ -85,18 +85,18 @@ class BarTable:
         stale = {part: live[part] for part in touched if part in live}
         # A crashed attempt may have left a folder the pointer does not name: never write into one.
         version = max([number, *self._versions()]) + 1
-        kept = self._load(stale).join(staged.select(*KEYS), KEYS, "left_anti")
-        merged = kept.unionByName(staged) if stale else staged
-        (
-            merged.hint("rebalance", *self.parts)
-            .sortWithinPartitions(*self.parts, *KEYS)
-            .write.partitionBy(*self.parts)
-            .parquet(self.folder.path(f"version={version}"))
-        )
+        merged = self._merged(staged, stale)
+        merged.write.partitionBy(*self.parts).parquet(self.folder.path(f"version={version}"))
         if self._pointer()[0] != number:
             raise RuntimeError(f"{self.folder.root} was changed by another writer; repeat the upsert")
         self._publish(version, live | dict.fromkeys(touched, version))
 
+    def _merged(self, staged: DataFrame, stale: dict[str, int]) -> DataFrame:
+        """The staged rows, and those of the stale partitions they do not replace; files of an even size."""
+        kept = self._load(stale).join(staged.select(*KEYS), KEYS, "left_anti")
+        rows = kept.unionByName(staged) if stale else staged
+        return rows.hint("rebalance", *self.parts).sortWithinPartitions(*self.parts, *KEYS)
+
     def _publish(self, version: int, live: dict[str, int]) -> None:
         """Switch readers over; what the previous pointer names stays for queries still running on it."""
         pointers = self._pointers()

@@ -1,0 +1,111 @@
+"""Options handed to the Kafka and JDBC connectors, which are not installed here: the last call is replaced."""
+
+import pytest
+from helpers import NOON, bars
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameReader, DataFrameWriter
+from pyspark.sql.streaming import DataStreamReader, DataStreamWriter
+
+from tapemill.operators.trades import normalize_trades
+from tapemill.sinks import merge_statement, upsert_jdbc, write_trade_topic
+from tapemill.sources import read_bars_jdbc, read_trade_stream, read_trade_topic
+
+CLASSES = (DataFrameReader, DataFrameWriter, DataStreamReader, DataStreamWriter)
+
+
+@pytest.fixture
+def calls(monkeypatch):
+    """Formats and options as they are set, by connector class."""
+    seen = {}
+
+    def recording(cls, name):
+        original = getattr(cls, name)
+
+        def record(self, *args, **kwargs):
+            seen.setdefault(cls.__name__, {}).update({name: args[0]} if args else kwargs)
+            return original(self, *args, **kwargs)
+
+        return record
+
+    for cls in CLASSES:
+        for name in ("format", "options", "mode"):
+            if hasattr(cls, name):
+                monkeypatch.setattr(cls, name, recording(cls, name))
+    return seen
+
+
+def test_topic_scan_options(spark, calls):
+    with pytest.raises(AnalysisException):
+        read_trade_topic(spark, "b:9092", "trades", min_partitions=64, maxOffsetsPerTrigger="1000")
+    assert calls["DataStreamReader"] == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "b:9092",
+        "subscribe": "trades",
+        "startingOffsets": "latest",
+        "minPartitions": "64",
+        "maxOffsetsPerTrigger": "1000",
+    }
+
+
+def test_topic_publish_options(spark, calls, tmp_path, monkeypatch):
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self: "started")
+    trades = normalize_trades(read_trade_stream(spark, "text", str(tmp_path)))
+    assert write_trade_topic(trades, "b:9092", "trades", "/cp") == "started"
+    assert calls["DataStreamWriter"] == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "b:9092",
+        "topic": "trades",
+        "checkpointLocation": "/cp",
+    }
+
+
+class Connection:
+    """Records what a DB-API connection is asked to do."""
+
+    def __init__(self, fail=False):
+        self.log, self.fail = [], fail
+
+    def cursor(self):
+        return self
+
+    def execute(self, statement):
+        self.log.append(statement)
+        if self.fail:
+            raise OSError("merge failed")
+
+    def commit(self):
+        self.log.append("commit")
+
+    def close(self):
+        self.log.append("close")
+
+
+def test_relational_upsert_stages_then_merges_once(spark, calls, monkeypatch):
+    connection = Connection()
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: connection.log.append("staged"))
+    upsert_jdbc(bars(spark, [("A", NOON, 1, 1, 1)]), "t", "s", lambda: connection, url="jdbc:x")
+    assert connection.log == ["staged", merge_statement("t", "s"), "commit", "close"]
+    expected = {"format": "jdbc", "dbtable": "s", "batchsize": "500", "truncate": "true", "url": "jdbc:x"}
+    assert calls["DataFrameWriter"] == expected | {"mode": "overwrite"}
+
+
+def test_failed_merge_is_not_committed(spark, monkeypatch):
+    connection = Connection(fail=True)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: None)
+    with pytest.raises(OSError, match="merge failed"):
+        upsert_jdbc(bars(spark, [("A", NOON, 1, 1, 1)]), "t", "s", lambda: connection)
+    assert connection.log == [merge_statement("t", "s"), "close"]
+
+
+def test_relational_scan_gives_table_types(spark, calls, monkeypatch):
+    stored = bars(spark, [("A", NOON, 1, 1, 1)])
+    loose = stored.withColumn("volume_sum", stored.volume_sum.cast("decimal(20,4)")).select(*reversed(stored.columns))
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: loose)
+    out = read_bars_jdbc(spark, "trade_agg_1m", url="jdbc:x", numPartitions="8")
+    assert out.dtypes == stored.dtypes
+    assert calls["DataFrameReader"] == {
+        "format": "jdbc",
+        "dbtable": "trade_agg_1m",
+        "url": "jdbc:x",
+        "numPartitions": "8",
+    }

@@ -9,6 +9,7 @@ from tapemill.operators import panels
 from tapemill.operators.bars import rollup_1h
 from tapemill.operators.timerange import from_time
 from tapemill.operators.trades import normalize_trades, parse_trades
+from tapemill.sinks import BarTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -72,3 +73,17 @@ def test_history_windows_are_cut_by_chunk(spark):
 @pytest.mark.parametrize("name", ["kpis_1h", "rollup_1h", "dq_recent_30m", "panel_recent"])
 def test_trailing_queries_restrict_the_scan_of_trades(spark, name):
     assert "GreaterThanOrEqual(ts,2024-01" in scan(queries()[name](spark, SF))
+
+
+def test_an_upsert_shuffles_only_for_its_files(spark, tmp_path):
+    """A small batch is broadcast by its measured file size; the stored rows move once, to even out files."""
+    table = BarTable(spark, str(tmp_path / "table"), "hour")
+    table.upsert(bars(spark, [(s, at(minutes=-m), 1, 1, 1) for s in "AB" for m in range(600)]))
+    path = str(tmp_path / "batch")
+    table.read().limit(10).write.parquet(path)
+    number, live = table._pointer()
+    assert number == 1
+    text = plan(table._merged(spark.read.schema(table._ddl).parquet(path), live))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
