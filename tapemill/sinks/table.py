@@ -33,10 +33,16 @@ def _partition_value(name: str) -> Column:
 
 class BarTable:
     def __init__(self, spark: SparkSession, root: str, partition_by: str = "day"):
-        """`partition_by` "hour" keeps the rewrite of a micro-batch small when there are many symbols."""
+        """`partition_by` "hour" keeps the rewrite of a micro-batch small when there are many symbols.
+
+        It counts for a new table; an existing one keeps its partitioning.
+        """
         self.spark = spark
-        self.parts = PARTITIONING[partition_by]
         self.folder = Folder(spark, root)
+        existing = next(iter(self._pointer()[1]), None)
+        self.parts = PARTITIONING[partition_by]
+        if existing:
+            self.parts = [part.split("=")[0] for part in existing.split("/")]
         columns = [f"{field.name} {field.dataType.simpleString()}" for field in BAR_SCHEMA]
         self._ddl = ", ".join(columns + [f"{name} {_PARTITION_TYPES[name]}" for name in self.parts])
 

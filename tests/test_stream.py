@@ -135,6 +135,14 @@ def test_stream_equals_batch(spark, job):
     assert not batch.isEmpty()
 
 
+def test_stream_plan_parses_once_and_shuffles_partial_sums(job):
+    job.land((NOON, "A", 1, 1))
+    text = job.run()._jsq.explainInternal(False)
+    assert text.count("from_json") == 1
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in text.split("Exchange hashpartitioning")[1]
+
+
 def test_state_partitions_do_not_leak_into_the_session(spark, tmp_path):
     job = Job(spark, tmp_path)
     job.land((NOON, "A", 1, 1))

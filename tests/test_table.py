@@ -41,6 +41,16 @@ def test_upsert_inserts_replaces_and_repeats(spark, table):
         assert rows(table.read()) == expected
 
 
+def test_an_existing_table_keeps_its_partitioning(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    for choice in ("day", "hour"):
+        again = BarTable(spark, table.folder.root, choice)
+        assert again.parts == table.parts
+        again.upsert(bars(spark, [(choice, NOON, 1, 1, 1)]))
+        assert from_time(again.read(), since(NOON, "1 HOUR")).where(F.col("symbol") == choice).count() == 1
+    assert table.read().count() == 3
+
+
 def test_empty_upsert_changes_nothing(spark, table):
     table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
     before = table._pointers()
@@ -98,7 +108,7 @@ def test_leftovers_of_a_crash_are_ignored_and_removed(spark, table):
 
 def test_a_second_writer_is_noticed(spark, table, monkeypatch):
     table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
-    other = BarTable(spark, table.folder.root, "hour" if "window_hour" in table.parts else "day")
+    other = BarTable(spark, table.folder.root)
     load = table._load
 
     def load_late(live):
