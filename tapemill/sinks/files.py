@@ -16,11 +16,18 @@ class Folder:
     def _at(self, *parts: str):
         return self._path(self.path(*parts))
 
-    def glob(self, pattern: str) -> list[str]:
-        """Matching paths, relative to the root, in name order."""
+    def modified(self, pattern: str) -> dict[str, int]:
+        """Matching paths, relative to the root, in name order, with the time of their last change in ms."""
         found = self._fs.globStatus(self._at(pattern)) or []
         depth = pattern.count("/") + 1
-        return sorted("/".join(status.getPath().toString().split("/")[-depth:]) for status in found)
+        times = {
+            "/".join(status.getPath().toString().split("/")[-depth:]): status.getModificationTime()
+            for status in found
+        }
+        return dict(sorted(times.items()))
+
+    def glob(self, pattern: str) -> list[str]:
+        return list(self.modified(pattern))
 
     def read_text(self, *parts: str) -> str:
         stream = self._fs.open(self._at(*parts))

@@ -2,13 +2,14 @@
 
 Parquet has no MERGE, and overwriting partitions in place leaves readers (and a crash) with half a table. So
 an upsert writes the touched partitions, merged, to a fresh `version=N` folder; a small pointer file then names
-the version each partition is read from. Readers see the table before or after an upsert, never between. One
-writer per table: the stream writes the minutes, the hourly job the hours.
+the version each partition is read from. Readers see the table before or after an upsert, never between, and
+may go on with what they opened for the retention time. One writer per table: the stream writes the minutes,
+the hourly job the hours.
 """
 
 import json
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ PARTITIONING = {
     "day": ["window_date"],
     "hour": ["window_date", "window_hour"],
 }
+_POINTERS = "_current/*.json"
 _PARTITION_TYPES = {"window_date": "date", "window_hour": "int"}
 
 
@@ -31,13 +33,25 @@ def _partition_value(name: str) -> Column:
     return utc_date(ts) if name == "window_date" else utc_hour(ts)
 
 
+def _pointer_name(version: int) -> str:
+    return f"{version:012d}.json"
+
+
 class BarTable:
-    def __init__(self, spark: SparkSession, root: str, partition_by: str = "day"):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        partition_by: str = "day",
+        retain: timedelta = timedelta(hours=1),
+    ):
         """`partition_by` "hour" keeps the rewrite of a micro-batch small when there are many symbols.
 
-        It counts for a new table; an existing one keeps its partitioning.
+        It counts for a new table; an existing one keeps its partitioning. `retain` is how long a replaced
+        partition stays readable: longer than the longest query over the table.
         """
         self.spark = spark
+        self.retain_ms = retain // timedelta(milliseconds=1)
         self.folder = Folder(spark, root)
         existing = next(iter(self._pointer()[1]), None)
         self.parts = PARTITIONING[partition_by]
@@ -104,23 +118,32 @@ class BarTable:
         return rows.hint("rebalance", *self.parts).sortWithinPartitions(*self.parts, *KEYS)
 
     def _publish(self, version: int, live: dict[str, int]) -> None:
-        """Switch readers over; what the previous pointer names stays for queries still running on it."""
-        pointers = self._pointers()
-        before = self._read_pointer(pointers[-1]) if pointers else {}
-        self.folder.write_text(json.dumps(live), "_current", f"{version:012d}.json")
-        readable = set(before.items()) | set(live.items())
-        for name in pointers[:-1]:
-            for part, number in set(self._read_pointer(name).items()) - readable:
+        """Switch readers over, then drop what no reader within the retention time can have opened."""
+        self.folder.write_text(json.dumps(live), "_current", _pointer_name(version))
+        published = self.folder.modified(_POINTERS)
+        names, times = [path.split("/")[-1] for path in published], list(published.values())
+        # A pointer was in use until the next one came, and the one before the newest until just now.
+        kept = len(names) - 2
+        while kept > 0 and times[-1] - times[kept] <= self.retain_ms:
+            kept -= 1
+        if kept <= 0:
+            return
+        # A partition once replaced never comes back, so the oldest kept pointer tells what later ones need.
+        needed = set(self._read_pointer(names[kept]).items())
+        for name in names[:kept]:
+            for part, number in set(self._read_pointer(name).items()) - needed:
                 self.folder.remove(f"version={number}", part)
             self.folder.remove("_current", name)
-        for number in set(self._versions()) - {number for _, number in readable}:
-            self.folder.remove(f"version={number}")
+        in_use = {number for _, number in needed}
+        for number in self._versions():
+            if _pointer_name(number) < names[kept] and number not in in_use:
+                self.folder.remove(f"version={number}")
 
     def _versions(self) -> list[int]:
         return [int(name.split("=")[1]) for name in self.folder.glob("version=*")]
 
     def _pointers(self) -> list[str]:
-        return [path.split("/")[-1] for path in self.folder.glob("_current/*.json")]
+        return [path.split("/")[-1] for path in self.folder.glob(_POINTERS)]
 
     def _read_pointer(self, name: str) -> dict[str, int]:
         return json.loads(self.folder.read_text("_current", name))

@@ -87,22 +87,35 @@ def test_reader_keeps_its_version_during_the_next_upsert(spark, table):
 
 
 def test_old_versions_go_and_untouched_partitions_stay(spark, table):
+    table.retain_ms = -1
     table.upsert(bars(spark, [("A", at(days=-9), 1, 1, 1), ("A", NOON, 1, 1, 1)]))
     for count in range(2, 7):
         table.upsert(bars(spark, [("A", NOON, count, 1, 1)]))
-    assert len(table._versions()) == 3
+    assert table._versions() == [1, 5, 6]
     assert len(table._pointers()) == 2
     assert [row.trade_cnt for row in table.read().orderBy("window_start_ts").collect()] == [1, 6]
+    assert len(table.folder.glob("version=1/" + "/".join(f"{name}=*" for name in table.parts))) == 1
+
+
+def test_a_slow_reader_survives_many_upserts(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    reader = table.read()
+    for count in range(2, 6):
+        table.upsert(bars(spark, [("A", NOON, count, 1, 1)]))
+    assert reader.first().trade_cnt == 1
+    assert table._versions() == [1, 2, 3, 4, 5]
 
 
 def test_leftovers_of_a_crash_are_ignored_and_removed(spark, table):
+    table.retain_ms = -1
     table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
     bars(spark, [("X", NOON, 8, 8, 8)]).write.parquet(table.folder.path("version=2"))
     bars(spark, [("Y", NOON, 8, 8, 8)]).write.parquet(table.folder.path("_staging", "dead"))
     assert table.read().count() == 1
-    table.upsert(bars(spark, [("B", NOON, 1, 1, 1)]))
+    for _ in range(2):
+        table.upsert(bars(spark, [("B", NOON, 1, 1, 1)]))
     assert sorted(row.symbol for row in table.read().collect()) == ["A", "B"]
-    assert 2 not in table._versions()
+    assert table._versions() == [3, 4]
     assert table.folder.glob("_staging/*") == []
 
 
