@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
 from tapemill.llm.token_counts import count_tokens
 
@@ -24,8 +25,21 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents")
+    lexicon = share_lexicon(spark, frequent_words(docs), path)
+    return decode(encode(docs, path, lexicon), path).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_token_counts,)}
+    return {query.__name__: query for query in (op1_token_counts, op7_bpe_codec)}
 
 
 def llm_oracles() -> dict[str, str]:
