@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapemill.llm import language_id, toxicity
 from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
 from tapemill.llm.token_counts import count_tokens
@@ -25,6 +26,24 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs))
+    predicted = docs.select("doc_id", language_id.held_out().alias("held_out"), found.alias("found"))
+    return predicted.select("doc_id", "held_out", "found.*")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id", toxicity.held_out().alias("held_out"), toxicity.toxicity(docs, model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,7 +58,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_token_counts, op7_bpe_codec)}
+    return {query.__name__: query for query in (op1_token_counts, op4_language_id, op5_toxicity, op7_bpe_codec)}
 
 
 def llm_oracles() -> dict[str, str]:
