@@ -35,7 +35,7 @@ from tapemill.session import work_dir
 LEXICON_WORDS = 65_536
 LEXICON_WORD_BYTES = 48
 # Words kept per worker before its tables start anew; bounds its memory only.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 # Merged with a heap from this length on.
 LONG_WORD = 64
 # Fixed value: the split of a text before merging, as the models of this kind define it.

@@ -21,6 +21,16 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+# Arrow batches are turned into Python objects in parts of about so many bytes.
+PART_BYTES = 4 << 20
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, batch.num_rows * PART_BYTES // max(batch.nbytes, 1))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def map_rows(
     frame: DataFrame,
     columns: list[str],
@@ -34,7 +44,8 @@ def map_rows(
     out = to_arrow_schema(T._parse_datatype_string(schema))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ({name: batch.column(i).to_pylist() for i, name in enumerate(columns)} for batch in batches)
+        parts = (part for batch in batches for part in _parts(batch))
+        lists = ({name: part.column(i).to_pylist() for i, name in enumerate(columns)} for part in parts)
         for made in rows_of(lists):
             yield pa.record_batch(
                 [
@@ -46,14 +57,3 @@ def map_rows(
 
     return frame.select(*columns).mapInArrow(work, schema)
 
-
-def slices(sizes: list[int], most: int) -> Iterator[slice]:
-    """Consecutive slices of rows whose sizes add up to `most` at the most, or single larger rows."""
-    start = total = 0
-    for i, size in enumerate(sizes):
-        if i > start and total + size > most:
-            yield slice(start, i)
-            start, total = i, 0
-        total += size
-    if start < len(sizes):
-        yield slice(start, len(sizes))
