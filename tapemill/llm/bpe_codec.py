@@ -217,13 +217,19 @@ class Encoder:
         self.model, self.lexicon = model, lexicon
         self.words = _Table(self._ids_of_word)
         # Parts of a text between single spaces, each with the space before it.
-        self.parts = _Table(lambda part: b"".join(map(self.words.__getitem__, SPLIT.findall(" " + part))))
+        self.parts = _Table(self._ids_of_part)
 
     def _ids_of_word(self, word: str) -> bytes:
         raw = word.encode()
         found = self.lexicon.find(raw)
         return array("I", self.model.merge(raw)).tobytes() if found is None else found
 
+    def _ids_of_part(self, part: str) -> bytes:
+        # Letters after a space are one word.
+        if part.isalpha():
+            return self._ids_of_word(" " + part)
+        return b"".join(map(self.words.__getitem__, SPLIT.findall(" " + part)))
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit integers."""
         if len(self.parts) > KEPT_WORDS:
@@ -275,7 +281,7 @@ def count_words(docs: DataFrame, text_column: str = "text") -> DataFrame:
 
         def settle() -> None:
             for part, n in parts.items():
-                for word in SPLIT.findall(" " + part):
+                for word in (" " + part,) if part.isalpha() else SPLIT.findall(" " + part):
                     words[word] += n
             parts.clear()
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tapemill.llm import language_id, toxicity
 from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
+from tapemill.llm.html_extraction import extract_text
 from tapemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 4096
@@ -26,6 +27,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page and its length in code points."""
+    extracted = table(spark, sf_dir, "pages").select("page_id", "url", extract_text(F.col("html")).alias("text"))
+    return extracted.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -58,7 +65,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_token_counts, op4_language_id, op5_toxicity, op7_bpe_codec)}
+    return {query.__name__: query for query in (op1_token_counts, op2_html_extraction, op4_language_id, op5_toxicity, op7_bpe_codec)}
 
 
 def llm_oracles() -> dict[str, str]:
