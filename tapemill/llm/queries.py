@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from tapemill.llm import language_id, toxicity
 from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
+from tapemill.llm.decontamination import benchmark_matches
 from tapemill.llm.html_extraction import extract_text
+from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
 from tapemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 4096
@@ -64,9 +66,57 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a benchmark passage, the item, the score and the words that it spans."""
+    docs = table(spark, sf_dir, "documents")
+    matches = benchmark_matches(docs, table(spark, sf_dir, "benchmark"))
+    return docs.select("doc_id", F.explode(matches).alias("match")).select("doc_id", "match.*")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated multi-line chunks."""
+    docs = table(spark, sf_dir, "documents")
+    return remove_repeated_chunks(docs).select("doc_id", "text", "removed_chunks")
+
+
+# Lines with their hashes, chunks from the rolling hash, and the chunks left after the first occurrence.
+_OP9_SQL = f"""
+WITH line AS (
+  SELECT doc_id, u.line AS line, u.i AS i
+  FROM documents, unnest(list_zip(string_split(text, chr(10)),
+    range(1, len(string_split(text, chr(10))) + 1))) AS t(u0), LATERAL (SELECT u0[1] AS line, u0[2] AS i) u),
+hashed AS (
+  SELECT *, CAST(concat('0x', substr(md5(line), 1, 8)) AS BIGINT) AS h FROM line),
+rolled AS (
+  SELECT *, (h + {BASE} * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0))
+    % {MODULUS} % {SPACING} = 0 AS ends FROM hashed),
+numbered AS (
+  SELECT *, coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END) OVER (
+    PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM rolled),
+chunk AS (
+  SELECT doc_id, n, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS size
+  FROM numbered GROUP BY doc_id, n),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, n) AS rank FROM chunk),
+marked AS (
+  SELECT *, size > 1 AND regexp_matches(chunk, '\\S') AND rank > 1 AS removed FROM ranked)
+SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY n) FILTER (NOT removed), '') AS text,
+  CAST(count(*) FILTER (removed) AS INTEGER) AS removed_chunks
+FROM marked GROUP BY doc_id"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op1_token_counts, op2_html_extraction, op4_language_id, op5_toxicity, op7_bpe_codec)}
+    queries = (
+        op1_token_counts,
+        op2_html_extraction,
+        op4_language_id,
+        op5_toxicity,
+        op7_bpe_codec,
+        op8_decontamination,
+        op9_line_dedup,
+    )
+    return {query.__name__: query for query in queries}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": _OP9_SQL}
