@@ -12,6 +12,7 @@ from tapemill.llm.common import table
 from tapemill.llm.decontamination import benchmark_matches
 from tapemill.llm.html_extraction import extract_text
 from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
+from tapemill.llm.ngram_join import similar_documents
 from tapemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 4096
@@ -79,6 +80,34 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_chunks(docs).select("doc_id", "text", "removed_chunks")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and the component that its links lead to."""
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
+# All pairs that share a shingle, and the smallest id that links lead to.
+_OP10_SQL = """
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM word)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n
+  HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reached AS (
+  SELECT a, b FROM link UNION SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles,
+  least(d.doc_id, coalesce(min(reached.b), d.doc_id)) AS component_id
+FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN reached ON reached.a = d.doc_id
+GROUP BY d.doc_id, size.n"""
+
+
 # Lines with their hashes, chunks from the rolling hash, and the chunks left after the first occurrence.
 _OP9_SQL = f"""
 WITH line AS (
@@ -114,9 +143,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op7_bpe_codec,
         op8_decontamination,
         op9_line_dedup,
+        op10_ngram_join,
     )
     return {query.__name__: query for query in queries}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_line_dedup": _OP9_SQL}
+    return {"op9_line_dedup": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
