@@ -1,8 +1,8 @@
 """Toxicity scores from a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
 A feature is the presence of a hashed n-gram in a text. Its log-count ratio compares the share of toxic rows
-that have it with the share of other rows. The features that tell the classes apart best are kept, each valued
-at its ratio, and a regularised logistic regression is fitted to them. The score is its probability.
+that have it with the share of other rows. The features whose ratio stands out most are kept, each valued at its
+ratio, and a regularised logistic regression is fitted to them. The score is its probability.
 
 Learning takes a sample of the labelled rows, SAMPLE_ROWS at the most, in the order of a hash of their id.
 Counting and featurising run as Spark jobs; the driver sees FEATURES counts and the sample's kept features.
@@ -30,9 +30,10 @@ from tapemill.llm.ngrams import gram_slots
 SAMPLE_ROWS = 40_000
 SIZES = (3, 4, 5)
 BITS = 18
-FEATURES = 16_384
-# A feature must occur in so many sampled rows.
+FEATURES = 4096
+# A feature must occur in so many sampled rows, with a log ratio of so many standard deviations.
 LEAST_ROWS = 3
+LEAST_STRENGTH = 3.0
 THRESHOLD = 0.7
 _RIDGE = 1e-3
 _STEPS = 400
@@ -122,6 +123,7 @@ def _fitted(sample: DataFrame) -> ToxicityModel:
         _class_counts(sample)
         .where((F.col("slot") >= 0) & (F.col("clean") + F.col("toxic") >= LEAST_ROWS))
         .select("slot", ratio.alias("ratio"), F.abs(ratio / spread).alias("strength"))
+        .where(F.col("strength") >= LEAST_STRENGTH)
         .orderBy(F.desc("strength"), "slot")
         .limit(FEATURES)
         .collect()
