@@ -10,6 +10,7 @@ from tapemill.llm import language_id, toxicity
 from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
 from tapemill.llm.decontamination import benchmark_matches
+from tapemill.llm.embedding_dedup import near_vectors
 from tapemill.llm.html_extraction import extract_text
 from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
 from tapemill.llm.ngram_join import similar_documents
@@ -54,6 +55,31 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+_OP6_SQL = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached AS (
+  SELECT a, b FROM link UNION SELECT reached.a, link.b FROM reached JOIN link ON reached.b = link.a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a),
+least_id AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links,
+  least(e.vec_id, coalesce(least_id.b, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(least_id.b, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN least_id ON least_id.a = e.vec_id"""
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -140,6 +166,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_html_extraction,
         op4_language_id,
         op5_toxicity,
+        op6_embedding_dedup,
         op7_bpe_codec,
         op8_decontamination,
         op9_line_dedup,
@@ -149,4 +176,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_line_dedup": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
+    return {"op6_embedding_dedup": _OP6_SQL, "op9_line_dedup": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
