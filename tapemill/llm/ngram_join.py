@@ -28,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapemill.llm.common import map_rows, saved
 from tapemill.llm.graph import components
+from tapemill.llm.wordhash import P1, P2, STEP, mix, run_hashes, word_hashes, words_of
 
 SHINGLE = 5
 # Least similarity, in percent; links need 100 * intersection >= LEAST * union.
@@ -46,43 +46,15 @@ DELETED = 4
 CROWD = 64
 # Ids up to so many are broadcast; more are joined.
 BROADCAST_IDS = 500_000
-_KEPT_WORDS = 200_000
-
-_P1, _P2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_hash_of: dict[bytes, int] = {}
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _P1
-    x = (x ^ (x >> np.uint64(27))) * _P2
-    return x ^ (x >> np.uint64(31))
-
-
-def words_of(text: str) -> list[bytes]:
-    # Lower-cases and splits at ASCII only.
-    return text.encode().lower().split()
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hash_of) > _KEPT_WORDS:
-        _hash_of.clear()
-    for word in set(words):
-        if word not in _hash_of:
-            _hash_of[word] = xxhash.xxh3_64_intdigest(word)
-    return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a whole text."""
-    words = _word_hashes(words_of(text or ""))
+    words = word_hashes(words_of(text or ""))
     if not len(words):
         return words
     n = min(SHINGLE, len(words))
-    code = np.full(len(words) - n + 1, n, np.uint64)
-    for k in range(n):
-        code = code * _STEP + words[k : len(words) - n + 1 + k]
-    return np.unique(_mix(code))
+    return np.unique(run_hashes(words, n))
 
 
 def similar(a: str, b: str, sets: dict[str, frozenset]) -> bool:
@@ -127,22 +99,22 @@ def segments(number: int) -> int:
 def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, int]:
     """A set's signatures in a band, whether each has a shingle deleted, and what they count for together."""
     size, m = len(tokens), segments(number)
-    salt = _mix(np.array([number + 1], np.uint64) * _STEP)
+    salt = mix(np.array([number + 1], np.uint64) * STEP)
     if not m:
-        return _mix(tokens ^ salt), np.zeros(size, bool), size
-    place = (_mix(tokens + salt) % np.uint64(m)).astype(np.int64)
+        return mix(tokens ^ salt), np.zeros(size, bool), size
+    place = (mix(tokens + salt) % np.uint64(m)).astype(np.int64)
     order = np.argsort(place, kind="stable")
-    place, tokens = place[order], _mix(tokens[order] ^ salt)
+    place, tokens = place[order], mix(tokens[order] ^ salt)
     starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
     held = place[starts]
     counts = np.diff(np.append(starts, size))
     sums = np.add.reduceat(tokens, starts)
-    names = _mix(held.astype(np.uint64) * _STEP + salt)
-    exact = _mix(sums + names)
+    names = mix(held.astype(np.uint64) * STEP + salt)
+    exact = mix(sums + names)
     # One shingle deleted, in the first segments, where that leaves any.
     group = np.repeat(np.arange(len(starts)), counts)
     inside = (held[group] < DELETED) & (counts[group] > 1)
-    deleted = _mix(sums[group[inside]] - tokens[inside] + names[group[inside]])
+    deleted = mix(sums[group[inside]] - tokens[inside] + names[group[inside]])
     double = (held < DELETED) & (counts > 1)
     worth = len(held) + int(double.sum())
     if size >= 2 << number:
@@ -173,8 +145,8 @@ def _digests(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
             yield [
                 batch[id_column],
                 [len(s) for s in sets],
-                [int(_mix(s ^ _P1).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
-                [int(_mix(s ^ _P2).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
+                [int(mix(s ^ P1).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
+                [int(mix(s ^ P2).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
                 [share.astype("<u4").tobytes() for share in shares],
             ]
 

@@ -14,6 +14,7 @@ from tapemill.llm.embedding_dedup import near_vectors
 from tapemill.llm.html_extraction import extract_text
 from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
 from tapemill.llm.ngram_join import similar_documents
+from tapemill.llm.substring_dedup import shared_passages
 from tapemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 4096
@@ -37,6 +38,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that a document shares with an earlier one, with its place in both."""
+    return shared_passages(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -164,6 +170,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     queries = (
         op1_token_counts,
         op2_html_extraction,
+        op3_substring_dedup,
         op4_language_id,
         op5_toxicity,
         op6_embedding_dedup,
