@@ -46,10 +46,14 @@ def code_matrix(n: int) -> np.ndarray:
     if n <= EXHAUSTIVE:
         columns = [(1, *rest) for rest in product((-1, 1), repeat=n - 1) if -1 in rest]
         return np.array(columns, np.int8).T
-    random = np.random.default_rng(n)
-    drawn = random.choice(np.array([-1, 1], np.int8), (4 * int(np.ceil(10 * np.log2(n))), n))
-    drawn = np.unique(drawn * drawn[:, :1], axis=0)
-    return drawn[np.abs(drawn.sum(axis=1)) < n][: int(np.ceil(10 * np.log2(n)))].T
+    random, bits = np.random.default_rng(n), int(np.ceil(10 * np.log2(n)))
+    while True:
+        drawn = random.choice(np.array([-1, 1], np.int8), (2 * bits, n))
+        # A column and its negative are one bit.
+        drawn = random.permutation(np.unique(drawn * drawn[:, :1], axis=0))
+        codes = drawn[np.abs(drawn.sum(axis=1)) < n][:bits].T
+        if len(np.unique(codes, axis=0)) == n:
+            return codes
 
 
 @dataclass

@@ -1,0 +1,88 @@
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, _chunked, remove_repeated_chunks
+
+
+def chunks_of(text):
+    """The definition, in plain Python."""
+    import hashlib
+
+    lines, found, open_lines, before = text.split("\n"), [], [], 0
+    for i, line in enumerate(lines):
+        own = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
+        open_lines.append(line)
+        if (own + BASE * before) % MODULUS % SPACING == 0 or i == len(lines) - 1:
+            found.append("\n".join(open_lines))
+            open_lines = []
+        before = own
+    return found
+
+
+def brute_force(rows):
+    texts = {}
+    for i, text in rows:
+        texts.setdefault((i, text))
+    first, out = set(), {}
+    for i, text in sorted((row for row in texts if row[0] is not None and row[1] is not None), key=lambda r: r[0]):
+        kept = []
+        for chunk in chunks_of(text):
+            if "\n" in chunk and chunk.split() and chunk in first:
+                continue
+            if "\n" in chunk:
+                first.add(chunk)
+            kept.append(chunk)
+        out[i] = "\n".join(kept)
+    return out
+
+
+def test_chunks_join_to_the_text(documents):
+    texts = ["", "\n", "a", "a\n", "\n\n\n", *("\n".join(map(str, range(n))) for n in (2, 30, 2000))]
+    rows = _chunked(documents(list(enumerate(texts))).select("doc_id", "text"), "text").collect()
+    assert all([c["text"] for c in row["_chunks"]] == chunks_of(texts[row["doc_id"]]) for row in rows)
+
+
+def test_against_brute_force(documents):
+    random.seed(5)
+    lines = [f"line {i}" for i in range(12)] + ["", "  "]
+    rows = [(i, "\n".join(random.choices(lines, k=random.randint(1, 9)))) for i in range(120)]
+    rows += [(200 + i, rows[3][1]) for i in range(30)]
+    found = remove_repeated_chunks(documents(rows)).collect()
+    assert {row["doc_id"]: row["text"] for row in found} == brute_force(rows)
+
+
+def test_a_shared_passage_goes_whatever_surrounds_it(documents):
+    passage = "\n".join(f"shared sentence {i}" for i in range(40))
+    rows = [(i, f"own {i}\nsecond own {i}\n{passage}\nlast {i}") for i in range(5)]
+    found = {row["doc_id"]: row for row in remove_repeated_chunks(documents(rows)).collect()}
+    assert found[0]["text"] == rows[0][1]
+    for i in range(1, 5):
+        assert found[i]["text"].count("shared") < 20
+        assert f"own {i}" in found[i]["text"] and f"last {i}" in found[i]["text"]
+
+
+def test_edge_rows_and_columns(documents):
+    twice = "\n".join(f"x{i}" for i in range(20))
+    rows = [(1, None), (2, ""), (3, "one"), (4, "one"), (None, twice), (None, twice), (5, twice), (5, twice), (6, twice)]
+    frame = documents(rows)
+    found = remove_repeated_chunks(frame)
+    assert found.columns == [*frame.columns, "removed_chunks"]
+    by_id = {}
+    for row in found.collect():
+        by_id.setdefault(row["doc_id"], []).append(row["text"])
+    left = "\n".join(chunk for chunk in chunks_of(twice) if "\n" not in chunk)
+    assert by_id == {1: [None], 2: [""], 3: ["one"], 4: ["one"], None: [twice, twice], 5: [twice, twice], 6: [left]}
+    assert remove_repeated_chunks(documents([])).collect() == []
+
+
+def test_no_python_in_the_plan(documents, capsys):
+    remove_repeated_chunks(documents([(1, "a\nb")])).explain()
+    assert "Python" not in capsys.readouterr().out
+
+
+@given(st.lists(st.sampled_from("abc"), min_size=1, max_size=12))
+@settings(max_examples=50, deadline=None)
+def test_definition_joins(lines):
+    assert "\n".join(chunks_of("\n".join(lines))) == "\n".join(lines)
