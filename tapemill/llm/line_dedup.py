@@ -22,6 +22,8 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapemill.llm.common import saved
+
 WINDOW = 2
 SPACING = 3
 # Fixed values of the rolling hash.
@@ -76,7 +78,8 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.min("id").alias("low"), F.max("id").alias("high"), F.max(F.col("again").cast("int")).alias("again")
     )
     hashes = hashes.where((F.col("low") != F.col("high")) | (F.col("again") > 0)).select("hash")
-    candidates = found.join(hashes, "hash")
+    # Written once, as it is read twice and is a small part of what the join has to move.
+    candidates = saved(found.join(hashes, "hash"), "repeated-chunks")
     # Equal hashes are no proof: from here on, texts are compared.
     firsts = candidates.groupBy("hash", "chunk").agg(F.min("id").alias("first"))
     later = candidates.join(firsts, ["hash", "chunk"]).where((F.col("id") != F.col("first")) | F.col("again"))
@@ -86,21 +89,22 @@ def repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def remove_repeated_chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of `docs` without the repeated chunks in their texts, and `removed_chunks`, how many each lost."""
     later = repeated_chunks(docs, id_column, text_column)
-    removed = later.groupBy(F.col("id").alias("_id")).agg(
-        F.collect_set(F.struct("position", "hash")).alias("_removed")
+    removed = later.groupBy("id").agg(F.collect_set(F.struct("position", "hash")).alias("removed"))
+    # Columns are numbered meanwhile, so that none clashes with those used here.
+    place = {name: f"in_{i}" for i, name in enumerate(docs.columns)}
+    rows = docs.toDF(*place.values()).withColumns(
+        {"id": F.col(place[id_column]), "whole": F.col(place[text_column])}
     )
-    original = docs.columns
-    joined = docs.join(removed, F.col(id_column) == F.col("_id"), "left")
+    joined = rows.join(removed, "id", "left")
     # Only texts that lose something are cut up again.
-    joined = joined.withColumn("_cut", F.when(F.col("_removed").isNotNull(), F.col(text_column)))
-    chunked = _chunked(joined, "_cut")
+    joined = joined.withColumn("text", F.when(F.col("removed").isNotNull(), F.col("whole")))
 
     def stays(chunk: Column, position: Column) -> Column:
         place = F.struct(position.alias("position"), F.xxhash64(chunk["text"]).alias("hash"))
-        return ~F.array_contains("_removed", place)
+        return ~F.array_contains("removed", place)
 
-    chunked = _once(chunked, "_kept", F.filter("_chunks", stays))
-    text = F.coalesce(F.array_join(F.col("_kept.text"), "\n"), F.col(text_column))
+    kept = _once(_chunked(joined, "text"), "_kept", F.filter("_chunks", stays))
+    text = F.coalesce(F.array_join(F.col("_kept.text"), "\n"), F.col("whole"))
     lost = F.coalesce(F.array_size("_chunks") - F.array_size("_kept"), F.lit(0))
-    columns = [text.alias(name) if name == text_column else F.col(name) for name in original]
-    return chunked.select(*columns, lost.alias("removed_chunks"))
+    columns = [(text if name == text_column else F.col(place[name])).alias(name) for name in docs.columns]
+    return kept.select(*columns, lost.alias("removed_chunks"))
