@@ -1,4 +1,12 @@
-from tapemill.functions.numeric import exact_mean, exact_sum, grouped_text, percent_text, usable_price, usable_qty
+from tapemill.functions.numeric import (
+    exact_mean_price,
+    exact_volume,
+    grouped_text,
+    percent_text,
+    table_price,
+    usable_price,
+    usable_qty,
+)
 from tapemill.functions.temporal import (
     display_time,
     event_time,
@@ -7,6 +15,7 @@ from tapemill.functions.temporal import (
     minute_label,
     parse_time,
     since,
+    usable_time,
     utc_date,
     utc_hour,
 )
@@ -14,8 +23,8 @@ from tapemill.functions.temporal import (
 __all__ = [
     "display_time",
     "event_time",
-    "exact_mean",
-    "exact_sum",
+    "exact_mean_price",
+    "exact_volume",
     "floor_hour",
     "grouped_text",
     "instant",
@@ -23,6 +32,8 @@ __all__ = [
     "parse_time",
     "percent_text",
     "since",
+    "table_price",
+    "usable_time",
     "usable_price",
     "usable_qty",
     "utc_date",

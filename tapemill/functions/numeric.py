@@ -1,44 +1,31 @@
-"""Exact sums over double columns, range checks and number texts."""
-
-from decimal import Decimal
-from functools import reduce
-from operator import add
+"""Exact sums and means over double columns, range checks and number texts."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tapemill.schemas import PRICE_LIMIT, QTY_LIMIT
+from tapemill.schemas import PRICE_LIMIT, PRICE_TYPE, VOLUME_TYPE
 
-# Bits in the lower piece of a whole part.
-_SHIFT = 30
+# Digits that a price keeps until its mean is rounded, once.
+_FINE_PRICE = "decimal(28,18)"
 
 
-def exact_sum(value: Column, scale: int) -> Column:
-    """Sum of doubles, each taken at `scale` decimal digits: the same result in any row order.
+def exact_volume(qty: Column) -> Column:
+    """Sum of quantities, each as the decimal number that the JVM writes its double as.
 
-    Sums of decimal columns give this too, but go through BigDecimal for every row (about three times
-    slower than summing doubles). Here a value is cut into four small integers, two for its whole part and
-    two for its fraction, each summed as bigint; decimals appear once per group. `scale` must be even.
-    Below QTY_LIMIT every piece stays under 2^30, so its sum holds for 2^33 rows of one group and fails
-    loudly (ANSI mode) beyond; at everyday magnitudes, for thousands of times more.
+    The result does not depend on row order. It fails loudly (ANSI mode, which `configure` pins) where it
+    no longer fits the table.
     """
-    half = 10 ** (scale // 2)
-    whole = F.floor(value)
-    fraction = value - whole
-    upper = F.floor(fraction * F.lit(float(half)))
-    pieces = [
-        (F.shiftright(whole, _SHIFT), Decimal(2**_SHIFT)),
-        (whole.bitwiseAND(F.lit(2**_SHIFT - 1)), Decimal(1)),
-        (upper, Decimal(1).scaleb(-scale // 2)),
-        (F.rint(fraction * F.lit(float(10**scale))).cast("bigint") - upper * F.lit(half), Decimal(1).scaleb(-scale)),
-    ]
-    # 35 digits leave room for the three additions, which would otherwise give up decimal places.
-    total = f"decimal(35,{scale})"
-    return reduce(add, [(F.sum(piece).cast("decimal(20,0)") * F.lit(unit)).cast(total) for piece, unit in pieces])
+    return F.sum(qty.cast(VOLUME_TYPE)).cast(VOLUME_TYPE)
+
+
+def exact_mean_price(price: Column) -> Column:
+    """Mean of prices at eighteen decimal places, rounded half up to the table's eight at the end."""
+    return F.avg(price.cast(_FINE_PRICE)).cast(PRICE_TYPE)
 
 
-def exact_mean(value: Column, scale: int) -> Column:
-    return exact_sum(value, scale) / F.count(value)
+def table_price(price: Column) -> Column:
+    """A price as the table holds it; by way of the same digits as the mean, so that it lies on the right side."""
+    return price.cast(_FINE_PRICE).cast(PRICE_TYPE)
 
 
 def usable_price(price: Column) -> Column:
@@ -47,7 +34,8 @@ def usable_price(price: Column) -> Column:
 
 
 def usable_qty(qty: Column) -> Column:
-    return F.coalesce(F.abs(qty) < F.lit(QTY_LIMIT), F.lit(False))
+    """Finite and within the table's volume type."""
+    return qty.try_cast(VOLUME_TYPE).isNotNull()
 
 
 def grouped_text(value: Column, digits: int) -> Column:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Fixed value: zone in which times are shown.
 DISPLAY_ZONE = "Asia/Seoul"
 
+# Milliseconds of the first and the last instant of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
 Now = datetime | Column | None
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -33,8 +36,12 @@ def floor_hour(ts: Column) -> Column:
 
 
 def event_time(ms: Column) -> Column:
-    """Milliseconds since the epoch to a timestamp, without a detour through double."""
-    return F.timestamp_millis(ms)
+    """Milliseconds since the epoch to a timestamp, without a detour through double; null beyond the years 1 to 9999."""
+    return F.when(usable_time(ms), F.timestamp_millis(ms))
+
+
+def usable_time(ms: Column) -> Column:
+    return F.coalesce(ms.between(FIRST_MS, LAST_MS), F.lit(False))
 
 
 def parse_time(text: Column) -> Column:

@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapemill.functions import exact_mean, exact_sum, floor_hour, instant
+from tapemill.functions import exact_mean_price, exact_volume, floor_hour, instant, table_price
 from tapemill.functions.temporal import Now
 from tapemill.operators.timerange import from_time
-from tapemill.schemas import KEYS, MEASURES, PRICE_SCALE, PRICE_TYPE, VOLUME_SCALE, VOLUME_TYPE
+from tapemill.schemas import KEYS, MEASURES, PRICE_TYPE, VOLUME_TYPE
 
 
 def minute_bars(trades: DataFrame, width: str = "1 minute") -> DataFrame:
@@ -18,10 +18,10 @@ def minute_bars(trades: DataFrame, width: str = "1 minute") -> DataFrame:
     price, qty = F.col("price"), F.col("qty")
     grouped = trades.groupBy(F.window("event_time", width).alias("bucket"), "symbol").agg(
         F.count(F.lit(1)).alias("trade_cnt"),
-        exact_sum(qty, VOLUME_SCALE).cast(VOLUME_TYPE).alias("volume_sum"),
-        exact_mean(price, PRICE_SCALE).cast(PRICE_TYPE).alias("price_avg"),
-        F.min(price).cast(PRICE_TYPE).alias("price_min"),
-        F.max(price).cast(PRICE_TYPE).alias("price_max"),
+        exact_volume(qty).alias("volume_sum"),
+        exact_mean_price(price).alias("price_avg"),
+        table_price(F.min(price)).alias("price_min"),
+        table_price(F.max(price)).alias("price_max"),
     )
     return grouped.select("symbol", F.col("bucket.start").alias("window_start_ts"), *MEASURES)
 

@@ -1,13 +1,15 @@
 """From exchange messages to trades: normalise, reject, encode for the topic, parse back."""
 
+import uuid
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, StructField, StructType
 
-from tapemill.functions import event_time, usable_price, usable_qty
+from tapemill.functions import event_time, usable_price, usable_qty, usable_time
 from tapemill.schemas import RAW_SCHEMA, TRADE_SCHEMA, VOLUME_TYPE
 
 TRADE_COLUMNS = TRADE_SCHEMA.fieldNames()
@@ -18,39 +20,59 @@ def _number(text: Column) -> Column:
     return F.when(text.try_cast(VOLUME_TYPE).isNotNull(), text.try_cast("double"))
 
 
-def _fields(struct: Column) -> Column:
-    """The fields of a parsed JSON text as columns, parsed once per record.
+def _once(parsed: Column, *steps: Callable[[Column], Column]) -> Column:
+    """What the steps make of a parsed JSON text, as columns; the text is parsed once per record.
 
     A filter on a field of a plain `from_json` column is pushed below it, and the parse then repeats for
-    every mention of a field in the filter. Nothing is pushed below a generator.
+    every mention of a field in the filter. Nothing is pushed below a generator, and within one the steps
+    get each value as a lambda's variable.
     """
-    return F.inline(F.array(struct))
+    made = F.array(parsed)
+    for step in steps:
+        made = F.transform(made, step)
+    return F.inline(made)
 
 
-def _strict_json(text: Column, schema: StructType) -> Column:
+def _strict_json(text: Column, schema: StructType) -> tuple[Column, Callable[[Column], Column]]:
     """Like from_json, but text after the object or single quotes make the record unreadable too.
 
-    from_json stops at the end of the first object; inside another object the parser has to go on.
+    from_json stops at the end of the first value. Here that is an array of the message and a mark, which no
+    message can hold, as it is drawn anew for each plan. Returns the array and the step that takes the message.
     """
-    wrapped = F.concat(F.lit('{"message":'), text, F.lit("}"))
-    wrapper = StructType([StructField("message", schema)])
-    return F.from_json(wrapped, wrapper, {"allowSingleQuotes": "false"})["message"]
+    mark = f"end-{uuid.uuid4().hex}"
+    element = StructType([*schema.fields, StructField(mark, BooleanType())])
+    wrapped = F.concat(F.lit("["), text, F.lit(f',{{"{mark}":true}}]'))
+    array = F.from_json(wrapped, ArrayType(element), {"allowSingleQuotes": "false"})
 
+    def message(values: Column) -> Column:
+        whole = (F.size(values) == 2) & values[0][mark].isNull() & values[1][mark]
+        return F.when(whole, F.struct(*[values[0][name].alias(name) for name in schema.fieldNames()]))
 
-def _all_null(*columns: str) -> Column:
-    return reduce(and_, [F.col(name).isNull() for name in columns])
+    return array, message
+
+
+def _is_true(flag: Column) -> Column:
+    """False for a JSON value that is missing, null, false, a zero, or an empty text, list or object."""
+    text = F.to_json(flag)
+    zero = F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return F.coalesce(~(text.isin("null", "false", '""', "[]", "{}") | zero), F.lit(False))
+
+
+def _all_null(columns: Iterable[Column]) -> Column:
+    return reduce(and_, [column.isNull() for column in columns])
 
 
 def _usable() -> Column:
     price, qty = usable_price(F.col("price")), usable_qty(F.col("qty"))
-    return F.col("ts").isNotNull() & F.col("symbol").isNotNull() & price & qty
+    return usable_time(F.col("ts")) & F.col("symbol").isNotNull() & price & qty
 
 
 def _reject_reason() -> Column:
     """NULL for a usable trade, else the first thing wrong with it."""
     return (
-        F.when(_all_null("ts", "symbol", "price", "qty"), "unreadable message")
+        F.when(_all_null(map(F.col, ("ts", "symbol", "price", "qty"))), "unreadable message")
         .when(F.col("ts").isNull(), "no event time")
+        .when(~usable_time(F.col("ts")), "bad event time")
         .when(~usable_price(F.col("price")), "bad price")
         .when(~usable_qty(F.col("qty")), "bad quantity")
         .when(F.col("symbol").isNull(), "no symbol")
@@ -59,17 +81,20 @@ def _reject_reason() -> Column:
 
 def _from_messages(messages: DataFrame, symbol: str | None) -> DataFrame:
     message = messages.select(F.col("value").cast("string").alias("value"))
-    parsed = message.select("value", _fields(_strict_json(F.col("value"), RAW_SCHEMA)))
-    constant = F.when(~_all_null(*RAW_SCHEMA.fieldNames()), F.lit(symbol))
-    return parsed.select(
-        "value",
-        # T = 0 counts as missing, like T itself being absent.
-        F.coalesce(F.nullif("T", F.lit(0)), "E").alias("ts"),
-        (F.col("s") if symbol is None else constant).alias("symbol"),
-        _number(F.col("p")).alias("price"),
-        _number(F.col("q")).alias("qty"),
-        F.when(F.col("m"), "sell").otherwise("buy").alias("side"),
-    )
+    parsed, pick = _strict_json(F.col("value"), RAW_SCHEMA)
+
+    def trade(raw: Column) -> Column:
+        constant = F.when(~_all_null(raw[name] for name in RAW_SCHEMA.fieldNames()), F.lit(symbol))
+        return F.struct(
+            # T = 0 counts as missing, like T itself being absent.
+            F.coalesce(F.nullif(raw["T"], F.lit(0)), raw["E"]).alias("ts"),
+            (raw["s"] if symbol is None else constant).alias("symbol"),
+            _number(raw["p"]).alias("price"),
+            _number(raw["q"]).alias("qty"),
+            F.when(_is_true(raw["m"]), "sell").otherwise("buy").alias("side"),
+        )
+
+    return message.select("value", _once(parsed, pick, trade))
 
 
 def normalize_trades(messages: DataFrame, symbol: str | None = None) -> DataFrame:
@@ -103,7 +128,7 @@ def encode_trades(trades: DataFrame) -> DataFrame:
 
 def _decoded(messages: DataFrame) -> DataFrame:
     message = messages.select(F.col("value").cast("string").alias("value"))
-    return message.select("value", _fields(F.from_json("value", TRADE_SCHEMA)))
+    return message.select("value", _once(F.from_json("value", TRADE_SCHEMA)))
 
 
 def parse_trades(messages: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ RAW_SCHEMA = T.StructType(
         T.StructField("s", T.StringType()),
         T.StructField("p", T.StringType()),
         T.StructField("q", T.StringType()),
-        T.StructField("m", T.BooleanType()),
+        # Any JSON value: what counts is whether it is true in the exchange's sense.
+        T.StructField("m", T.VariantType()),
     ]
 )
 
@@ -25,15 +26,17 @@ TRADE_SCHEMA = T.StructType(
     ]
 )
 
+# Record of the topic: bytes.
+TOPIC_SCHEMA = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())])
+
 # Precision of the aggregate tables.
 PRICE_SCALE = 8
 VOLUME_SCALE = 10
 PRICE_TYPE = T.DecimalType(18, PRICE_SCALE)
 VOLUME_TYPE = T.DecimalType(38, VOLUME_SCALE)
 
-# Smallest magnitude that no longer fits PRICE_TYPE, and the largest exact whole part we sum.
+# Smallest magnitude that no longer fits PRICE_TYPE.
 PRICE_LIMIT = 1e10
-QTY_LIMIT = 1e18
 
 KEYS = ["symbol", "window_start_ts"]
 MEASURES = ["trade_cnt", "volume_sum", "price_avg", "price_min", "price_max"]

@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 # Settings a running session accepts. Window starts, hour truncation and labels are defined in UTC.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Overflow fails instead of giving nulls, and decimals are written out plainly.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # State grows with open (window, symbol) pairs: keep it off the heap, upload only changes.

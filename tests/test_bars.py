@@ -1,44 +1,71 @@
 """Window aggregation and the hourly rollup."""
 
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from helpers import NOON, at, bars, trades
 from pyspark.sql import functions as F
 
-from tapemill.functions import event_time, exact_mean, exact_sum
+from tapemill.functions import event_time, exact_volume, usable_qty
 from tapemill.operators.bars import hour_bars, minute_bars, rollup_1h
 
-ROUNDED = {8: Decimal("1e-8"), 10: Decimal("1e-10")}
-
-
-@pytest.mark.parametrize("scale", [8, 10])
-@pytest.mark.parametrize("magnitude", [1e-6, 1.0, 70000.0, 2e5])
-def test_exact_sum_equals_decimal_arithmetic(spark, scale, magnitude):
-    random.seed(scale)
-    values = [round(random.uniform(-magnitude, magnitude), scale) for _ in range(2000)] + [0.0, -0.5, 0.99999999]
-    expected = sum(Decimal(repr(value)).quantize(ROUNDED[scale], ROUND_HALF_UP) for value in values)
-    frame = spark.createDataFrame([(value,) for value in values], "x double").repartition(7)
-    got = frame.agg(exact_sum(F.col("x"), scale).alias("total"), exact_mean(F.col("x"), scale).alias("mean")).first()
-    assert got.total == expected
-    assert abs(got.mean - expected / len(values)) < ROUNDED[scale]
-
-
-def test_exact_sum_does_not_depend_on_order(spark):
-    values = [(float(i), 0.1 * i) for i in range(5000)]
-    frame = spark.createDataFrame(values, "i double, x double")
-    totals = {frame.orderBy(order).agg(exact_sum(F.col("x"), 10)).first()[0] for order in ("i", F.desc("i"), F.rand(1))}
-    assert totals == {Decimal("1249750.0000000000")}
-
-
-def test_large_quantities_and_a_wide_range(spark):
-    frame = spark.createDataFrame([(1e15,), (0.0000000001,), (123456789.0,)], "x double")
-    assert frame.agg(exact_sum(F.col("x"), 10)).first()[0] == Decimal("1000000123456789.0000000001")
-    # Together beyond bigint, and below zero.
-    huge = spark.range(1000).select(F.lit(9e17).alias("x"), F.lit(-123456789012.5).alias("y"))
-    totals = huge.agg(exact_sum(F.col("x"), 10), exact_sum(F.col("y"), 8)).first()
-    assert tuple(totals) == (Decimal(9 * 10**20), Decimal("-123456789012500"))
+VOLUME = Decimal("1e-10")
+
+
+@pytest.mark.parametrize("magnitude", [1e-9, 1e-6, 1.0, 70000.0, 1e9, 1e15])
+def test_sums_are_those_of_the_written_numbers(spark, magnitude):
+    random.seed(1)
+    values = [float(f"{random.uniform(-magnitude, magnitude):.12g}") for _ in range(2000)] + [0.0, -0.5, 0.99999999]
+    with localcontext(prec=60):
+        expected = sum(Decimal(repr(value)).quantize(VOLUME, ROUND_HALF_UP) for value in values)
+    frame = spark.createDataFrame([(value,) for value in values], "x double")
+    for order in (frame.repartition(7), frame.orderBy("x"), frame.orderBy(F.desc("x"))):
+        assert order.agg(exact_volume(F.col("x"))).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    ("qty", "total"),
+    [
+        (10000000.1, "10000000100.0000000000"),
+        (123456789.3, "123456789300.0000000000"),
+        (98765432.1234, "98765432123.4000000000"),
+        (2e18, "2000000000000000000000.0000000000"),
+        (1e-10, "0.0000001000"),
+    ],
+)
+def test_a_thousand_like_quantities(spark, qty, total):
+    assert spark.range(1000).agg(exact_volume(F.lit(qty))).first()[0] == Decimal(total)
+
+
+@pytest.mark.parametrize(
+    ("prices", "mean"),
+    [
+        ([1.000000005], "1.00000001"),
+        ([5e-9], "0.00000001"),
+        ([0.123456785], "0.12345679"),
+        ([1.4e-8, 1.4e-8, 2.4e-8], "0.00000002"),
+        ([1.0, 2.0, 2.0], "1.66666667"),
+    ],
+)
+def test_the_mean_is_rounded_once(spark, prices, mean):
+    row = minute_bars(trades(spark, [(NOON, "A", price, 1.0) for price in prices])).first()
+    assert row.price_avg == Decimal(mean)
+    assert row.price_min <= row.price_avg <= row.price_max
+
+
+def test_means_lie_between_the_extremes(spark):
+    random.seed(2)
+    rows = []
+    for k in range(400):
+        base = random.choice((1e-9, 4.9999999999e-9, 1.0, 9.9e9)) * random.random()
+        rows += [(NOON, f"s{k}", base * random.choice((1, 1, 1.000000001)), 1.0) for _ in range(random.randint(1, 4))]
+    assert minute_bars(trades(spark, rows)).where("price_avg < price_min OR price_avg > price_max").isEmpty()
+
+
+def test_a_quantity_beyond_the_table_is_not_usable(spark):
+    frame = spark.createDataFrame([(9.9e27,), (1e28,), (float("nan"),), (float("inf"),), (None,)], "x double")
+    assert [row[0] for row in frame.select(usable_qty(F.col("x"))).collect()] == [True, False, False, False, False]
 
 
 def test_window_edges(spark):

@@ -32,3 +32,8 @@ def test_a_local_session_falls_back_once():
 
 def test_configured_in_utc(spark):
     assert configure(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_ansi_mode_is_pinned(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    assert configure(spark).conf.get("spark.sql.ansi.enabled") == "true"

@@ -36,6 +36,16 @@ def feed(spark, *values):
         (message(p=10.5, q=2), (1000, "BTC", 10.5, 2.0, "sell")),
         (message(p=" 1e3 ", q="-0.25"), (1000, "BTC", 1000.0, -0.25, "sell")),
         (message(extra={"a": [1]}), (1000, "BTC", 10.5, 2.0, "sell")),
+        (message(m=1), (1000, "BTC", 10.5, 2.0, "sell")),
+        (message(m=0), (1000, "BTC", 10.5, 2.0, "buy")),
+        (message(m=0.0), (1000, "BTC", 10.5, 2.0, "buy")),
+        (message(m="true"), (1000, "BTC", 10.5, 2.0, "sell")),
+        (message(m="false"), (1000, "BTC", 10.5, 2.0, "sell")),
+        (message(m=""), (1000, "BTC", 10.5, 2.0, "buy")),
+        (message(m=[]), (1000, "BTC", 10.5, 2.0, "buy")),
+        (message(m={}), (1000, "BTC", 10.5, 2.0, "buy")),
+        (message(m=[0]), (1000, "BTC", 10.5, 2.0, "sell")),
+        (message(q="2000000000000000000"), (1000, "BTC", 10.5, 2e18, "sell")),
         (f" {message()}\n", (1000, "BTC", 10.5, 2.0, "sell")),
     ],
 )
@@ -59,6 +69,14 @@ def test_accepted(spark, value, trade):
         (message().replace('"', "'"), "unreadable message"),
         (message(T=..., E=...), "no event time"),
         (message(T=0, E=...), "no event time"),
+        (message() + ',"message":' + message(), "unreadable message"),
+        (message() + "]", "unreadable message"),
+        (message() + "] trailing", "unreadable message"),
+        ("[" + message() + "]", "unreadable message"),
+        ("null", "unreadable message"),
+        (message(T=1_700_000_000_000_000_000), "bad event time"),
+        (message(T=1_700_000_000_000_000), "bad event time"),
+        (message(T=-99_999_999_999_999_999), "bad event time"),
         (message(p="x"), "bad price"),
         (message(p=...), "bad price"),
         (message(p="1.5d"), "bad price"),
@@ -110,6 +128,8 @@ def test_unusable_records_do_not_reach_the_tables(spark):
         '{"ts": 1, "symbol": "A", "price": "1", "qty": 1.0}': "bad price",
         '{"ts": 1, "symbol": "A", "price": 1.0, "qty": null}': "bad quantity",
         '{"ts": 1, "price": 1.0, "qty": 1.0}': "no symbol",
+        '{"ts": 1700000000000000000, "symbol": "A", "price": 1.0, "qty": 1.0}': "bad event time",
+        '{"ts": 1, "symbol": "A", "price": 1.0, "qty": 1e28}': "bad quantity",
     }
     messages = feed(spark, good, *bad)
     assert parse_trades(messages).count() == 1
