@@ -1,8 +1,5 @@
 """The table contract: column types, no nulls, one row per key."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +8,7 @@ from tapemill.functions.temporal import Now
 from tapemill.schemas import BAR_SCHEMA, KEYS
 
 
+ANY_NULL = " OR ".join(f"{name} IS NULL" for name in BAR_SCHEMA.fieldNames())
 VIOLATION = "row_cnt > 1 OR null_row_cnt > 0"
 
 
@@ -27,7 +25,7 @@ def conform_bars(bars: DataFrame, now: Now = None) -> DataFrame:
 
 def key_counts(bars: DataFrame, *extra: str) -> DataFrame:
     """Per key (and `extra` columns): its rows, and those of them with a null in any column."""
-    has_null = reduce(or_, [F.col(name).isNull() for name in BAR_SCHEMA.fieldNames()])
+    has_null = F.expr(ANY_NULL)
     return bars.groupBy(*extra, *KEYS).agg(
         F.count(F.lit(1)).alias("row_cnt"), F.count_if(has_null).alias("null_row_cnt")
     )

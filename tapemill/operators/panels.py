@@ -36,7 +36,7 @@ def panel_recent(bars: DataFrame, now: Now = None, symbol: str | None = None) ->
     if symbol is not None:
         return panel.orderBy(newest).limit(RECENT_ROWS)
     ranked = panel.withColumn("rank", F.row_number().over(Window.partitionBy("symbol").orderBy(newest)))
-    return ranked.where(F.col("rank") <= RECENT_ROWS).drop("rank")
+    return ranked.where(F.col("rank") <= RECENT_ROWS).drop("rank").orderBy(newest, "symbol")
 
 
 def recent_total(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
@@ -50,57 +50,69 @@ def _per_symbol(panel: DataFrame, symbol: str | None, *figures: Column) -> DataF
     return panel.agg(*figures).select(F.lit(symbol).alias("symbol"), "*")
 
 
-def _mean() -> Column:
-    return F.avg(F.col("price_avg").cast("double"))
+def hour_figures(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
+    """All figures of the last hour from one aggregate; the frames below take theirs from it.
 
-
-def kpis_1h(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
-    """Mean of the minute means, highest and lowest price, trades. Empty: nulls and 0 trades."""
-    return _per_symbol(
+    Mean of the minute means, its lowest and highest value, highest and lowest price, trades, sample deviation
+    of the minute means, and (max - min) / mean in percent (null at mean 0). Empty: nulls and 0 trades.
+    """
+    mean = F.col("price_avg").cast("double")
+    figures = _per_symbol(
         _trailing(bars, now, HOUR_PANEL, symbol),
         symbol,
-        _mean().alias("avg_price"),
+        F.avg(mean).alias("avg_price"),
         F.max("price_max").alias("max_price"),
         F.min("price_min").alias("min_price"),
         F.coalesce(F.sum("trade_cnt"), F.lit(0)).alias("trade_count"),
+        F.stddev_samp(mean).alias("std_dev"),
+        (F.min(mean) * AXIS_LOW).alias("y_min"),
+        (F.max(mean) * AXIS_HIGH).alias("y_max"),
     )
+    spread = (F.col("max_price") - F.col("min_price")).cast("double")
+    return figures.withColumn("vol_rate", F.try_divide(spread, "avg_price") * 100)
+
+
+def kpis_1h(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
+    """Mean of the minute means, highest and lowest price, trades."""
+    return kpis(hour_figures(bars, now, symbol))
+
+
+def kpis(figures: DataFrame) -> DataFrame:
+    return figures.select("symbol", "avg_price", "max_price", "min_price", "trade_count")
 
 
 def volatility_1h(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
-    """Sample deviation of the minute means, and (max - min) / mean in percent (null at mean 0)."""
-    spread = (F.max("price_max") - F.min("price_min")).cast("double")
-    return _per_symbol(
-        _trailing(bars, now, HOUR_PANEL, symbol),
-        symbol,
-        F.stddev_samp(F.col("price_avg").cast("double")).alias("std_dev"),
-        (F.try_divide(spread, _mean()) * 100).alias("vol_rate"),
-    )
+    """Sample deviation of the minute means, and (max - min) / mean in percent."""
+    return volatility(hour_figures(bars, now, symbol))
+
+
+def volatility(figures: DataFrame) -> DataFrame:
+    return figures.select("symbol", "std_dev", "vol_rate")
 
 
 def axis_range_1h(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
-    mean = F.col("price_avg").cast("double")
-    return _per_symbol(
-        _trailing(bars, now, HOUR_PANEL, symbol),
-        symbol,
-        (F.min(mean) * AXIS_LOW).alias("y_min"),
-        (F.max(mean) * AXIS_HIGH).alias("y_max"),
-    )
+    return axis_range(hour_figures(bars, now, symbol))
+
+
+def axis_range(figures: DataFrame) -> DataFrame:
+    return figures.select("symbol", "y_min", "y_max")
 
 
 def kpi_text(bars: DataFrame, now: Now = None, symbol: str | None = None) -> DataFrame:
     """The figures as shown, e.g. "1,234.50", "1,234", "1.23%"."""
-    spread = (F.max("price_max") - F.min("price_min")).cast("double")
-    std_dev = F.stddev_samp(F.col("price_avg").cast("double"))
-    trades = F.coalesce(F.sum("trade_cnt"), F.lit(0))
-    return _per_symbol(
-        _trailing(bars, now, HOUR_PANEL, symbol),
-        symbol,
-        grouped_text(_mean(), 2).alias("avg_price"),
-        grouped_text(F.max("price_max").cast("double"), 2).alias("max_price"),
-        grouped_text(F.min("price_min").cast("double"), 2).alias("min_price"),
-        grouped_text(trades, 0).alias("trade_count"),
-        grouped_text(std_dev, 2).alias("std_dev"),
-        percent_text(F.try_divide(spread, _mean()) * 100).alias("vol_rate"),
+    return figure_texts(hour_figures(bars, now, symbol))
+
+
+def figure_texts(figures: DataFrame) -> DataFrame:
+    prices = [
+        grouped_text(F.col(name).cast("double"), 2).alias(name) for name in ("avg_price", "max_price", "min_price")
+    ]
+    return figures.select(
+        "symbol",
+        *prices,
+        grouped_text(F.col("trade_count"), 0).alias("trade_count"),
+        grouped_text(F.col("std_dev"), 2).alias("std_dev"),
+        percent_text(F.col("vol_rate")).alias("vol_rate"),
     )
 
 
@@ -118,7 +130,8 @@ def rolling_std(
     The panel bounds a symbol's group to the minutes of one hour. Use `rolling_std_history` for more.
     """
     panel = _trailing(bars, now, HOUR_PANEL, symbol)
-    return panel.select("symbol", "window_start_ts", _rolling(["symbol"], rows).alias("rolling_std"))
+    rolled = panel.select("symbol", "window_start_ts", _rolling(["symbol"], rows).alias("rolling_std"))
+    return rolled.orderBy("window_start_ts", "symbol")
 
 
 def rolling_std_history(bars: DataFrame, rows: int = ROLLING_ROWS, chunk: str = "day") -> DataFrame:
@@ -160,7 +173,7 @@ def minute_counts(
 
 def _series(bars: DataFrame, now: Now, symbol: str | None, measure: str, zone: str) -> DataFrame:
     shown = display_time(F.col("window_start_ts"), zone).alias("window_start_ts")
-    return _trailing(bars, now, HOUR_PANEL, symbol).select("symbol", shown, measure)
+    return panel_1h(bars, now, symbol).select("symbol", shown, measure)
 
 
 def price_series(

@@ -14,12 +14,14 @@ def build_dashboard(bars: DataFrame, now: Now = None, symbol: str | None = None)
         "panel_recent": panels.panel_recent,
         "ingest_status": ingest_status,
         "minute_counts": panels.minute_counts,
-        "kpis_1h": panels.kpis_1h,
-        "kpi_text": panels.kpi_text,
-        "volatility_1h": panels.volatility_1h,
         "rolling_std": panels.rolling_std,
         "price_series": panels.price_series,
         "volume_series": panels.volume_series,
-        "axis_range_1h": panels.axis_range_1h,
     }
-    return {name: frame(bars, now, symbol) for name, frame in frames.items()}
+    figures = panels.hour_figures(bars, now, symbol)
+    return {name: frame(bars, now, symbol) for name, frame in frames.items()} | {
+        "kpis_1h": panels.kpis(figures),
+        "kpi_text": panels.figure_texts(figures),
+        "volatility_1h": panels.volatility(figures),
+        "axis_range_1h": panels.axis_range(figures),
+    }

@@ -124,3 +124,20 @@ def test_dashboard_names_every_frame(spark):
 def test_default_clock_is_the_wall_clock(spark):
     fresh = spark.range(1).select(F.lit("A").alias("symbol"), F.current_timestamp().alias("window_start_ts"))
     assert freshness_report(fresh).first().fresh
+
+
+def test_frames_of_all_symbols_are_ordered(spark):
+    frame = bars(spark, [(s, at(minutes=-m), 1, 1, m + 1) for m in range(12) for s in ("B", "A", "C")]).repartition(5)
+    for build, newest_first in ((panels.panel_recent, True), (panels.rolling_std, False), (panels.price_series, False)):
+        keys = [(row.window_start_ts, row.symbol) for row in build(frame, NOON).collect()]
+        by_symbol = sorted(keys, key=lambda key: key[1])
+        assert keys == sorted(by_symbol, key=lambda key: key[0], reverse=newest_first)
+    minutes = [row.minute for row in panels.minute_counts(frame, NOON).collect()]
+    assert minutes == sorted(minutes, reverse=True) and len(minutes) == 30
+
+
+def test_one_aggregate_behind_all_figures(spark):
+    frame = bars(spark, [("A", at(minutes=-m), 1, 1, m + 1) for m in range(12)])
+    figures = panels.hour_figures(frame, NOON, "A")
+    assert panels.kpis(figures).first() == panels.kpis_1h(frame, NOON, "A").first()
+    assert panels.axis_range(figures).first() == panels.axis_range_1h(frame, NOON, "A").first()
