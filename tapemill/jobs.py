@@ -11,10 +11,10 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapemill.operators.trades import normalize_trades, rejected_trades
+from tapemill.operators.trades import TRADE_COLUMNS, classify_messages, unparsed_trades
 from tapemill.plans import build_dashboard, run_hourly
 from tapemill.session import build_session
-from tapemill.sinks import BarTable, write_trade_topic
+from tapemill.sinks import BarTable, publish_trades
 from tapemill.sources import read_trade_stream, read_trade_topic
 from tapemill.streaming import start_minute_stream
 
@@ -26,32 +26,52 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def trades(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = _messages(spark, args)
-    write_trade_topic(
-        normalize_trades(messages, args.symbol), args.servers, args.to_topic, f"{args.checkpoint}/trades"
-    )
-    if args.rejects:
-        rejects = rejected_trades(messages, args.symbol).writeStream.format("json")
-        rejects.option("checkpointLocation", f"{args.checkpoint}/rejects").start(args.rejects)
-    spark.streams.awaitAnyTermination()
+    """One query over the classified messages feeds both the topic and the rejects, from one parse."""
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.persist()
+        try:
+            usable = batch.where("reason IS NULL").select(*TRADE_COLUMNS)
+            publish_trades(usable, args.servers, args.to_topic)
+            if args.rejects:
+                rejects = batch.where("reason IS NOT NULL").select("value", "reason")
+                # A folder of its own for each batch, so that a repeated one replaces its rejects.
+                rejects.write.mode("overwrite").json(f"{args.rejects}/batch={epoch}")
+        finally:
+            batch.unpersist()
+
+    classified = classify_messages(_messages(spark, args), args.symbol)
+    writer = classified.writeStream.option("checkpointLocation", f"{args.checkpoint}/trades")
+    writer.foreachBatch(write).start().awaitTermination()
 
 
 def minutes(spark: SparkSession, args: argparse.Namespace) -> None:
     table = BarTable(spark, args.table, args.partition_by)
+    messages = _messages(spark, args)
+    if args.rejects:
+        rejects = unparsed_trades(messages).writeStream.format("json")
+        rejects = rejects.option("checkpointLocation", f"{args.checkpoint}-rejects")
+        if args.available_now:
+            rejects = rejects.trigger(availableNow=True)
+        elif args.every:
+            rejects = rejects.trigger(processingTime=args.every)
+        rejected = rejects.start(args.rejects)
     query = start_minute_stream(
-        _messages(spark, args),
-        table.upsert,
+        messages,
+        lambda batch: table.upsert(batch, keyed=True),
         args.checkpoint,
         available_now=args.available_now,
         processing_time=args.every,
         state_partitions=args.state_partitions,
     )
     query.awaitTermination()
+    if args.rejects:
+        rejected.awaitTermination()
 
 
 def hourly(spark: SparkSession, args: argparse.Namespace) -> None:
     by_minute = BarTable(spark, args.table, args.partition_by)
-    run_hourly(by_minute, BarTable(spark, args.hours), args.backups, args.now).show(truncate=False)
+    _print_all(run_hourly(by_minute, BarTable(spark, args.hours), args.backups, args.now))
 
 
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -59,7 +79,14 @@ def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     bars = BarTable(spark, args.table, args.partition_by).read(since=now - timedelta(hours=1))
     for name, frame in build_dashboard(bars, now, args.symbol).items():
         print(name)
-        frame.show(100, truncate=False)
+        _print_all(frame)
+
+
+def _print_all(frame: DataFrame) -> None:
+    """All rows, a partition at a time."""
+    print(*frame.columns, sep="\t")
+    for row in frame.toLocalIterator():
+        print(*row, sep="\t")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -91,6 +118,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--available-now", action="store_true")
     sub.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
     sub.add_argument("--every", help='micro-batch interval, e.g. "10 seconds"')
+    sub.add_argument("--rejects", help="folder for records that are no usable trades")
     sub = command("hourly", hourly, "table", "clock")
     sub.add_argument("--hours", required=True, help="folder of the hour table")
     sub.add_argument("--backups", required=True)

@@ -1,6 +1,16 @@
 from tapemill.sinks.jdbc import create_statement, merge_statement, upsert_jdbc
+from tapemill.sinks.merge import merge_into
 from tapemill.sinks.snapshot import snapshot_tables
 from tapemill.sinks.table import BarTable
-from tapemill.sinks.topic import write_trade_topic
+from tapemill.sinks.topic import publish_trades, write_trade_topic
 
-__all__ = ["BarTable", "create_statement", "merge_statement", "snapshot_tables", "upsert_jdbc", "write_trade_topic"]
+__all__ = [
+    "BarTable",
+    "create_statement",
+    "merge_into",
+    "merge_statement",
+    "publish_trades",
+    "snapshot_tables",
+    "upsert_jdbc",
+    "write_trade_topic",
+]

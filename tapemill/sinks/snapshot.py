@@ -13,7 +13,8 @@ def snapshot_tables(tables: dict[str, DataFrame], folder: str, now: datetime | N
     The manifest (table, row count, first and last window) is read from the copies, not from the sources.
     A repeated run with the same `now` writes its copies anew.
     """
-    stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
+    now = now or datetime.now(timezone.utc)
+    stamp = (now.astimezone(timezone.utc) if now.tzinfo else now).strftime("%Y%m%d_%H%M%S")
     manifest = []
     for name, table in tables.items():
         path = f"{folder.rstrip('/')}/backup_{stamp}/{name}"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tapemill.functions import utc_date, utc_hour
 from tapemill.functions.temporal import Now
-from tapemill.operators.contract import VIOLATION, check_contract, conform_bars, key_counts
+from tapemill.operators.contract import ANY_NULL, VIOLATION, check_contract, conform_bars, key_counts
 from tapemill.schemas import BAR_SCHEMA, KEYS
 from tapemill.sinks.files import Folder
 
@@ -24,6 +24,8 @@ PARTITIONING = {
     "day": ["window_date"],
     "hour": ["window_date", "window_hour"],
 }
+# Staged rows older than this belong to no living writer.
+ABANDONED = timedelta(days=1)
 _POINTERS = "_current/*.json"
 _PARTITION_TYPES = {"window_date": "date", "window_hour": "int"}
 
@@ -42,10 +44,10 @@ class BarTable:
         self,
         spark: SparkSession,
         root: str,
-        partition_by: str = "day",
+        partition_by: str = "hour",
         retain: timedelta = timedelta(hours=1),
     ):
-        """`partition_by` "hour" keeps the rewrite of a micro-batch small when there are many symbols.
+        """`partition_by` "hour" keeps the rewrite of a micro-batch small; "day" has fewer folders.
 
         It counts for a new table; an existing one keeps its partitioning. `retain` is how long a replaced
         partition stays readable: longer than the longest query over the table.
@@ -69,32 +71,40 @@ class BarTable:
             live = {part: version for part, version in live.items() if part.split("/")[0] >= oldest}
         return self._load(live)
 
-    def upsert(self, bars: DataFrame, now: Now = None) -> None:
+    def upsert(self, bars: DataFrame, now: Now = None, keyed: bool = False) -> None:
         """Insert the rows; on an existing key replace all measures and `updated_at`. Repeatable.
 
         The rows are first written to a staging folder, so a streaming micro-batch is computed once and
-        the merge no longer depends on it. No row passes through the driver.
+        the merge no longer depends on it. No row passes through the driver. `keyed` says that keys are known
+        to occur once, as those of a grouping do; they are then not shuffled to be counted.
         """
-        self.folder.remove("_staging")
+        self._remove_abandoned()
         staging = f"_staging/{uuid.uuid4().hex}"
         conformed = conform_bars(bars, now).withColumns({name: _partition_value(name) for name in self.parts})
         conformed.write.parquet(self.folder.path(staging))
         try:
             staged = self.spark.read.schema(self._ddl).parquet(self.folder.path(staging))
-            touched = self._touched(staged)
+            touched = self._touched(staged, keyed)
             if touched:
                 self._replace(staged, touched)
         finally:
             self.folder.remove(staging)
 
-    def _touched(self, staged: DataFrame) -> list[str]:
+    def _remove_abandoned(self) -> None:
+        """Staged rows of writers that died; those of a living one are younger."""
+        oldest = (datetime.now(timezone.utc) - ABANDONED).timestamp() * 1000
+        for name, changed in self.folder.modified("_staging/*").items():
+            if changed < oldest:
+                self.folder.remove(name)
+
+    def _touched(self, staged: DataFrame, keyed: bool) -> list[str]:
         """Folders of the partitions the staged rows belong to, once they are known to keep the contract."""
+        # The groups of key_counts lie within a partition; keyed rows are such groups already.
+        counts = staged.withColumn("violation", F.expr(ANY_NULL)) if keyed else key_counts(staged, *self.parts)
+        violation = F.col("violation") if keyed else F.expr(VIOLATION)
+        names = {name: F.col(name).cast("string").alias(name) for name in self.parts}
         summary = (
-            key_counts(staged, *self.parts)
-            .groupBy(*self.parts)
-            .agg(F.count_if(F.expr(VIOLATION)).alias("violations"))
-            .orderBy(*self.parts)
-            .collect()
+            counts.groupBy(*names.values()).agg(F.count_if(violation).alias("violations")).orderBy(*names).collect()
         )
         if any(row["violations"] for row in summary):
             check_contract(staged)

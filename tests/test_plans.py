@@ -1,14 +1,14 @@
 """Plans: what is pushed down, what is shuffled, and that no Python runs on rows."""
 
 import pytest
-from __spark_entry__ import queries
 from helpers import NOON, at, bars, plan
 
 from tapemill.functions.temporal import since
 from tapemill.operators import panels
 from tapemill.operators.bars import rollup_1h
 from tapemill.operators.timerange import from_time
-from tapemill.operators.trades import normalize_trades, parse_trades
+from tapemill.operators.trades import classify_messages, normalize_trades, parse_trades
+from tapemill.plans.registry import registered_queries as queries
 from tapemill.sinks import BarTable
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +39,15 @@ def test_each_record_is_parsed_once(spark, tmp_path, build):
     assert text.count("from_json") == 1
 
 
+def test_classifying_scans_parses_and_casts_once(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("{}")
+    text = plan(classify_messages(spark.read.text(str(tmp_path))))
+    assert text.count("FileScan") == text.count("from_json") == 1
+    generated = text.split("Generate")[1].splitlines()[0]
+    # Two for price, two for quantity, one for the maker flag.
+    assert generated.count("try_cast") <= 5
+
+
 def test_minute_bars_shuffle_partial_aggregates_once(spark):
     text = plan(queries()["agg_1m"](spark, SF))
     assert text.count("Exchange hashpartitioning") == 1

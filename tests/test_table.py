@@ -1,5 +1,8 @@
 """Contract, upsert, snapshot and the merge statement."""
 
+import os
+import time
+from datetime import datetime, timezone
 from decimal import Decimal
 
 import duckdb
@@ -11,7 +14,7 @@ from tapemill.functions import instant, since
 from tapemill.operators.contract import ContractError, conform_bars, contract_violations
 from tapemill.operators.timerange import from_time
 from tapemill.schemas import BAR_SCHEMA
-from tapemill.sinks import BarTable, create_statement, merge_statement, snapshot_tables
+from tapemill.sinks import BarTable, create_statement, merge_into, merge_statement, snapshot_tables
 
 
 @pytest.fixture(params=["day", "hour"])
@@ -111,6 +114,8 @@ def test_leftovers_of_a_crash_are_ignored_and_removed(spark, table):
     table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
     bars(spark, [("X", NOON, 8, 8, 8)]).write.parquet(table.folder.path("version=2"))
     bars(spark, [("Y", NOON, 8, 8, 8)]).write.parquet(table.folder.path("_staging", "dead"))
+    long_ago = time.time() - 2 * 86_400
+    os.utime(table.folder.path("_staging", "dead"), (long_ago, long_ago))
     assert table.read().count() == 1
     for _ in range(2):
         table.upsert(bars(spark, [("B", NOON, 1, 1, 1)]))
@@ -135,6 +140,40 @@ def test_a_second_writer_is_noticed(spark, table, monkeypatch):
     assert table.read().first().trade_cnt == 1
 
 
+def test_two_writers_at_staging_lose_no_row(spark, table, monkeypatch):
+    """Another writer's whole upsert falls between this one's staging and its merge."""
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    other = BarTable(spark, table.folder.root)
+    touched = table._touched
+
+    def touched_late(*arguments):
+        monkeypatch.undo()
+        other.upsert(bars(spark, [("B", NOON, 2, 2, 2)]))
+        return touched(*arguments)
+
+    monkeypatch.setattr(table, "_touched", touched_late)
+    table.upsert(bars(spark, [("C", NOON, 3, 3, 3)]))
+    assert sorted(row.symbol for row in table.read().collect()) == ["A", "B", "C"]
+
+
+def test_keyed_rows_are_checked_for_nulls_only(spark, table):
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]), keyed=True)
+    with pytest.raises(ContractError):
+        table.upsert(bars(spark, [("A", NOON, 7, 7, 7)]).withColumn("symbol", F.lit(None).cast("string")), keyed=True)
+    assert table.read().first().trade_cnt == 1
+
+
+def test_the_last_year_is_kept(spark, table):
+    late = datetime(9999, 12, 31, 23, 59, tzinfo=timezone.utc)
+    table.upsert(bars(spark, [("A", datetime(9999, 12, 31, 1, tzinfo=timezone.utc), 1, 1, 1)]), late)
+    assert table.read().count() == 1
+
+
+def test_merge_needs_a_table_format(spark):
+    with pytest.raises(Exception, match="(?i)not supported|cannot be found|TABLE_OR_VIEW_NOT_FOUND"):
+        merge_into(bars(spark, [("A", NOON, 1, 1, 1)]), "no_such_table")
+
+
 def test_trailing_range_reads_only_its_partitions(spark, table):
     table.upsert(bars(spark, [("A", at(hours=-h), 1, 1, 1) for h in range(72)]))
     recent = from_time(table.read(), since(NOON, "1 HOUR"))
