@@ -26,9 +26,26 @@ FAULTS = {
     "no maker flag": 11,
     "no symbol": 13,
     "no time at all": 15,
+    "nanoseconds": 17,
+    "microseconds": 19,
+    "time below range": 21,
+    "maker flag 1": 22,
+    "maker flag 0": 24,
+    "maker flag text": 26,
+    "maker flag empty text": 28,
+    "two messages": 31,
+    "forged wrapper": 33,
 }
+# Values of the time and the maker flag in the messages damaged so.
+FAULT_TIMES = {"nanoseconds": "1700000000000000000", "microseconds": "1700000000000000", "time below range": "-99999999999999999"}
+FAULT_FLAGS = {"maker flag 1": "1", "maker flag 0": "0", "maker flag text": '"true"', "maker flag empty text": '""'}
 
 
+# The stream gets the trades in phases: those before each of these times, then late ones of all phases. The first
+# time lies within a minute, whose window is then emitted twice.
+PHASE_ENDS_MS = [ORIGIN_MS + 7_230_000, ORIGIN_MS + 14_400_000]
+LATE_CYCLE, LATE_SLOT = 10, 3
+
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double, props string"
 
 
@@ -59,20 +76,53 @@ def event_messages(events: DataFrame) -> DataFrame:
     def fault(name: str) -> Column:
         return slot == FAULTS[name]
 
-    message = F.to_json(
-        F.struct(
-            F.when(unless("no time at all"), F.col("ts")).alias("E"),
-            F.when(fault("zero trade time"), F.lit(0).cast("bigint"))
-            .when(unless("no trade time", "no time at all"), F.col("ts"))
-            .alias("T"),
-            F.when(unless("no symbol"), F.col("symbol")).alias("s"),
-            F.when(fault("price not a number"), "n/a").otherwise(F.col("price").cast("string")).alias("p"),
-            F.when(unless("no quantity"), F.col("qty").cast("string")).alias("q"),
-            F.when(unless("no maker flag"), F.col("side") == "sell").alias("m"),
-        )
+    time, flag = F.col("ts").cast("string"), F.when(F.col("side") == "sell", "true").otherwise("false")
+    for name, value in FAULT_TIMES.items():
+        time = F.when(fault(name), value).otherwise(time)
+    for name, value in FAULT_FLAGS.items():
+        flag = F.when(fault(name), value).otherwise(flag)
+    fields = {
+        "E": F.when(unless("no time at all"), time),
+        "T": F.when(fault("zero trade time"), "0").when(unless("no trade time", "no time at all"), time),
+        "s": F.when(unless("no symbol"), _quoted(F.col("symbol"))),
+        "p": _quoted(F.when(fault("price not a number"), "n/a").otherwise(F.col("price").cast("string"))),
+        "q": F.when(unless("no quantity"), _quoted(F.col("qty").cast("string"))),
+        "m": F.when(unless("no maker flag"), flag),
+    }
+    # What is null is left out.
+    members = [F.concat(F.lit(f'"{name}":'), value) for name, value in fields.items()]
+    message = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    damaged = (
+        F.when(fault("not json"), F.concat(F.lit("trade "), F.col("event_id").cast("string")))
+        .when(fault("two messages"), F.concat(message, F.lit(","), message))
+        .when(fault("forged wrapper"), F.concat(message, F.lit(',"message":'), message))
+        .otherwise(message)
     )
-    damaged = F.concat(F.lit("trade "), F.col("event_id").cast("string"))
-    return event_trades(events).select(F.when(fault("not json"), damaged).otherwise(message).alias("value"))
+    return event_trades(events).select(damaged.alias("value"))
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def event_records(events: DataFrame) -> DataFrame:
+    """Topic records of all trades as text, some of them damaged: cut off, without a price, or out of time."""
+    slot = F.col("event_id") % FAULT_CYCLE
+    time = F.col("ts")
+    for name, value in FAULT_TIMES.items():
+        time = F.when(slot == FAULTS[name], int(value)).otherwise(time)
+    price = F.when(slot != FAULTS["price not a number"], F.col("price"))
+    record = F.to_json(F.struct(time.alias("ts"), "symbol", price.alias("price"), "qty", "side"))
+    cut = F.when(slot == FAULTS["not json"], F.substring(record, 1, 5)).otherwise(record)
+    return event_trades(events).select(cut.alias("value"))
+
+
+def fine_trades(events: DataFrame) -> DataFrame:
+    """Trades whose quantities run from 1e-10 to beyond 1e18, and whose prices are ties at the ninth decimal."""
+    number = F.col("event_id")
+    qty = F.format_string("%d.%03de%d", number % 9 + 1, number % 997, number % 29 - 10)
+    price = F.format_string("%d.%08d5", number % 100, number * 7919 % 100_000_000)
+    return event_trades(events).withColumns({"qty": qty.cast("double"), "price": price.cast("double")})
 
 
 def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None = None) -> DataFrame:
@@ -88,6 +138,14 @@ def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None =
     return event_trades(events)
 
 
-def stream_event_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same trades as a stream. The file source wants a folder or a pattern, not one file's path."""
-    return event_trades(spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet*"))
+def in_phases(trades: DataFrame) -> list[DataFrame]:
+    """All trades in two phases of time, cut within a minute."""
+    first = F.col("ts") < PHASE_ENDS_MS[0]
+    return [trades.where(first), trades.where(~first)]
+
+
+def with_late(trades: DataFrame) -> list[DataFrame]:
+    """The trades before the last phase's end: two phases of time, then every tenth of both, late."""
+    late = F.col("event_id") % LATE_CYCLE == LATE_SLOT
+    known = trades.where(F.col("ts") < PHASE_ENDS_MS[-1])
+    return [*in_phases(known.where(~late)), known.where(late)]

@@ -1,16 +1,42 @@
 """The registered queries as SQL over the same tables, written from their definition for another engine."""
 
-from tapemill.plans.event_feed import CLOCK, COMPRESSION, FAULT_CYCLE, FAULTS, ORIGIN_MS
+from tapemill.plans.event_feed import (
+    CLOCK,
+    COMPRESSION,
+    FAULT_CYCLE,
+    FAULT_FLAGS,
+    FAULT_TIMES,
+    FAULTS,
+    LATE_CYCLE,
+    LATE_SLOT,
+    ORIGIN_MS,
+    PHASE_ENDS_MS,
+)
 from tapemill.plans.registry import SYMBOL
 
 NOW = f"TIMESTAMP '{CLOCK:%Y-%m-%d %H:%M:%S}'"
 
-_MEASURES = """
+
+def _units(number: str) -> str:
+    """A decimal number in units of its last place."""
+    return f"CAST(replace(CAST({number} AS VARCHAR), '.', '') AS HUGEINT)"
+
+
+def _mean(units: str, places: int) -> str:
+    """Mean of whole numbers of units of 10^-places, rounded half up to eight places; AVG would be a double."""
+    scale = 10 ** (places - 8)
+    rounded = f"(2 * SUM({units}) + COUNT(*) * {scale}::HUGEINT) // (2 * COUNT(*) * {scale}::HUGEINT)"
+    return f"CAST(CAST({rounded} AS DECIMAL(28,0)) * CAST('0.00000001' AS DECIMAL(9,8)) AS DECIMAL(18,8))"
+
+
+# A double counts as the decimal number that it is written as.
+_PRICE = "CAST(CAST(price AS VARCHAR) AS DECIMAL(28,18))"
+_MEASURES = f"""
     COUNT(*) AS trade_cnt,
-    CAST(SUM(CAST(qty AS DECIMAL(28,10))) AS DECIMAL(38,10)) AS volume_sum,
-    CAST(AVG(CAST(price AS DECIMAL(18,8))) AS DECIMAL(18,8)) AS price_avg,
-    CAST(MIN(price) AS DECIMAL(18,8)) AS price_min,
-    CAST(MAX(price) AS DECIMAL(18,8)) AS price_max"""
+    CAST(SUM(CAST(CAST(qty AS VARCHAR) AS DECIMAL(38,10))) AS DECIMAL(38,10)) AS volume_sum,
+    {_mean(_units(_PRICE), 18)} AS price_avg,
+    CAST(MIN({_PRICE}) AS DECIMAL(18,8)) AS price_min,
+    CAST(MAX({_PRICE}) AS DECIMAL(18,8)) AS price_max"""
 
 _TRADE = f"""trade AS (
   SELECT event_id,
@@ -24,17 +50,17 @@ _MINUTE = f"""{_TRADE}, bar AS (
   SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}
   FROM trade GROUP BY ALL)"""
 
-_HOUR = """
+_HOUR = f"""
   SELECT symbol, date_trunc('hour', window_start_ts) AS window_start_ts,
          SUM(trade_cnt) AS trade_cnt, SUM(volume_sum) AS volume_sum,
-         CAST(AVG(price_avg) AS DECIMAL(18,8)) AS price_avg,
+         {_mean(_units("price_avg"), 8)} AS price_avg,
          MIN(price_min) AS price_min, MAX(price_max) AS price_max
-  FROM bar {where} GROUP BY ALL"""
+  FROM bar {{where}} GROUP BY ALL"""
 
-# What leaves an engine: plain integers and doubles.
+# What leaves an engine: plain integers, and decimals as text.
 _BAR_OUT = """symbol, window_start_ts, CAST(trade_cnt AS BIGINT) AS trade_cnt,
-  CAST(volume_sum AS DOUBLE) AS volume_sum, CAST(price_avg AS DOUBLE) AS price_avg,
-  CAST(price_min AS DOUBLE) AS price_min, CAST(price_max AS DOUBLE) AS price_max"""
+  CAST(CAST(volume_sum AS DECIMAL(38,10)) AS VARCHAR) AS volume_sum, CAST(price_avg AS VARCHAR) AS price_avg,
+  CAST(price_min AS VARCHAR) AS price_min, CAST(price_max AS VARCHAR) AS price_max"""
 
 _PANEL = f"""{_MINUTE}, panel AS (
   SELECT * FROM bar WHERE window_start_ts >= {NOW} - INTERVAL '1 hour')"""
@@ -45,7 +71,7 @@ _RECENT = f"""{_MINUTE}, recent AS (
 
 _FIGURES = f"""{_PANEL}, figure AS (
   SELECT symbol, AVG(CAST(price_avg AS DOUBLE)) AS avg_price,
-         CAST(MAX(price_max) AS DOUBLE) AS max_price, CAST(MIN(price_min) AS DOUBLE) AS min_price,
+         MAX(price_max) AS max_price, MIN(price_min) AS min_price,
          CAST(SUM(trade_cnt) AS BIGINT) AS trade_count,
          stddev_samp(CAST(price_avg AS DOUBLE)) AS std_dev,
          CAST(MAX(price_max) - MIN(price_min) AS DOUBLE) / AVG(CAST(price_avg AS DOUBLE)) * 100 AS vol_rate
@@ -57,21 +83,62 @@ def _slot(*faults: str) -> str:
 
 
 _REJECTED = f"""CASE
-  WHEN {_slot('not json')} THEN 'unreadable message'
+  WHEN {_slot('not json', 'two messages', 'forged wrapper')} THEN 'unreadable message'
   WHEN {_slot('no time at all')} THEN 'no event time'
+  WHEN {_slot(*FAULT_TIMES)} THEN 'bad event time'
   WHEN {_slot('price not a number')} THEN 'bad price'
   WHEN {_slot('no quantity')} THEN 'bad quantity'
   WHEN {_slot('no symbol')} THEN 'no symbol' END"""
 
-_MESSAGE = f"""CASE WHEN {_slot('not json')} THEN 'trade ' || event_id ELSE '{{' || concat_ws(',',
-  CASE WHEN NOT {_slot('no time at all')} THEN '"E":' || ts END,
+def _by_slot(values: dict[str, str], otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN {_slot(name)} THEN '{value}'" for name, value in values.items()) + (
+        f" ELSE {otherwise} END"
+    )
+
+
+_TIME = _by_slot(FAULT_TIMES, "CAST(ts AS VARCHAR)")
+_FLAG = _by_slot(FAULT_FLAGS, "CASE WHEN side = 'sell' THEN 'true' ELSE 'false' END")
+_WHOLE = f"""'{{' || concat_ws(',',
+  CASE WHEN NOT {_slot('no time at all')} THEN '"E":' || {_TIME} END,
   CASE WHEN {_slot('zero trade time')} THEN '"T":0'
-       WHEN NOT {_slot('no trade time', 'no time at all')} THEN '"T":' || ts END,
+       WHEN NOT {_slot('no trade time', 'no time at all')} THEN '"T":' || {_TIME} END,
   CASE WHEN NOT {_slot('no symbol')} THEN '"s":"' || symbol || '"' END,
   '"p":"' || CASE WHEN {_slot('price not a number')} THEN 'n/a' ELSE CAST(price AS VARCHAR) END || '"',
   CASE WHEN NOT {_slot('no quantity')} THEN '"q":"' || CAST(qty AS VARCHAR) || '"' END,
-  CASE WHEN NOT {_slot('no maker flag')}
-       THEN '"m":' || CASE WHEN side = 'sell' THEN 'true' ELSE 'false' END END) || '}}' END"""
+  CASE WHEN NOT {_slot('no maker flag')} THEN '"m":' || {_FLAG} END) || '}}'"""
+_MESSAGE = f"""CASE WHEN {_slot('not json')} THEN 'trade ' || event_id
+  WHEN {_slot('two messages')} THEN {_WHOLE} || ',' || {_WHOLE}
+  WHEN {_slot('forged wrapper')} THEN {_WHOLE} || ',"message":' || {_WHOLE}
+  ELSE {_WHOLE} END"""
+_SIDE = f"""CASE WHEN {_slot('no maker flag', 'maker flag 0', 'maker flag empty text')} THEN 'buy'
+  WHEN {_slot('maker flag 1', 'maker flag text')} THEN 'sell' ELSE side END"""
+
+# Trades with fractional quantities of all magnitudes and prices that are ties at the ninth decimal.
+_FINE = f"""{_TRADE}, fine AS (
+  SELECT symbol, ts,
+    CAST(printf('%d.%03de%d', event_id % 9 + 1, event_id % 997, event_id % 29 - 10) AS DOUBLE) AS qty,
+    CAST(printf('%d.%08d5', event_id % 100, event_id * 7919 % 100000000) AS DOUBLE) AS price
+  FROM trade), bar AS (
+  SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}
+  FROM fine GROUP BY ALL)"""
+
+_RECORD = f"""'{{"ts":' || {_TIME} || ',"symbol":"' || symbol || '"'
+  || CASE WHEN {_slot('price not a number')} THEN '' ELSE ',"price":' || CAST(price AS VARCHAR) END
+  || ',"qty":' || CAST(qty AS VARCHAR) || ',"side":"' || side || '"}}'"""
+
+# Late trades come last; they count if their minute ends after the watermark, two minutes behind the newest.
+_LATE = f"""{_TRADE}, phased AS (
+  SELECT *, event_id % {LATE_CYCLE} = {LATE_SLOT} AS late FROM trade WHERE ts < {PHASE_ENDS_MS[-1]}), counted AS (
+  SELECT * FROM phased WHERE NOT late
+    OR (ts // 60000 + 1) * 60000 > (SELECT MAX(ts) FROM phased WHERE NOT late) - 120000), bar AS (
+  SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}
+  FROM counted GROUP BY ALL)"""
+
+# A batch with every seventh bar twice, and a copy without its symbol of every eleventh.
+_BATCH = """batch AS (
+  SELECT symbol, window_start_ts FROM bar
+  UNION ALL SELECT symbol, window_start_ts FROM bar WHERE minute(window_start_ts) % 7 = 0
+  UNION ALL SELECT NULL, window_start_ts FROM bar WHERE minute(window_start_ts) % 11 = 0)"""
 
 _ROLLING = """
 SELECT symbol, window_start_ts,
@@ -84,7 +151,7 @@ WINDOW five AS (PARTITION BY symbol ORDER BY window_start_ts ROWS BETWEEN 4 PREC
 def _series(measure: str) -> str:
     return f"""WITH {_PANEL}
 SELECT symbol, window_start_ts + INTERVAL '9 hours' AS window_start_ts,
-       CAST({measure} AS DOUBLE) AS {measure} FROM panel"""
+       CAST({measure} AS VARCHAR) AS {measure} FROM panel"""
 
 
 def oracle_queries() -> dict[str, str]:
@@ -99,7 +166,7 @@ def oracle_queries() -> dict[str, str]:
     minutes = f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM bar"
     return {
         "normalize_trades": f"""WITH {_TRADE}
-SELECT ts, symbol, price, qty, CASE WHEN {_slot('no maker flag')} THEN 'buy' ELSE side END AS side
+SELECT ts, symbol, price, qty, {_SIDE} AS side
 FROM trade WHERE ({_REJECTED}) IS NULL""",
         "rejected_trades": f"""WITH {_TRADE}
 SELECT {_MESSAGE} AS value, {_REJECTED} AS reason FROM trade WHERE ({_REJECTED}) IS NOT NULL""",
@@ -109,7 +176,19 @@ SELECT symbol AS key, '{{"ts":' || ts || ',"symbol":"' || symbol || '","price":'
         "parse_trade_json": f"""WITH {_TRADE}
 SELECT ts, symbol, price, qty, side, make_timestamp(ts * 1000) AS event_time FROM trade""",
         "event_time": f"WITH {_TRADE} SELECT event_id, ts, make_timestamp(ts * 1000) AS event_time FROM trade",
+        "unparsed_trades": f"""WITH {_TRADE}
+SELECT CASE WHEN {_slot('not json')} THEN substr({_RECORD}, 1, 5) ELSE {_RECORD} END AS value,
+  CASE WHEN {_slot('not json')} THEN 'unreadable message'
+    WHEN {_slot(*FAULT_TIMES)} THEN 'bad event time' ELSE 'bad price' END AS reason
+FROM trade WHERE {_slot('not json', 'price not a number', *FAULT_TIMES)}""",
         "agg_1m": minutes,
+        "agg_1m_fine": f"WITH {_FINE} SELECT {_BAR_OUT} FROM bar",
+        "late_data": f"WITH {_LATE} SELECT {_BAR_OUT} FROM bar",
+        "contract_violations": f"""WITH {_MINUTE}, {_BATCH}
+SELECT symbol, window_start_ts, CAST(COUNT(*) AS BIGINT) AS row_cnt,
+  CAST(COUNT(*) FILTER (symbol IS NULL) AS BIGINT) AS null_row_cnt
+FROM batch GROUP BY ALL HAVING COUNT(*) > 1 OR COUNT(*) FILTER (symbol IS NULL) > 0""",
+        "run_hourly": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where=both_runs)})",
         "agg_1m_stream": minutes,
         "conform_agg": f"WITH {_MINUTE} SELECT {_BAR_OUT}, {NOW} AS updated_at FROM bar",
         "upsert_1m": f"""WITH {_MINUTE}, sell AS (
@@ -144,7 +223,8 @@ ORDER BY window_start_ts DESC LIMIT 10""",
         "recent_total": f"""WITH {_RECENT}
 SELECT symbol, CAST(SUM(trade_cnt) AS BIGINT) AS recent_rows FROM recent GROUP BY symbol""",
         "kpis_1h": f"""WITH {_FIGURES}
-SELECT symbol, round(avg_price, 6) AS avg_price, max_price, min_price, trade_count FROM figure""",
+SELECT symbol, round(avg_price, 6) AS avg_price, CAST(max_price AS VARCHAR) AS max_price,
+  CAST(min_price AS VARCHAR) AS min_price, trade_count FROM figure""",
         "volatility_1h": f"""WITH {_FIGURES}
 SELECT symbol, round(std_dev, 6) AS std_dev, round(vol_rate, 6) AS vol_rate FROM figure""",
         "axis_range_1h": f"""WITH {_PANEL}
@@ -160,7 +240,7 @@ SELECT symbol, strftime(window_start_ts, '%H:%M') AS minute, trade_cnt FROM rece
         "display_time": f"""WITH {_MINUTE}
 SELECT symbol, window_start_ts, window_start_ts + INTERVAL '9 hours' AS shown_ts FROM bar""",
         "kpi_text": f"""WITH {_FIGURES}
-SELECT symbol, format('{{:,.2f}}', avg_price) AS avg_price, format('{{:,.2f}}', max_price) AS max_price,
-       format('{{:,.2f}}', min_price) AS min_price, format('{{:,}}', trade_count) AS trade_count,
+SELECT symbol, format('{{:,.2f}}', avg_price) AS avg_price, format('{{:,.2f}}', CAST(max_price AS DOUBLE)) AS max_price,
+       format('{{:,.2f}}', CAST(min_price AS DOUBLE)) AS min_price, format('{{:,}}', trade_count) AS trade_count,
        format('{{:,.2f}}', std_dev) AS std_dev, format('{{:.2f}}%', vol_rate) AS vol_rate FROM figure""",
     }

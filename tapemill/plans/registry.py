@@ -10,25 +10,31 @@ from pyspark.sql import types as T
 from tapemill.functions import display_time, event_time, parse_time
 from tapemill.operators import panels
 from tapemill.operators.bars import hour_bars, minute_bars, rollup_1h
-from tapemill.operators.contract import conform_bars
+from tapemill.operators.contract import conform_bars, contract_violations
 from tapemill.operators.quality import freshness_report, ingest_status
 from tapemill.operators.trades import (
     encode_trades,
     normalize_trades,
     parse_trades,
     rejected_trades,
+    unparsed_trades,
     with_event_time,
 )
 from tapemill.plans.event_feed import (
     CLOCK,
     event_messages,
+    event_records,
+    fine_trades,
+    in_phases,
     read_event_trades,
     read_events,
-    stream_event_trades,
+    with_late,
 )
-from tapemill.schemas import KEYS, MEASURES
+from tapemill.plans.hourly import run_hourly
+from tapemill.schemas import KEYS, MEASURES, TOPIC_SCHEMA
 from tapemill.session import configure, work_dir
 from tapemill.sinks import BarTable, snapshot_tables
+from tapemill.sources import read_trade_stream
 from tapemill.streaming import start_minute_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,14 +46,14 @@ HOUR = timedelta(hours=1)
 
 
 def _comparable(frame: DataFrame) -> DataFrame:
-    """Zone-less times and doubles, which both engines hand out alike."""
+    """Zone-less times, and decimals as text, so that every digit is compared."""
     columns = []
     for field in frame.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
+            column = column.cast("string")
         elif isinstance(field.dataType, T.BinaryType):
             column = column.cast("string")
         columns.append(column.alias(field.name))
@@ -75,22 +81,34 @@ def _table_rows(table: BarTable) -> DataFrame:
     return table.read().select(*KEYS, *MEASURES)
 
 
-def _agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The continuous job over a file source: JSON records in, the upserted minute table out."""
-    root = work_dir(spark, "agg_1m_stream")
+def _streamed(spark: SparkSession, purpose: str, phases: list[DataFrame]) -> DataFrame:
+    """The continuous job over a folder that gets one phase of JSON records after the other; the minute table.
+
+    Each phase is at least one micro-batch of a query that is started again on its checkpoint.
+    """
+    root = work_dir(spark, purpose)
     table = BarTable(spark, f"{root}/trade_agg_1m")
-    records = encode_trades(stream_event_trades(spark, sf_dir))
-    query = start_minute_stream(
-        records,
-        lambda batch: table.upsert(batch, CLOCK),
-        f"{root}/checkpoint",
-        available_now=True,
-        state_partitions=spark.sparkContext.defaultParallelism,
-    )
-    query.awaitTermination()
+    for phase in phases:
+        encode_trades(phase).write.mode("append").parquet(f"{root}/topic")
+        query = start_minute_stream(
+            read_trade_stream(spark, "parquet", f"{root}/topic", TOPIC_SCHEMA),
+            lambda batch: table.upsert(batch, CLOCK, keyed=True),
+            f"{root}/checkpoint",
+            available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+        query.awaitTermination()
     return _table_rows(table)
 
 
+def _agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, "agg_1m_stream", in_phases(read_event_trades(spark, sf_dir)))
+
+
+def _late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, "late_data", with_late(read_event_trades(spark, sf_dir)))
+
+
 def _stored(frame: DataFrame, folder: str) -> DataFrame:
     """The frame written out and read back, so that what follows does not scan the trades again."""
     frame.write.parquet(folder)
@@ -118,6 +136,24 @@ def _upsert_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table_rows(table)
 
 
+def _run_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of gate, rollup and snapshot at two consecutive hours; the hour table."""
+    root = work_dir(spark, "run_hourly")
+    minutes, hours = BarTable(spark, f"{root}/trade_agg_1m"), BarTable(spark, f"{root}/trade_agg_1h")
+    minutes.upsert(_minutes(spark, sf_dir), CLOCK)
+    for now in (CLOCK - HOUR, CLOCK):
+        run_hourly(minutes, hours, f"{root}/backups", now)
+    return _table_rows(hours)
+
+
+def _contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch with every seventh bar twice, and a copy without its symbol of every eleventh."""
+    bars = conform_bars(_minutes(spark, sf_dir), CLOCK)
+    minute = F.minute("window_start_ts")
+    unnamed = bars.where(minute % 11 == 0).withColumn("symbol", F.lit(None).cast("string"))
+    return contract_violations(bars.unionByName(bars.where(minute % 7 == 0)).unionByName(unnamed))
+
+
 def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "snapshot")
     minutes = _stored(conform_bars(_minutes(spark, sf_dir), CLOCK), f"{root}/trade_agg_1m")
@@ -149,7 +185,12 @@ _QUERIES: dict[str, Query] = {
     "event_time": lambda spark, sf_dir: read_event_trades(spark, sf_dir).select(
         "event_id", "ts", event_time(F.col("ts")).alias("event_time")
     ),
+    "unparsed_trades": lambda spark, sf_dir: unparsed_trades(event_records(read_events(spark, sf_dir))),
     "agg_1m": _minutes,
+    "agg_1m_fine": lambda spark, sf_dir: minute_bars(with_event_time(fine_trades(read_events(spark, sf_dir)))),
+    "late_data": _late_data,
+    "contract_violations": _contract_violations,
+    "run_hourly": _run_hourly,
     "agg_1m_stream": _agg_1m_stream,
     "conform_agg": lambda spark, sf_dir: conform_bars(_minutes(spark, sf_dir), CLOCK),
     "upsert_1m": _upsert_1m,

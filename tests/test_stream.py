@@ -159,3 +159,13 @@ def test_state_partitions_do_not_leak_into_the_session(spark, tmp_path):
 def test_kafka_records_keep_key_and_value(spark):
     trade = spark.createDataFrame([(1, "A", 1.0, 1.0, "buy")], TRADE_SCHEMA)
     assert dict(encode_trades(trade).dtypes) == {"key": "binary", "value": "binary"}
+
+
+def test_a_record_out_of_time_costs_one_record(job):
+    """Nanoseconds would overflow, microseconds would be a year that no partition can hold."""
+    for factor in (1_000_000, 1_000):
+        bad = f'{{"ts":{ms(NOON) * factor},"symbol":"A","price":1,"qty":1,"side":"buy"}}'
+        good = f'{{"ts":{ms(NOON) + factor},"symbol":"A","price":1,"qty":1,"side":"buy"}}'
+        job.land_lines([bad, good])
+    job.run()
+    assert sum(job.counts().values()) == 2
