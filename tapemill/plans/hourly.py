@@ -21,4 +21,4 @@ def run_hourly(
     recent = minutes.read(since=now - timedelta(hours=2))
     require_fresh(recent, now)
     hours.upsert(rollup_1h(recent, now), now)
-    return snapshot_tables({"trade_agg_1m": minutes.read(), "trade_agg_1h": hours.read()}, backup_folder, now)
+    return snapshot_tables({"trade_agg_1m": minutes, "trade_agg_1h": hours}, backup_folder, now)

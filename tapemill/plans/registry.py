@@ -156,9 +156,10 @@ def _contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "snapshot")
-    minutes = _stored(conform_bars(_minutes(spark, sf_dir), CLOCK), f"{root}/trade_agg_1m")
-    tables = {"trade_agg_1m": minutes, "trade_agg_1h": conform_bars(hour_bars(minutes), CLOCK)}
-    return snapshot_tables(tables, root, CLOCK)
+    minutes, hours = BarTable(spark, f"{root}/trade_agg_1m"), BarTable(spark, f"{root}/trade_agg_1h", "day")
+    minutes.upsert(_minutes(spark, sf_dir), CLOCK, keyed=True)
+    hours.upsert(hour_bars(minutes.read()), CLOCK, keyed=True)
+    return snapshot_tables({"trade_agg_1m": minutes, "trade_agg_1h": hours}, f"{root}/backups", CLOCK)
 
 
 def _display_time(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 from tapemill.sinks.jdbc import create_statement, merge_statement, upsert_jdbc
 from tapemill.sinks.merge import merge_into
-from tapemill.sinks.snapshot import snapshot_tables
+from tapemill.sinks.snapshot import restored, snapshot_tables
 from tapemill.sinks.table import BarTable
 from tapemill.sinks.topic import publish_trades, write_trade_topic
 
@@ -10,6 +10,7 @@ __all__ = [
     "merge_into",
     "merge_statement",
     "publish_trades",
+    "restored",
     "snapshot_tables",
     "upsert_jdbc",
     "write_trade_topic",

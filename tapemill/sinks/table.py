@@ -163,9 +163,17 @@ class BarTable:
         names = self._pointers()
         return (int(names[-1].removesuffix(".json")), self._read_pointer(names[-1])) if names else (0, {})
 
-    def _load(self, live: dict[str, int]) -> DataFrame:
+    def partitions(self) -> dict[str, int]:
+        """The version that each partition is read from."""
+        return self._pointer()[1]
+
+    def versioned(self, live: dict[str, int], root: str | None = None) -> DataFrame:
+        """Rows of the named partitions with their version; from a copy of the table, if it is elsewhere."""
+        ddl, root = f"{self._ddl}, version int", root or self.folder.root
         if not live:
-            return self.spark.createDataFrame([], self._ddl)
-        paths = [self.folder.path(f"version={version}", part) for part, version in live.items()]
-        frame = self.spark.read.schema(self._ddl).option("basePath", self.folder.root).parquet(*paths)
-        return frame.drop("version")
+            return self.spark.createDataFrame([], ddl)
+        paths = [f"{root}/version={version}/{part}" for part, version in live.items()]
+        return self.spark.read.schema(ddl).option("basePath", root).parquet(*paths)
+
+    def _load(self, live: dict[str, int]) -> DataFrame:
+        return self.versioned(live).drop("version")

@@ -28,7 +28,7 @@ def test_chain_rewrites_two_hours_and_snapshots(spark, tables, tmp_path):
     minutes.upsert(bars(spark, [("A", NOON, 7, 1, 1), ("A", at(minutes=-1), 5, 1, 1)]))
     run_hourly(minutes, by_hour, backups, at(minutes=1))
     assert hours(by_hour) == {"05 10": 60, "05 11": 64, "05 12": 7}
-    assert (tmp_path / "backups" / "backup_20240305_115900" / "trade_agg_1h").is_dir()
+    assert (tmp_path / "backups" / "trade_agg_1h" / "_manifests" / "backup_20240305_115900.json").exists()
 
 
 def test_the_previous_hour_may_lie_on_the_day_before(spark, tables):

@@ -2,7 +2,7 @@
 
 import os
 import time
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from decimal import Decimal
 
 import duckdb
@@ -14,7 +14,7 @@ from tapemill.functions import instant, since
 from tapemill.operators.contract import ContractError, conform_bars, contract_violations
 from tapemill.operators.timerange import from_time
 from tapemill.schemas import BAR_SCHEMA
-from tapemill.sinks import BarTable, create_statement, merge_into, merge_statement, snapshot_tables
+from tapemill.sinks import BarTable, create_statement, merge_into, merge_statement, restored, snapshot_tables
 
 
 @pytest.fixture(params=["day", "hour"])
@@ -197,12 +197,25 @@ def test_violations_name_the_keys(spark):
     assert [(row.symbol, row.row_cnt) for row in contract_violations(frame).collect()] == [("A", 2)]
 
 
-def test_snapshot_copies_and_counts(spark, tmp_path):
-    frame = bars(spark, [("A", NOON, 1, 1, 1), ("A", at(minutes=7), 1, 1, 1)])
-    manifest = snapshot_tables({"m": frame, "none": frame.limit(0)}, str(tmp_path), NOON)
+def test_snapshot_copies_changed_partitions_only(spark, table, tmp_path):
+    backups, none = str(tmp_path / "backups"), BarTable(spark, str(tmp_path / "none"))
+    first = bars(spark, [("A", NOON, 1, 1, 1), ("A", at(days=-2), 2, 2, 2)])
+    table.upsert(first)
+    manifest = snapshot_tables({"m": table, "none": none}, backups, NOON)
     assert {(r.table_name, r.row_cnt) for r in manifest.collect()} == {("m", 2), ("none", 0)}
-    copy = spark.read.parquet(str(tmp_path / "backup_20240305_120000" / "m"))
-    assert rows(copy) == rows(frame)
+    copies = sorted((tmp_path / "backups" / "m").glob("version=*/**/*.parquet"))
+    written = {path: path.stat().st_mtime_ns for path in copies}
+    table.upsert(bars(spark, [("B", NOON, 5, 5, 5)]))
+    zoned = at(hours=1).astimezone(timezone(timedelta(hours=9)))
+    manifest = snapshot_tables({"m": table, "none": none}, backups, zoned)
+    row = manifest.where("table_name = 'm'").select("row_cnt", "first_window", "last_window").first()
+    assert row.row_cnt == 3
+    assert manifest.where(F.col("first_window") == instant(at(days=-2))).count() == 1
+    assert {path: path.stat().st_mtime_ns for path in copies} == written
+    assert len(list((tmp_path / "backups" / "m").glob("version=*/**/*.parquet"))) == len(copies) + 1
+    assert rows(restored(table, backups, "m", "20240305_120000")) == rows(first)
+    assert rows(restored(table, backups, "m", "20240305_130000")) == rows(table.read())
+    assert restored(none, backups, "none", "20240305_120000").isEmpty()
 
 
 def test_partitions_do_not_depend_on_the_session_zone(spark, table):
