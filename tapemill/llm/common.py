@@ -21,6 +21,18 @@ def saved(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+# Bounds of an Arrow batch on its way to Python: rows, and bytes of each column.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def bound_batches(spark: SparkSession | None = None) -> None:
+    """Lower the session's bounds of Arrow batches to BATCH: texts are long, and each task holds a few batches."""
+    conf = (spark or SparkSession.active()).conf
+    for name, most in BATCH.items():
+        if not 0 < int(conf.get(name).rstrip("b")) <= most:
+            conf.set(name, str(most))
+
+
 # Arrow batches are turned into Python objects in parts of about so many bytes.
 PART_BYTES = 4 << 20
 
@@ -41,6 +53,7 @@ def map_rows(
 
     Only `columns` are read, whatever else the frame has. An empty partition yields no rows.
     """
+    bound_batches(frame.sparkSession)
     out = to_arrow_schema(T._parse_datatype_string(schema))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tapemill.llm.common import map_rows
+from tapemill.llm.common import bound_batches, map_rows
 
 N = 3
 SPACING = 2
@@ -217,6 +217,8 @@ def benchmark_matches(
 def _match_column(docs: DataFrame, items: Items, text_column: str, kind: str) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
+    bound_batches()
+
     @pandas_udf(kind)
     def matches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value

@@ -24,6 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from tapemill.llm.common import bound_batches
+
 WINDOW = 3
 SURGE = 40
 SHARE = 0.3
@@ -188,6 +190,8 @@ def main_text(html: str) -> str:
 def extract_text(html: Column) -> Column:
     """Main text of each page; empty where there is none."""
 
+    bound_batches()
+
     @pandas_udf(StringType())
     def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for pages in batches:

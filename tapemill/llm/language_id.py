@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tapemill.llm.common import map_rows
+from tapemill.llm.common import bound_batches, map_rows
 from tapemill.llm.ngrams import gram_slots
 
 UNKNOWN = "und"
@@ -173,6 +173,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text") -
     """Struct column: lang_pred, score (share of the best language, 0 to 1) and ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    bound_batches()
+
     @pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = shared.value

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
-from tapemill.llm.common import map_rows
+from tapemill.llm.common import bound_batches, map_rows
 
 SPACE = "▁"
 # Words kept per worker before the table starts anew; bounds its memory only.
@@ -124,7 +124,7 @@ class PrefixCounter:
         if len(self.counts) > KEPT_WORDS:
             self.counts.clear()
         counts = self.counts
-        self.learn({name for own in words for name in own if name not in counts})
+        self.learn(set().union(*words).difference(counts))
         return [sum(map(counts.__getitem__, own)) for own in words]
 
     def count(self, text: str) -> int:
@@ -150,6 +150,8 @@ def counter(model_path: str) -> PrefixCounter:
 def count_tokens(text: Column, model_path: str) -> Column:
     """Number of tokens of a whole text, without begin or end tokens."""
 
+    bound_batches()
+
     @pandas_udf(LongType())
     def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = counter(model_path)

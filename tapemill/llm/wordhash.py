@@ -25,9 +25,8 @@ def words_of(text: str) -> list[bytes]:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_hash_of) > _KEPT_WORDS:
         _hash_of.clear()
-    for word in set(words):
-        if word not in _hash_of:
-            _hash_of[word] = xxhash.xxh3_64_intdigest(word)
+    for word in set(words).difference(_hash_of):
+        _hash_of[word] = xxhash.xxh3_64_intdigest(word)
     return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
 
 
