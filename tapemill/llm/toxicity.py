@@ -24,19 +24,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from tapemill.llm.common import map_rows
+from tapemill.llm.common import bound_batches, map_rows
 from tapemill.llm.ngrams import gram_slots
 
-SAMPLE_ROWS = 40_000
+SAMPLE_ROWS = 20_000
 SIZES = (3, 4, 5)
 BITS = 18
 FEATURES = 4096
 # A feature must occur in so many sampled rows, with a log ratio of so many standard deviations.
 LEAST_ROWS = 3
-LEAST_STRENGTH = 3.0
+LEAST_STRENGTH = 4.0
 THRESHOLD = 0.7
 _RIDGE = 1e-3
-_STEPS = 400
+# Steps of the fit, which ends where no slope exceeds the limit.
+_STEPS, _FLAT = 400, 2e-5
 
 
 @dataclass
@@ -163,6 +164,8 @@ def _logistic(features: list[np.ndarray], labels: np.ndarray, values: np.ndarray
     for t in range(_STEPS):
         error = _sigmoid(np.bincount(row, entry * ahead[column], n) + ahead[-1]) - labels
         slope = np.append(np.bincount(column, entry * error[row], width) / n + _RIDGE * ahead[:-1], error.mean())
+        if np.abs(slope).max() < _FLAT:
+            break
         moved = ahead - step * slope
         ahead = moved + t / (t + 3) * (moved - point)
         point = moved
@@ -173,6 +176,8 @@ def toxicity(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -
     """Score of the whole text, 0 to 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    bound_batches()
+
     @pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = shared.value
