@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapemill.llm import language_id, toxicity
-from tapemill.llm.bpe_codec import decode, encode, frequent_words, share_lexicon
+from tapemill.llm.bpe_codec import encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
 from tapemill.llm.decontamination import benchmark_matches
 from tapemill.llm.embedding_dedup import near_vectors
@@ -91,7 +91,7 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents")
     lexicon = share_lexicon(spark, frequent_words(docs), path)
-    return decode(encode(docs, path, lexicon), path).select(
+    return encode(docs, path, lexicon, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -49,6 +49,8 @@ def test_frame_round_trip(spark, documents):
     encoded = encode(docs, PATH, share_lexicon(spark, words, PATH), text_column="text")
     found = decode(encoded, PATH).collect()
     assert len(found) == len(rows)
+    at_once = encode(docs, PATH, share_lexicon(spark, set(), PATH), decoded=True)
+    assert sorted(map(str, at_once.collect())) == sorted(map(str, found))
     of = {row["doc_id"]: row for row in found}
     for i, text in rows:
         assert ids(bytes(of[i]["ids"])) == library(text)
