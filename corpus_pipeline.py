@@ -51,7 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     lexicon = bpe_codec.share_lexicon(spark, bpe_codec.frequent_words(docs), path)
-    return bpe_codec.decode(bpe_codec.encode(docs, path, lexicon), path)
+    return bpe_codec.encode(docs, path, lexicon, decoded=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
