@@ -36,6 +36,8 @@ BLOCK = 1024
 # Of one label, and of all labels together; the latter are a table that all tasks get.
 LEADERS = 32
 ALL_LEADERS = 4096
+# Trees that a task keeps while it goes through its pairs of nodes.
+KEPT_TREES = 32
 RADII = (2.0, 1.0, 0.5, 0.25, 0.125)
 _SLACK = 1e-9
 
@@ -140,7 +142,9 @@ class CoverTree:
             left = np.flatnonzero(owner == place)
             centre = first
             while True:
-                near = np.linalg.norm(self.points[left] - self.points[centre], axis=1) <= radius
+                # Of unit vectors, the cosine tells the distance.
+                near = self.points[left] @ self.points[centre] >= 1 - radius * radius / 2
+                near[left == centre] = True
                 found[left[near]] = len(centres)
                 centres.append(centre)
                 parents.append(place)
@@ -192,12 +196,21 @@ def _compared(pairs: DataFrame, least: float) -> DataFrame:
     """(id, n, other) for each vector linked within a pair of nodes; `other` is the smallest of its component."""
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
+        trees: dict[str, CoverTree] = {}
+
+        def tree(node: str, points: bytes, dims: int) -> CoverTree:
+            # A node stands in several pairs; a few trees are kept.
+            found = trees.pop(node, None) or CoverTree(np.frombuffer(points, np.float64).reshape(-1, dims))
+            if len(trees) >= KEPT_TREES:
+                trees.pop(next(iter(trees)))
+            trees[node] = found
+            return found
+
         for batch in batches:
-            for dims, ids_a, points_a, ids_b, points_b in zip(*batch.values(), strict=True):
+            for dims, node_a, ids_a, points_a, node_b, ids_b, points_b in zip(*batch.values(), strict=True):
                 ids = [np.frombuffer(own, np.int64) for own in (ids_a, ids_b)]
-                trees = [CoverTree(np.frombuffer(own, np.float64).reshape(-1, dims)) for own in (points_a, points_b)]
-                a, b = linked_pairs(*trees, least)
-                if ids_a == ids_b:
+                a, b = linked_pairs(tree(node_a, points_a, dims), tree(node_b, points_b, dims), least)
+                if node_a == node_b:
                     a, b = a[a < b], b[a < b]
                     names, second = ids[0], b
                 else:
@@ -210,7 +223,8 @@ def _compared(pairs: DataFrame, least: float) -> DataFrame:
                 linked = np.flatnonzero(counts)
                 yield [names[linked].tolist(), counts[linked].tolist(), by_rank[found[rank[linked]]].tolist()]
 
-    return map_rows(pairs, ["dims", "ids_a", "points_a", "ids_b", "points_b"], "id bigint, n bigint, other bigint", rows_of)
+    columns = ["dims", "node_a", "ids_a", "points_a", "node_b", "ids_b", "points_b"]
+    return map_rows(pairs, columns, "id bigint, n bigint, other bigint", rows_of)
 
 
 def near_vectors(
