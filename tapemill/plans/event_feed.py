@@ -37,7 +37,11 @@ FAULTS = {
     "forged wrapper": 33,
 }
 # Values of the time and the maker flag in the messages damaged so.
-FAULT_TIMES = {"nanoseconds": "1700000000000000000", "microseconds": "1700000000000000", "time below range": "-99999999999999999"}
+FAULT_TIMES = {
+    "nanoseconds": "1700000000000000000",
+    "microseconds": "1700000000000000",
+    "time below range": "-99999999999999999",
+}
 FAULT_FLAGS = {"maker flag 1": "1", "maker flag 0": "0", "maker flag text": '"true"', "maker flag empty text": '""'}
 
 
