@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a lexicon of frequent words.
 
-The frequent words of the corpus are found by counts that Spark makes over all rows; with their ids, they are compiled into a
-minimal acyclic transducer: states with equal futures are one state, and the numbers on a path's arcs add up to
+The frequent words of the corpus are found by counts that Spark makes over all rows; with their ids, they are
+compiled into a minimal acyclic transducer: states with equal futures are one state, and the numbers on a path's arcs add up to
 the place of the word's ids. Its file lies in the shared folder, each executor fetches it once and maps it into
 memory. A word outside the lexicon is merged by rank, exactly as the model's merge list says, so the lexicon
 decides the speed and never the result.
