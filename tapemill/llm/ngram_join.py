@@ -11,16 +11,18 @@ shingle, and counts for two. A set too large for the band's own members only loo
 needs, those with most shingles, which the fewest others have.
 
 Candidates are linked in rounds. First each member of a signature's bucket is compared with the bucket's
-smallest; what that links is one component. Then members of different components are compared, if the
-bucket has no more than CROWD members. A fuller bucket that is still in several components is left out by
-the sets whose other segments suffice: they allocate what they must look up to cheaper segments. The sets that
-need it are compared with all its members. Every candidate is verified on the words of both texts. So no pair
-is lost, and a large group of copies costs in proportion to its size.
+smallest; what that links is one component. In buckets of more than CROWD members that still hold several
+components, each member is then compared with one other, in an order of each bucket's own, up to CROWDED_ROUNDS
+times. After that, members of different components are compared: all of a smaller bucket; of a crowded one only
+with the sets that cannot do without it. A set leaves out crowded buckets as long as its other segments suffice,
+and then takes the least crowded first; that is the cost-based allocation of what it must look up. Members of
+crowded buckets are compared in blocks, as arrays within a task. Every candidate is verified on the words of both
+texts. So no pair is lost, and a large group of copies costs in proportion to its size.
 
 Defined cases: words are runs of characters other than ASCII white space, with A to Z lower-cased; a text of
 fewer words than a shingle has them all as its one shingle; null texts and texts without words have an empty
-set and link with nothing; rows without an id are left out; rows that share an id count as one document, with
-the largest text in order. Ids must be integers. Other columns are ignored, so their names cannot clash.
+set and link with nothing; rows without an id are left out; rows that share an id are one document, which has
+the links of all of them and the size of the largest set. Ids must be integers. Other columns are ignored, so their names cannot clash.
 Texts of any length are taken whole; an empty table gives no rows.
 """
 
@@ -28,8 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tapemill.llm.common import map_rows, saved
 from tapemill.llm.graph import components
@@ -44,6 +49,11 @@ SMALL = 32
 SEGMENTS, MORE = 0.36, 6
 DELETED = 4
 CROWD = 64
+# Members of a crowded bucket are compared in blocks of about so many, by sketches of so many bytes at the most.
+BLOCK = 1024
+MOST_BYTES = 1024
+# So many rounds try to settle crowded buckets by few comparisons of each member.
+CROWDED_ROUNDS = 1
 # Ids up to so many are broadcast; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -57,11 +67,8 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(run_hashes(words, n))
 
 
-def similar(a: str, b: str, sets: dict[str, frozenset]) -> bool:
-    """The exact test, on words; `sets` keeps the shingles of texts that come again."""
-    first, second = (sets.get(t) or _shingles(t) for t in (a, b))
-    shared = len(first & second)
-    return shared > 0 and 100 * shared >= LEAST * (len(first) + len(second) - shared)
+def _alike(shared: int, total: int) -> bool:
+    return shared > 0 and 100 * shared >= LEAST * (total - shared)
 
 
 def _shingles(text: str) -> frozenset:
@@ -70,6 +77,37 @@ def _shingles(text: str) -> frozenset:
     return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset()
 
 
+def similar(a: str, b: str) -> bool:
+    """The exact test, on words."""
+    first, second = _shingles(a), _shingles(b)
+    return _alike(len(first & second), len(first) + len(second))
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """Which of 2**k equal ranges of hashes a set has any in, as bits; four to eight ranges for each shingle."""
+    k = max(3, len(tokens).bit_length() + 2)
+    cells = np.zeros(1 << k, np.uint8)
+    cells[(tokens >> np.uint64(64 - k)).astype(np.int64)] = 1
+    return np.packbits(cells).tobytes()
+
+
+def _folded(held: bytes, n: int) -> np.ndarray:
+    """A sketch of n bytes, by taking neighbouring ranges together."""
+    cells = np.frombuffer(held, np.uint8)
+    return cells if len(cells) == n else np.packbits(np.unpackbits(cells).reshape(8 * n, -1).any(axis=1))
+
+
+def at_most_shared(a: bytes, size_a: int, b: bytes, size_b: int) -> int:
+    """No set of this sketch and size shares more with one of the other.
+
+    Each range that both have holds one common shingle, and further ones only if both have several there.
+    """
+    n = min(len(a), len(b))
+    x, y = _folded(a, n), _folded(b, n)
+    spare = min(size_a - int(np.bitwise_count(x).sum()), size_b - int(np.bitwise_count(y).sum()))
+    return int(np.bitwise_count(x & y).sum()) + spare
+
+
 def _difference(a: int, b: int) -> int:
     """The most shingles that sets of these sizes may differ in and be similar."""
     return (100 - LEAST) * (a + b) // (100 + LEAST)
@@ -96,12 +134,16 @@ def segments(number: int) -> int:
     return int(SEGMENTS * largest) + MORE if largest >= SMALL else 0
 
 
-def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """A set's signatures in a band, whether each has a shingle deleted, and what they count for together."""
+def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A set's signatures in a band, whether each has a shingle deleted, and for how much it counts.
+
+    A segment counts for one, or for two if what it is with one shingle deleted is looked up, too; a signature
+    with one deleted counts for nothing of its own.
+    """
     size, m = len(tokens), segments(number)
     salt = mix(np.array([number + 1], np.uint64) * STEP)
     if not m:
-        return mix(tokens ^ salt), np.zeros(size, bool), size
+        return mix(tokens ^ salt), np.zeros(size, bool), np.ones(size, np.int64)
     place = (mix(tokens + salt) % np.uint64(m)).astype(np.int64)
     order = np.argsort(place, kind="stable")
     place, tokens = place[order], mix(tokens[order] ^ salt)
@@ -116,7 +158,7 @@ def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray,
     inside = (held[group] < DELETED) & (counts[group] > 1)
     deleted = mix(sums[group[inside]] - tokens[inside] + names[group[inside]])
     double = (held < DELETED) & (counts > 1)
-    worth = len(held) + int(double.sum())
+    worth = 1 + double
     if size >= 2 << number:
         # Too large for the band's own members: look up what is needed, the best-filled segments first.
         need = needed(size, number) - 2 * int(double.sum())
@@ -124,98 +166,117 @@ def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray,
         single = single[np.argsort(-counts[single], kind="stable")]
         # Some more than needed, so that some may be left out.
         single = single[: max(0, need) + 4 + max(0, need) // 8]
-        exact = np.concatenate([exact[double], exact[single]])
-        worth = 2 * int(double.sum()) + len(single)
-    if worth < needed(size, number):
+        chosen = np.concatenate([np.flatnonzero(double), single])
+        exact, worth = exact[chosen], worth[chosen]
+    if worth.sum() < needed(size, number):
         raise ValueError(f"a set of {size} fills too few segments of band {number}")
-    return np.concatenate([exact, deleted]), np.arange(len(exact) + len(deleted)) >= len(exact), worth
+    worth = np.concatenate([worth, np.zeros(len(deleted), np.int64)])
+    return np.concatenate([exact, deleted]), np.arange(len(worth)) >= len(exact), worth
 
 
-# Shares of a set by hash: the sum of the smaller shares of two sets is no less than what they share.
-_SHARES = 64
+# Size of a set and its 128-bit digest, before its sketch.
+_DIGEST = np.dtype([("size", "<i4"), ("low", "<i8"), ("high", "<i8")])
+_DIGEST_ROW = -1
 
 
-def _digests(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per row: id, size of its set, a 128-bit digest of the set, and its shares."""
-
-    def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
-        for batch in batches:
-            sets = [shingle_set(text) for text in batch[text_column]]
-            shares = [np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_SHARES) for s in sets]
-            yield [
-                batch[id_column],
-                [len(s) for s in sets],
-                [int(mix(s ^ P1).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
-                [int(mix(s ^ P2).sum(dtype=np.uint64).astype(np.int64)) for s in sets],
-                [share.astype("<u4").tobytes() for share in shares],
-            ]
-
-    schema = "doc bigint, size int, low bigint, high bigint, shares binary"
-    return map_rows(docs, [id_column, text_column], schema, rows_of)
+def _digest(tokens: np.ndarray) -> bytes:
+    sums = [mix(tokens ^ salt).sum(dtype=np.uint64).astype(np.int64) for salt in (P1, P2)]
+    return np.array((len(tokens), *sums), _DIGEST).tobytes() + sketch(tokens)
 
 
 def _signed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Signatures of all sets.
+    """Signatures of all sets, and a row with the digest of each, from one pass over the texts.
 
-    `kind` holds, from the lowest bit, whether the signature has a shingle deleted, the band in 7 bits, and by
-    how much the set's signatures in the band count for more than it needs.
+    `kind` holds, from the lowest bit, whether the signature has a shingle deleted, the band in 7 bits, for how
+    much the set counts it in 2 bits, and by how much all of them in the band count for more than it needs; it is
+    negative in digest rows, which are spread by their id.
     """
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
         for batch in batches:
-            names, ids, kinds = [], [], []
+            names, ids, kinds, digests = [], [], [], []
             for doc, text in zip(batch[id_column], batch[text_column], strict=True):
                 tokens = shingle_set(text)
+                digests.append(_digest(tokens))
                 for number in bands(len(tokens)) if len(tokens) else ():
                     found, deleted, worth = signatures(tokens, number)
-                    spare = worth - needed(len(tokens), number)
+                    spare = int(worth.sum()) - needed(len(tokens), number)
                     names.append(found)
                     ids.append(np.full(len(found), doc, np.int64))
-                    kinds.append((spare << 8 | number << 1 | deleted).astype(np.int32))
+                    # Without its deleted ones, a segment still counts for one.
+                    lost = np.where(deleted, 1, worth)
+                    kinds.append((spare << 10 | lost << 8 | number << 1 | deleted).astype(np.int32))
             if names:
                 columns = (np.concatenate(names).view(np.int64), np.concatenate(ids), np.concatenate(kinds))
-                yield [pa.array(column) for column in columns]
+                yield [*map(pa.array, columns), pa.nulls(len(columns[0]), pa.binary())]
+            yield [batch[id_column], batch[id_column], [_DIGEST_ROW] * len(digests), digests]
 
-    return map_rows(docs, [id_column, text_column], "signature bigint, doc bigint, kind int", rows_of)
+    schema = "signature bigint, doc bigint, kind int, digest binary"
+    return map_rows(docs, [id_column, text_column], schema, rows_of)
 
 
 def _shared(signed: DataFrame) -> DataFrame:
-    """Rows of the signatures that several documents have, with the smallest that has it undeleted."""
+    """Rows of the signatures that several documents have, with the smallest that has it undeleted; and digests."""
+    read = pa.schema(
+        [("signature", pa.int64()), ("doc", pa.int64()), ("kind", pa.int32()), ("digest", pa.binary())]
+    )
+    schema = "signature bigint, doc bigint, kind int, first bigint, size int, low bigint, high bigint, sketch binary"
+    out = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def digests(rows: pa.RecordBatch) -> pa.RecordBatch:
+        raw = rows.column(3).to_pylist()
+        heads = np.frombuffer(b"".join(r[: _DIGEST.itemsize] for r in raw), _DIGEST)
+        known = [*rows.columns[:3], pa.nulls(len(raw), pa.int64())]
+        parts = [pa.array(np.ascontiguousarray(heads[name])) for name in _DIGEST.names]
+        return pa.record_batch([*known, *parts, pa.array([r[_DIGEST.itemsize :] for r in raw], pa.binary())], schema=out)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(batches, schema)
-        names, ids, kinds = (held.column(i).to_numpy() for i in range(3))
+        held = []
+        for batch in batches:
+            apart = pc.less(batch.column(2), 0)
+            yield digests(batch.filter(apart))
+            held.append(batch.filter(pc.invert(apart)).select([0, 1, 2]))
+        table = pa.Table.from_batches(held, pa.schema(list(read)[:3]))
+        del held
+        names = table.column(0).to_numpy()
+        order = np.argsort(names)
+        # Most signatures are of one document: only the others are looked at any further.
+        alike = names[order][1:] == names[order][:-1]
+        order = order[np.append(alike, False) | np.append(False, alike)] if len(names) else order
+        names, ids, kinds = names[order], *(table.column(i).to_numpy()[order] for i in (1, 2))
+        del table
         order = np.lexsort((ids, kinds & 1, names))
         names, ids, kinds = names[order], ids[order], kinds[order]
-        starts = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.zeros(0, np.int64)
+        if not len(names):
+            return
+        starts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
         group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(names))))
-        if len(starts):
-            several = np.logical_or.reduceat(ids != ids[starts][group], starts) & (kinds[starts] % 2 == 0)
-            kept = several[group]
-            columns = (names[kept], ids[kept], kinds[kept], ids[starts][group][kept])
-            yield pa.record_batch([pa.array(column) for column in columns], names=[*schema.names, "first"])
+        several = np.logical_or.reduceat(ids != ids[starts][group], starts) & (kinds[starts] % 2 == 0)
+        kept = several[group]
+        columns = [pa.array(c) for c in (names[kept], ids[kept], kinds[kept], ids[starts][group][kept])]
+        yield pa.record_batch([*columns, *(pa.nulls(int(kept.sum()), field.type) for field in list(out)[4:])], schema=out)
 
-    schema = pa.schema([("signature", pa.int64()), ("doc", pa.int64()), ("kind", pa.int32())])
-    return signed.repartition("signature").mapInArrow(work, "signature bigint, doc bigint, kind int, first bigint")
+    return signed.repartition("signature").mapInArrow(work, schema)
 
 
 def _plausible(pairs: DataFrame, digests: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes and shares do not rule them out."""
+    """The pairs (a, b) whose sizes and sketches do not rule them out."""
     sides = [
-        digests.select(F.col("doc").alias(side), F.col("size").alias(f"size_{side}"), F.col("shares").alias(f"of_{side}"))
+        digests.select(F.col("doc").alias(side), F.col("size").alias(f"size_{side}"), F.col("sketch").alias(f"of_{side}"))
         for side in "ab"
     ]
-    sized = pairs.join(sides[0], "a").join(sides[1], "b")
+    sizes = [side.select(side.columns[:2]) for side in sides]
     low, high = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    sized = sized.where(100 * low >= LEAST * high)
+    sized = pairs.join(sizes[0], "a").join(sizes[1], "b").where(100 * low >= LEAST * high)
+    sized = sized.join(sides[0].drop("size_a"), "a").join(sides[1].drop("size_b"), "b")
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
         for batch in batches:
-            of_a, of_b = (np.frombuffer(b"".join(batch[name]), "<u4").reshape(-1, _SHARES) for name in ("of_a", "of_b"))
-            shared = np.minimum(of_a, of_b).sum(axis=1)
-            total = np.array(batch["size_a"]) + np.array(batch["size_b"])
-            kept = np.flatnonzero(100 * shared >= LEAST * (total - shared))
-            yield [[batch["a"][i] for i in kept], [batch["b"][i] for i in kept]]
+            kept = []
+            for a, b, total_a, total_b, of_a, of_b in zip(*batch.values(), strict=True):
+                if _alike(at_most_shared(of_a, total_a, of_b, total_b), total_a + total_b):
+                    kept.append((a, b))
+            yield [[a for a, _ in kept], [b for _, b in kept]]
 
     return map_rows(sized, ["a", "b", "size_a", "size_b", "of_a", "of_b"], "a bigint, b bigint", rows_of).distinct()
 
@@ -231,65 +292,166 @@ def _verified(pairs: DataFrame, digests: DataFrame, docs: DataFrame, id_column:
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
         for batch in batches:
-            links, kept = [], {}
+            links, known, tokens = [], None, None
             for a, b, first, second in zip(*batch.values(), strict=True):
-                if first not in kept:
-                    kept = {first: _shingles(first)}
-                if similar(first, second, kept):
+                if first is not known:
+                    known, tokens = first, shingle_set(first)
+                others = shingle_set(second)
+                shared = len(np.intersect1d(tokens, others, assume_unique=True))
+                # Hashes may say too much, never too little; words decide.
+                if _alike(shared, len(tokens) + len(others)) and similar(first, second):
                     links.append((a, b))
             yield [[a for a, _ in links], [b for _, b in links]]
 
     joined = pairs.join(sides[1], "b").join(sides[0], "a")
-    return map_rows(joined, ["a", "b", "text_a", "text_b"], "a bigint, b bigint", rows_of)
+    return saved(map_rows(joined, ["a", "b", "text_a", "text_b"], "a bigint, b bigint", rows_of), "ngram-verified")
 
 
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every document: size of its set, smallest id that links lead to."""
     docs = docs.where(F.col(id_column).isNotNull())
-    digests = saved(_digests(docs, id_column, text_column), "ngram-digests")
+    found = saved(_shared(_signed(docs, id_column, text_column)), "ngram-shared")
+    digests = found.where(F.col("kind") == _DIGEST_ROW).select("doc", "size", "low", "high", "sketch")
+    shared = found.where(F.col("kind") != _DIGEST_ROW).select("signature", "doc", "kind", "first")
     filled = digests.where("size > 0")
     # Equal sets are linked; of each, the smallest id stands for all from here on.
     same = filled.groupBy("size", "low", "high").agg(F.min("doc").alias("stand_in"))
     equal = filled.join(same, ["size", "low", "high"]).where("doc != stand_in").select("doc", "stand_in").distinct()
     equal = saved(equal, "ngram-equal")
 
-    shared = _shared(_signed(docs, id_column, text_column))
     stands = shared.join(equal, "doc", "left").withColumn("doc", F.coalesce("stand_in", "doc")).drop("stand_in")
     members = saved(stands.where("doc != first").distinct(), "ngram-members")
     verify = lambda pairs: _verified(pairs, digests, docs, id_column, text_column)
-    near = verify(members.select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct())
-    linked = saved(components(near), "ngram-linked")
-    rest = [verify(pairs) for pairs in _remaining(members, linked)]
-
-    links = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
-    for more in [*rest, equal.select(F.col("stand_in").alias("a"), F.col("doc").alias("b"))]:
+    links = verify(members.select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct())
+    for rounds_left in reversed(range(CROWDED_ROUNDS + 1)):
+        linked = saved(components(links), "ngram-linked")
+        links = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        still = _unsettled(members, linked, digests)
+        crowded = still.where(F.col("members") > CROWD)
+        if not rounds_left or crowded.isEmpty():
+            break
+        more = verify(_next_in_bucket(crowded))
+        if more.isEmpty():
+            break
         links = links.unionByName(more)
-    found = components(links)
+    links = links.unionByName(verify(_remaining(still, digests)))
+    places = components(links.unionByName(equal.select(F.col("stand_in").alias("a"), F.col("doc").alias("b"))))
     sizes = digests.groupBy("doc").agg(F.max("size").cast("bigint").alias("n_shingles"))
-    joined = sizes.join(found, sizes["doc"] == found["id"], "left")
+    joined = sizes.join(places, sizes["doc"] == places["id"], "left")
     return joined.select(F.col("doc").alias(id_column), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
 
 
-def _remaining(members: DataFrame, linked: DataFrame) -> list[DataFrame]:
-    """Pairs of a bucket that neither its smallest document nor a component has settled."""
+def _unsettled(members: DataFrame, linked: DataFrame, digests: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, with sizes of document and bucket."""
     placed = members.join(linked, members["doc"] == linked["id"], "left")
     placed = placed.select("signature", "doc", "kind", F.coalesce("component", "doc").alias("component"))
     each = placed.groupBy("signature", "component").agg(F.count("*").alias("n"))
     mixed = each.groupBy("signature").agg(F.sum("n").alias("members"), F.count("*").alias("components"))
-    mixed = mixed.where("components > 1").select("signature", (F.col("members") > CROWD).alias("crowded"))
-    still = saved(placed.join(mixed, "signature"), "ngram-mixed")
-
-    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-        left = left.select("signature", F.col("doc").alias("a"), F.col("kind").alias("of_a"), F.col("component").alias("in_a"))
-        right = right.select("signature", F.col("doc").alias("b"), F.col("kind").alias("of_b"), F.col("component").alias("in_b"))
-        both = left.join(right, "signature").where("in_a != in_b AND (of_a & of_b & 1) = 0")
-        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    open_ones, crowded = still.where("NOT crowded"), still.where("crowded")
-    # What a bucket left out counts for at most.
-    left_out = crowded.groupBy("doc", F.expr("kind & 254").alias("band")).agg(
-        (2 * F.count("*")).alias("lost"), F.min(F.expr("kind >> 8")).alias("spare")
+    mixed = mixed.where("components > 1").select("signature", "members")
+    sizes = digests.groupBy("doc").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    return saved(placed.join(mixed, "signature").join(sizes, "doc"), "ngram-mixed")
+
+
+def _next_in_bucket(crowded: DataFrame) -> DataFrame:
+    """Each member with the one before it, in an order of each bucket's own: as many pairs as members."""
+    order = Window.partitionBy("signature").orderBy(F.xxhash64("signature", "doc"), "doc")
+    beside = crowded.withColumns({"b": F.lag("doc").over(order), "part": F.lag("component").over(order)})
+    pairs = beside.where("component != part").select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
+    return pairs.distinct()
+
+
+def _remaining(still: DataFrame, digests: DataFrame) -> DataFrame:
+    """Pairs of a bucket that neither its smallest document nor a component has settled."""
+    sides = [
+        still.where(F.col("members") <= CROWD).select(
+            "signature", *[F.col(name).alias(f"{name}_{end}") for name in ("doc", "kind", "component", "least", "most")]
+        )
+        for end in "ab"
+    ]
+    alike = "doc_a < doc_b AND component_a != component_b AND (kind_a & kind_b & 1) = 0"
+    alike += f" AND 100 * most_a >= {LEAST} * least_b AND 100 * most_b >= {LEAST} * least_a"
+    pairs = sides[0].join(sides[1], "signature").where(alike)
+    pairs = pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+    return pairs.unionByName(_crowded_pairs(still.where(F.col("members") > CROWD), digests)).distinct()
+
+
+def _crowded_pairs(crowded: DataFrame, digests: DataFrame) -> DataFrame:
+    """Plausible pairs of sets that cannot do without a crowded bucket with the bucket's other members.
+
+    A bucket's asking members are cut into blocks, and so are all its members; each pair of blocks is one group,
+    compared within a task as arrays. Only plausible pairs leave it.
+    """
+    # The cheapest of its crowded buckets that a set cannot do without, by what it counts them for.
+    own = Window.partitionBy("doc", F.expr("kind & 254"))
+    lost = F.expr("kind >> 8 & 3")
+    costs = crowded.withColumns(
+        {
+            "lacking": F.sum(lost).over(own) - F.min(F.expr("kind >> 10")).over(own),
+            "before": F.sum(lost).over(own.orderBy("members", "signature").rowsBetween(Window.unboundedPreceding, -1)),
+        }
+    )
+    asks = (F.coalesce("before", F.lit(0)) < F.col("lacking")).alias("asks")
+    rows = saved(costs.select("signature", "doc", "kind", "component", "members", asks), "ngram-crowded")
+    asked = rows.groupBy("signature").agg(F.count_if("asks").alias("asking")).where("asking > 0")
+    of_doc = digests.select("doc", "size", "sketch")
+    rows = rows.join(asked, "signature").join(of_doc, "doc")
+    left, right = (F.ceil(F.col(name) / BLOCK).cast("int") for name in ("asking", "members"))
+    own_block = lambda n: F.pmod(F.xxhash64("doc"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    columns = ["signature", "doc", "kind", "component", "size", "sketch"]
+    asking = rows.where("asks").select(*columns, F.lit(True).alias("asks"), own_block(left).alias("x"), every(right).alias("y"))
+    others = rows.select(*columns, F.lit(False).alias("asks"), own_block(right).alias("y"), every(left).alias("x"))
+    dealt = asking.unionByName(others).select("signature", "x", "y", *columns[1:], "asks")
+    read = to_arrow_schema(dealt.schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches, read)
+        keys = [table.column(i).to_numpy() for i in range(3)]
+        order = np.lexsort(keys[::-1])
+        docs, kinds, parts, sizes = (table.column(i).to_numpy() for i in range(3, 7))
+        held, asking = table.column(7).to_pylist(), table.column(8).to_numpy()
+        edges = np.flatnonzero(
+            np.append(True, np.logical_or.reduce([key[order][1:] != key[order][:-1] for key in keys]))
+        )
+        for group in np.split(order, edges[1:]) if len(order) else ():
+            i, j = _plausible_in(group[asking[group]], group[~asking[group]], kinds, parts, sizes, held)
+            if len(i):
+                low, high = np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])
+                yield pa.record_batch([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    return dealt.repartition("signature", "x", "y").mapInArrow(work, "a bigint, b bigint").distinct()
+
+
+def _words(side: np.ndarray, held: list[bytes], n: int) -> np.ndarray:
+    """Sketches folded to n bytes, filled up with zeros, as rows of 64-bit words."""
+    made = np.zeros((len(side), max(8, n)), np.uint8)
+    for row, i in zip(made, side, strict=True):
+        row[:n] = _folded(held[i], n)
+    return made.view(np.uint64)
+
+
+def _plausible_in(
+    rows: np.ndarray, others: np.ndarray, kinds: np.ndarray, parts: np.ndarray, sizes: np.ndarray, held: list[bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row and another that differ in component and that sizes and sketches do not rule out."""
+    if not len(rows) or not len(others):
+        return rows[:0], others[:0]
+    n = min(MOST_BYTES, *(len(held[i]) for i in (*rows, *others)))
+    a, b = (_words(side, held, n) for side in (rows, others))
+    spare_a, spare_b = (
+        sizes[side].astype(np.int64) - np.bitwise_count(own).sum(axis=1, dtype=np.int64)
+        for side, own in ((rows, a), (others, b))
     )
-    lacking = left_out.where("lost > spare").select("doc", "band")
-    asking = crowded.withColumn("band", F.expr("kind & 254")).join(lacking, ["doc", "band"])
-    return [paired(open_ones, open_ones), paired(asking, crowded)]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    # So many rows at a time that the comparison takes some megabytes.
+    step = max(1, (8 << 20) // (len(others) * n))
+    for start in range(0, len(rows), step):
+        some, end = rows[start : start + step], start + step
+        shared = np.bitwise_count(a[start:end, None] & b[None]).sum(axis=2, dtype=np.int64)
+        shared += np.minimum(spare_a[start:end, None], spare_b[None])
+        total = sizes[some][:, None].astype(np.int64) + sizes[others][None]
+        open_pairs = (100 * shared >= LEAST * (total - shared)) & (parts[some][:, None] != parts[others][None])
+        open_pairs &= (kinds[some][:, None] & kinds[others][None] & 1) == 0
+        i, j = np.nonzero(open_pairs)
+        found.append((some[i], others[j]))
+    return np.concatenate([i for i, _ in found]), np.concatenate([j for _, j in found])
