@@ -2,9 +2,10 @@
 
 Words are lower-cased runs of word characters. For the n-grams of all test items, Spark counts in how many
 texts each occurs. Of every SPACING consecutive n-grams of an item, the rarest is a seed, so every stretch of an
-item keeps a seed, however often the item was copied into the corpus. Where LEAST_SEEDS seeds of an item lie on
-nearby diagonals of a text, the item is aligned with that stretch; the score is the best local alignment over
-that of the item with itself. From FLAGGED on, the text is contaminated.
+item keeps a seed, however often the item was copied into the corpus. Where LEAST_SEEDS seeds of an item (or its
+only one) lie on nearby diagonals of a text, the item is aligned with that stretch; the score is the best local
+alignment over that of the item with itself. From FLAGGED on, the text is contaminated; so it is, whatever the
+score, if the alignment is worth EXCERPT equal words, as an excerpt of a long item is.
 
 The items are collected in parts of PART_WORDS words at the most; each part is a table of bounded size that all
 tasks get, and a larger benchmark takes more such columns, not a larger table.
@@ -32,6 +33,7 @@ N = 3
 SPACING = 2
 LEAST_SEEDS = 2
 FLAGGED = 0.4
+EXCERPT = 13
 PART_WORDS = 2_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 _BITS = 21
@@ -52,6 +54,8 @@ class Items:
     codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     # Of each n-gram that is a seed, its places as (item, position).
     places: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+    # How many seeds of each item must lie together.
+    least: list[int] = field(default_factory=list)
 
     @classmethod
     def of(cls, rows: list[tuple]) -> "Items":
@@ -82,7 +86,7 @@ class Items:
 
     def seed(self, frequency: np.ndarray) -> None:
         """Keep the places of the rarest n-gram of every SPACING consecutive ones; ties go to the lower code."""
-        self.places = {}
+        self.places, self.least = {}, [LEAST_SEEDS] * len(self.words)
         for item, own in enumerate(self.words):
             slots = np.searchsorted(self.codes, ngrams(own))
             if not len(slots):
@@ -92,6 +96,7 @@ class Items:
                 start + min(range(len(cost[start : start + SPACING])), key=lambda k: (cost[start + k], slots[start + k]))
                 for start in range(max(1, len(slots) - SPACING + 1))
             }
+            self.least[item] = min(LEAST_SEEDS, len(chosen))
             for position in chosen:
                 self.places.setdefault(int(slots[position]), []).append((item, position))
 
@@ -107,12 +112,12 @@ class Items:
         for item, starts in sorted(diagonals.items()):
             own = self.words[item]
             best = (0.0, 0, 0)
-            for low, high in _stretches(sorted(starts), len(own) // 2 + N):
+            for low, high in _stretches(sorted(starts), len(own) // 2 + N, self.least[item]):
                 first = max(0, low - len(own) // 4 - N)
                 window = numbers[first : high + len(own) + len(own) // 4 + N]
                 score, begin, end = align(own, window)
                 best = max(best, (score / (MATCH * len(own)), first + begin, first + end))
-            if best[0] >= FLAGGED:
+            if best[0] >= min(FLAGGED, EXCERPT / len(own)):
                 found.append((self.ids[item], *best))
         return found
 
@@ -123,14 +128,14 @@ def ngrams(numbers: np.ndarray) -> np.ndarray:
     return reduce(lambda code, k: code << _BITS | numbers[k : len(numbers) - N + 1 + k], range(N), np.int64(0))
 
 
-def _stretches(starts: list[int], reach: int) -> Iterator[tuple[int, int]]:
-    """First and last of the groups of diagonals no further than `reach` from one to the next."""
+def _stretches(starts: list[int], reach: int, least: int) -> Iterator[tuple[int, int]]:
+    """First and last of the groups of `least` diagonals or more, no further than `reach` from one to the next."""
     group = [starts[0]]
     for start in [*starts[1:], None]:
         if start is not None and start - group[-1] <= reach:
             group.append(start)
             continue
-        if len(group) >= LEAST_SEEDS:
+        if len(group) >= least:
             yield group[0], group[-1]
         group = [start]
 

@@ -45,6 +45,26 @@ def test_an_item_copied_everywhere_is_still_found(spark, documents):
     assert len(matches(documents(rows), items(spark, [(1, item)]))) == 50
 
 
+def test_exact_copies_of_short_items(spark, documents):
+    rng = random.Random(5)
+    benchmark = [[f"item{k}x{i}" for i in range(n)] for k, n in enumerate([3, 3, 4, 4, *[5] * 10, 6])]
+    rows = [(k, " ".join(words(rng, 40) + item + words(rng, 40))) for k, item in enumerate(benchmark)]
+    found = matches(documents(rows), items(spark, [(k, " ".join(item)) for k, item in enumerate(benchmark)]))
+    assert set(found) == {(k, k) for k in range(len(benchmark))}
+    assert all(row["score"] == 1.0 for row in found.values())
+
+
+def test_excerpts_of_long_items(spark, documents):
+    rng = random.Random(6)
+    benchmark = [[f"item{k}x{i}" for i in range(n)] for k, n in enumerate([59, 300, 300, 300])]
+    cuts = [(20, 40), (0, 100), (150, 163), (290, 300)]
+    rows = [(k, " ".join(words(rng, 90) + benchmark[k][a:b] + words(rng, 90))) for k, (a, b) in enumerate(cuts)]
+    found = matches(documents(rows), items(spark, [(k, " ".join(item)) for k, item in enumerate(benchmark)]))
+    # The last is shorter than an excerpt.
+    spans = {i: (row["first_word"], row["end_word"]) for (i, _), row in found.items()}
+    assert spans == {0: (90, 110), 1: (90, 190), 2: (90, 103)}
+
+
 def test_edge_rows(spark, documents):
     item = " ".join(words(random.Random(2), 30))
     rows = [(1, None), (2, ""), (3, "x y"), (4, item), (4, item), (None, item), (5, "z " * 50_000 + item)]
