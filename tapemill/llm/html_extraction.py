@@ -4,8 +4,9 @@ Markup is stripped, block-level tags end a line. A line's length is that of its
 elements that are no article text by their tag or by a word of their class, id or role, and, where the page
 marks an article, outside of it. Lengths are summed over sliding windows of lines. Text surges where the sums
 rise from nothing to SURGE and dives where they fall back to nothing; the lines with text between a surge and
-its dive are a passage. Kept are the longest passage and those at least SHARE as long; in a marked article,
-every passage.
+its dive are a passage. Passages in one container that are parted only by elements left out are one; text that
+stands in no element such as `body` or `div` has no container. Kept are the longest passage and those at least
+SHARE as long; in a marked article, every line that is not in an element left out.
 
 Defined cases: a null or empty page, or one without text, gives an empty text. Character references are
 decoded, white space within a line becomes one space, lines are joined by an empty line. An element that is
@@ -63,17 +64,18 @@ _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 
 
 class _Page:
-    """Lines of a page as [text, length outside links, inside an article]."""
+    """Lines of a page as (text, length outside links, inside an article, number of the container)."""
 
     def __init__(self, html: str, names: bool = True):
         """`names`: whether class, id and role can mark an element as no article text."""
         self.names = names
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, int]] = []
         self.text: list[str] = []
         self.linked = 0
-        # Open elements that matter, as (tag, is left out).
+        # Open elements that matter, as (tag, is left out), and the numbers of those that hold blocks.
         self.open: list[tuple[str, bool]] = []
-        self.articles = self.skipped = self.links = 0
+        self.containers = [0]
+        self.articles = self.skipped = self.links = self.numbered = 0
         at = 0
         while match := _TOKEN.search(html, at):
             self._add_text(html[at : match.start()])
@@ -102,9 +104,9 @@ class _Page:
         length = 0 if self.skipped else max(0, len(text) - self.linked)
         # A line left out stands for several empty ones: no window reaches across it.
         if self.skipped:
-            self.lines += [("", 0, False)] * WINDOW
+            self.lines += [("", 0, False, 0)] * WINDOW
         elif text:
-            self.lines.append((text, length, self.articles > 0))
+            self.lines.append((text, length, self.articles > 0, self.containers[-1]))
         self.text, self.linked = [], 0
 
     def _start(self, tag: str, attributes: str) -> None:
@@ -129,6 +131,9 @@ class _Page:
         self.open.append((tag, left_out))
         self.skipped += left_out
         self.links += tag == "a"
+        if tag != "a":
+            self.numbered += 1
+            self.containers.append(self.numbered)
 
     @staticmethod
     def _noisy(attributes: str) -> bool:
@@ -145,44 +150,58 @@ class _Page:
         tag, left_out = self.open.pop()
         self.skipped -= left_out
         self.links -= tag == "a"
+        if tag != "a":
+            self.containers.pop()
         if tag in _ARTICLE and not left_out:
             self.articles -= 1
         return tag
 
 
-def _passages(lengths: list[int], least: int) -> list[range]:
-    """Ranges of lines between a surge and the next dive of the window sums."""
+def _passages(lines: list[tuple[str, int, bool, int]], least: int) -> list[range]:
+    """Ranges of lines between a surge and the next dive of the window sums, joined if they belong together."""
+    lengths = [length for _, length, _, _ in lines]
     totals = [0, *accumulate(lengths)]
     n = len(lengths)
     # The window that ends with a line, and the one that begins with it.
     behind = [totals[i + 1] - totals[max(0, i + 1 - WINDOW)] for i in range(n)]
     ahead = [totals[min(n, i + WINDOW)] - totals[i] for i in range(n)]
-    found, start = [], None
+    found: list[tuple[range, int]] = []
+    start = None
     for i in range(n + 1):
         alive = i < n and behind[i] > 0 and ahead[i] > 0
         if alive and start is None:
             start = i
         elif not alive and start is not None:
-            if max(ahead[start:i]) >= least:
-                found.append(range(start, i))
+            passage, height = range(start, i), max(ahead[start:i])
             start = None
-    return found
+            # Windows from both sides of a gap may meet on a line within it, which is no passage.
+            if not any(lengths[passage.start : i]):
+                continue
+            if found and _belong(lines, found[-1][0], passage):
+                before, higher = found.pop()
+                passage, height = range(before.start, i), max(height, higher)
+            found.append((passage, height))
+    return [passage for passage, height in found if height >= least]
+
+
+def _belong(lines: list[tuple[str, int, bool, int]], before: range, after: range) -> bool:
+    """Whether two passages lie in one container with nothing but left-out elements between them."""
+    container = lines[after.start][3]
+    between = any(lines[i][0] for i in range(before.stop, after.start))
+    return container > 0 and container == lines[before.stop - 1][3] and not between
 
 
 def main_text(html: str) -> str:
     """The main text of a whole page."""
     lines = _Page(html).lines
-    if not any(length for _, length, _ in lines):
+    if not any(length for _, length, _, _ in lines):
         # Its names may be about the whole page, such as a class for a layout with a sidebar.
         lines = _Page(html, names=False).lines
-    marked = any(length for _, length, inside in lines if inside)
-    if marked:
-        lines = [line if line[2] else ("", 0, False) for line in lines]
-    lengths = [length for _, length, _ in lines]
-    # A marked article needs no surge of its own to be told from its surroundings.
-    passages = _passages(lengths, 1 if marked else SURGE) or _passages(lengths, 1)
-    sizes = [sum(lengths[i] for i in passage) for passage in passages]
-    least = 0 if marked else SHARE * max(sizes, default=0)
+    if any(length for _, length, inside, _ in lines if inside):
+        return "\n\n".join(text for text, _, inside, _ in lines if inside)
+    passages = _passages(lines, SURGE) or _passages(lines, 1)
+    sizes = [sum(lines[i][1] for i in passage) for passage in passages]
+    least = SHARE * max(sizes, default=0)
     kept = (i for passage, size in zip(passages, sizes, strict=True) if size >= least for i in passage)
     return "\n\n".join(lines[i][0] for i in kept if lines[i][0])
 

@@ -32,6 +32,19 @@ def test_a_passage_ends_where_text_dives():
     assert main_text(f"<p>short</p>{far}<p>{LONG}</p><p>{LONG}</p>{far}<p>end</p>") == f"{LONG}\n\n{LONG}"
 
 
+@pytest.mark.parametrize("left_out", ["<aside>buy</aside>", "<div class='ad'>buy</div>", "<aside>x</aside>" * 3])
+def test_text_goes_on_after_an_element_left_out(left_out):
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p>{left_out}<p>last</p></div><nav>x</nav><div><p>other</p></div></body>"
+    assert main_text(page) == f"{LONG}\n\n{LONG}\n\nlast"
+    apart = f"<body><div><p>{LONG}</p><p>{LONG}</p></div>{left_out}<div><p>other</p></div></body>"
+    assert main_text(apart) == f"{LONG}\n\n{LONG}"
+
+
+def test_a_marked_article_keeps_blocks_that_are_links():
+    page = "<article><p><a href=x>first</a></p><p>text</p><p><a href=y>last</a></p></article><p>out</p>"
+    assert main_text(page) == "first\n\ntext\n\nlast"
+
+
 def test_long_page():
     assert main_text("<article>" + "<p>word</p>" * 20_000 + "</article>").count("word") == 20_000
 
