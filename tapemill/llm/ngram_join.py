@@ -319,8 +319,11 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     same = filled.groupBy("size", "low", "high").agg(F.min("doc").alias("stand_in"))
     equal = filled.join(same, ["size", "low", "high"]).where("doc != stand_in").select("doc", "stand_in").distinct()
     equal = saved(equal, "ngram-equal")
+    # An id with several sets stands for itself: the signatures of its other sets are not those of the stand-in.
+    sets = filled.groupBy("doc").agg(*[f(F.struct("size", "low", "high")).alias(n) for f, n in ((F.min, "a"), (F.max, "b"))])
+    replaced = equal.join(sets.where("a != b").select("doc"), "doc", "left_anti")
 
-    stands = shared.join(equal, "doc", "left").withColumn("doc", F.coalesce("stand_in", "doc")).drop("stand_in")
+    stands = shared.join(replaced, "doc", "left").withColumn("doc", F.coalesce("stand_in", "doc")).drop("stand_in")
     members = saved(stands.where("doc != first").distinct(), "ngram-members")
     verify = lambda pairs: _verified(pairs, digests, docs, id_column, text_column)
     links = verify(members.select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct())

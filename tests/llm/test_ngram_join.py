@@ -70,6 +70,16 @@ def test_crowded_buckets_lose_no_pair(documents, monkeypatch):
     assert result(documents(rows)) == brute_force(rows)
 
 
+def test_all_texts_of_an_id_link(documents):
+    first, second, third, fourth = ([f"{c}{i}" for i in range(24)] for c in "xyzw")
+    rows = [(1, first), (5, first), (5, second), (9, [*second[:-1], "other"])]
+    # These share every shingle of the second text between them, and are smaller than its id.
+    rows += [(2, [*second[:14], *third[14:]]), (3, [*fourth[:10], *second[10:]])]
+    rows = [(i, " ".join(words)) for i, words in rows]
+    assert result(documents(rows)) == brute_force(rows)
+    assert {i for i, (_, of) in brute_force(rows).items() if of == 1} == {1, 5, 9}
+
+
 def test_edge_rows(documents):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [(1, None), (2, ""), (3, " \t\n "), (4, "One two"), (5, "one TWO"), (6, "two one"), (None, "one two")]
