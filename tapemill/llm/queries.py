@@ -12,6 +12,7 @@ from tapemill.llm.common import table
 from tapemill.llm.decontamination import benchmark_matches
 from tapemill.llm.embedding_dedup import near_vectors
 from tapemill.llm.html_extraction import extract_text
+from tapemill.llm.lexical_search import top_documents
 from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
 from tapemill.llm.ngram_join import similar_documents
 from tapemill.llm.substring_dedup import shared_passages
@@ -140,6 +141,35 @@ FROM documents d LEFT JOIN size USING (doc_id) LEFT JOIN reached ON reached.a =
 GROUP BY d.doc_id, size.n"""
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for each benchmark item."""
+    return top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# Every document that shares a term with an item, scored and ranked.
+_OP11_SQL = """
+WITH term AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM term GROUP BY doc_id, t),
+doc AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM doc),
+spread AS (SELECT doc_id, 25 + (75 * n * n_docs) // total AS m FROM doc, corpus),
+weight AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY t),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (t) JOIN weight USING (t) JOIN spread USING (doc_id) GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
 # Lines with their hashes, chunks from the rolling hash, and the chunks left after the first occurrence.
 _OP9_SQL = f"""
 WITH line AS (
@@ -178,9 +208,15 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_decontamination,
         op9_line_dedup,
         op10_ngram_join,
+        op11_ranked_search,
     )
     return {query.__name__: query for query in queries}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_embedding_dedup": _OP6_SQL, "op9_line_dedup": _OP9_SQL, "op10_ngram_join": _OP10_SQL}
+    return {
+        "op6_embedding_dedup": _OP6_SQL,
+        "op9_line_dedup": _OP9_SQL,
+        "op10_ngram_join": _OP10_SQL,
+        "op11_ranked_search": _OP11_SQL,
+    }
