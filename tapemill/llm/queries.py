@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapemill.llm import language_id, toxicity
+from tapemill.llm import language_id, quality, toxicity
 from tapemill.llm.bpe_codec import encode, frequent_words, share_lexicon
 from tapemill.llm.common import table
 from tapemill.llm.decontamination import benchmark_matches
@@ -16,6 +16,7 @@ from tapemill.llm.lexical_search import top_documents
 from tapemill.llm.line_dedup import BASE, MODULUS, SPACING, remove_repeated_chunks
 from tapemill.llm.ngram_join import similar_documents
 from tapemill.llm.substring_dedup import shared_passages
+from tapemill.llm.token_alignment import pair_figures
 from tapemill.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 4096
@@ -170,6 +171,20 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out().alias("held_out"), quality.quality(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document's tokens of two tokenizers line up, and how common its pairs are in the corpus."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return pair_figures(table(spark, sf_dir, "documents"), *paths)
+
+
 # Lines with their hashes, chunks from the rolling hash, and the chunks left after the first occurrence.
 _OP9_SQL = f"""
 WITH line AS (
@@ -209,6 +224,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_line_dedup,
         op10_ngram_join,
         op11_ranked_search,
+        op12_quality,
+        op13_token_alignment,
     )
     return {query.__name__: query for query in queries}
 
