@@ -11,7 +11,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapemill.operators.trades import TRADE_COLUMNS, classify_messages, unparsed_trades
+from tapemill.operators.trades import classify_messages, trade_columns, unparsed_trades
 from tapemill.plans import build_dashboard, run_hourly
 from tapemill.session import build_session
 from tapemill.sinks import BarTable, publish_trades
@@ -26,12 +26,16 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def trades(spark: SparkSession, args: argparse.Namespace) -> None:
-    """One query over the classified messages feeds both the topic and the rejects, from one parse."""
+    """One query over the classified messages feeds both the topic and the rejects, from one parse.
+
+    A batch that fails half-way is published again. With `--ids` its trades carry ids, by which
+    `minutes --once` counts each of them once.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
         try:
-            usable = batch.where("reason IS NULL").select(*TRADE_COLUMNS)
+            usable = batch.where("reason IS NULL").select(*trade_columns(batch))
             publish_trades(usable, args.servers, args.to_topic)
             if args.rejects:
                 rejects = batch.where("reason IS NOT NULL").select("value", "reason")
@@ -40,7 +44,7 @@ def trades(spark: SparkSession, args: argparse.Namespace) -> None:
         finally:
             batch.unpersist()
 
-    classified = classify_messages(_messages(spark, args), args.symbol)
+    classified = classify_messages(_messages(spark, args), args.symbol, identified=args.ids)
     writer = classified.writeStream.option("checkpointLocation", f"{args.checkpoint}/trades")
     writer.foreachBatch(write).start().awaitTermination()
 
@@ -63,6 +67,7 @@ def minutes(spark: SparkSession, args: argparse.Namespace) -> None:
         available_now=args.available_now,
         processing_time=args.every,
         state_partitions=args.state_partitions,
+        once=args.once,
     )
     query.awaitTermination()
     if args.rejects:
@@ -114,9 +119,11 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--to-topic", required=True)
     sub.add_argument("--symbol", help="overrides the symbol of the messages")
     sub.add_argument("--rejects", help="folder for messages that are not trades")
+    sub.add_argument("--ids", action="store_true", help="publish each trade with an id")
     sub = command("minutes", minutes, "source", "table")
     sub.add_argument("--available-now", action="store_true")
     sub.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
+    sub.add_argument("--once", action="store_true", help="count trades of one id once; fixed by the first start")
     sub.add_argument("--every", help='micro-batch interval, e.g. "10 seconds"')
     sub.add_argument("--rejects", help="folder for records that are no usable trades")
     sub = command("hourly", hourly, "table", "clock")

@@ -12,11 +12,14 @@ from tapemill.schemas import KEYS, MEASURES, PRICE_TYPE, VOLUME_TYPE
 def minute_bars(trades: DataFrame, width: str = "1 minute") -> DataFrame:
     """One row per symbol and tumbling event-time window; the same code for a batch and for a stream.
 
+    Trades that know their window, in a column `bucket`, are grouped by that.
+
     `price_avg` is the plain mean over trades, not weighted by quantity. Map-side partial aggregation
     leaves at most one row per window, symbol and task for the shuffle, however busy a symbol is.
     """
     price, qty = F.col("price"), F.col("qty")
-    grouped = trades.groupBy(F.window("event_time", width).alias("bucket"), "symbol").agg(
+    bucket = F.col("bucket") if "bucket" in trades.columns else F.window("event_time", width).alias("bucket")
+    grouped = trades.groupBy(bucket, "symbol").agg(
         F.count(F.lit(1)).alias("trade_cnt"),
         exact_volume(qty).alias("volume_sum"),
         exact_mean_price(price).alias("price_avg"),

@@ -45,10 +45,12 @@ FAULT_TIMES = {
 FAULT_FLAGS = {"maker flag 1": "1", "maker flag 0": "0", "maker flag text": '"true"', "maker flag empty text": '""'}
 
 
-# The stream gets the trades in phases: those before each of these times, then late ones of all phases. The first
-# time lies within a minute, whose window is then emitted twice.
-PHASE_ENDS_MS = [ORIGIN_MS + 7_230_000, ORIGIN_MS + 14_400_000]
+# The stream gets the trades in two phases, before this time and from it on, and then late ones of both. The time lies
+# within a minute, whose window is then emitted twice.
+PHASE_END_MS = ORIGIN_MS + 7_230_000
 LATE_CYCLE, LATE_SLOT = 10, 3
+# Every seventh trade is published twice within its phase.
+TWICE_CYCLE, TWICE_SLOT = 7, 2
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double, props string"
 
@@ -144,12 +146,19 @@ def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None =
 
 def in_phases(trades: DataFrame) -> list[DataFrame]:
     """All trades in two phases of time, cut within a minute."""
-    first = F.col("ts") < PHASE_ENDS_MS[0]
+    first = F.col("ts") < PHASE_END_MS
     return [trades.where(first), trades.where(~first)]
 
 
 def with_late(trades: DataFrame) -> list[DataFrame]:
-    """The trades before the last phase's end: two phases of time, then every tenth of both, late."""
+    """All trades: two phases of time, then every tenth of both, late."""
     late = F.col("event_id") % LATE_CYCLE == LATE_SLOT
-    known = trades.where(F.col("ts") < PHASE_ENDS_MS[-1])
-    return [*in_phases(known.where(~late)), known.where(late)]
+    return [*in_phases(trades.where(~late)), trades.where(late)]
+
+
+def with_retries(trades: DataFrame) -> list[DataFrame]:
+    """All trades with ids, in two phases; some occur twice in their phase, and the second repeats the first."""
+    named = trades.withColumn("trade_id", F.col("event_id").cast("string"))
+    first, second = in_phases(named)
+    twice = F.col("event_id") % TWICE_CYCLE == TWICE_SLOT
+    return [first.union(first.where(twice)), second.union(second.where(twice)).union(first)]

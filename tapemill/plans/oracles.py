@@ -10,7 +10,6 @@ from tapemill.plans.event_feed import (
     LATE_CYCLE,
     LATE_SLOT,
     ORIGIN_MS,
-    PHASE_ENDS_MS,
 )
 from tapemill.plans.registry import SYMBOL
 
@@ -128,7 +127,7 @@ _RECORD = f"""'{{"ts":' || {_TIME} || ',"symbol":"' || symbol || '"'
 
 # Late trades come last; they count if their minute ends after the watermark, two minutes behind the newest.
 _LATE = f"""{_TRADE}, phased AS (
-  SELECT *, event_id % {LATE_CYCLE} = {LATE_SLOT} AS late FROM trade WHERE ts < {PHASE_ENDS_MS[-1]}), counted AS (
+  SELECT *, event_id % {LATE_CYCLE} = {LATE_SLOT} AS late FROM trade), counted AS (
   SELECT * FROM phased WHERE NOT late
     OR (ts // 60000 + 1) * 60000 > (SELECT MAX(ts) FROM phased WHERE NOT late) - 120000), bar AS (
   SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}
@@ -190,6 +189,7 @@ SELECT symbol, window_start_ts, CAST(COUNT(*) AS BIGINT) AS row_cnt,
 FROM batch GROUP BY ALL HAVING COUNT(*) > 1 OR COUNT(*) FILTER (symbol IS NULL) > 0""",
         "run_hourly": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where=both_runs)})",
         "agg_1m_stream": minutes,
+        "agg_1m_once": minutes,
         "conform_agg": f"WITH {_MINUTE} SELECT {_BAR_OUT}, {NOW} AS updated_at FROM bar",
         "upsert_1m": f"""WITH {_MINUTE}, sell AS (
   SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}

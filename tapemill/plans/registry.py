@@ -29,6 +29,7 @@ from tapemill.plans.event_feed import (
     read_event_trades,
     read_events,
     with_late,
+    with_retries,
 )
 from tapemill.plans.hourly import run_hourly
 from tapemill.schemas import KEYS, MEASURES, TOPIC_SCHEMA
@@ -81,7 +82,7 @@ def _table_rows(table: BarTable) -> DataFrame:
     return table.read().select(*KEYS, *MEASURES)
 
 
-def _streamed(spark: SparkSession, purpose: str, phases: list[DataFrame]) -> DataFrame:
+def _streamed(spark: SparkSession, purpose: str, phases: list[DataFrame], once: bool = False) -> DataFrame:
     """The continuous job over a folder that gets one phase of JSON records after the other; the minute table.
 
     Each phase is at least one micro-batch of a query that is started again on its checkpoint.
@@ -96,6 +97,7 @@ def _streamed(spark: SparkSession, purpose: str, phases: list[DataFrame]) -> Dat
             f"{root}/checkpoint",
             available_now=True,
             state_partitions=spark.sparkContext.defaultParallelism,
+            once=once,
         )
         query.awaitTermination()
     return _table_rows(table)
@@ -105,6 +107,11 @@ def _agg_1m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, "agg_1m_stream", in_phases(read_event_trades(spark, sf_dir)))
 
 
+def _agg_1m_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The minutes of a topic on which retries published many trades again."""
+    return _streamed(spark, "agg_1m_once", with_retries(read_event_trades(spark, sf_dir)), once=True)
+
+
 def _late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, "late_data", with_late(read_event_trades(spark, sf_dir)))
 
@@ -193,6 +200,7 @@ _QUERIES: dict[str, Query] = {
     "contract_violations": _contract_violations,
     "run_hourly": _run_hourly,
     "agg_1m_stream": _agg_1m_stream,
+    "agg_1m_once": _agg_1m_once,
     "conform_agg": lambda spark, sf_dir: conform_bars(_minutes(spark, sf_dir), CLOCK),
     "upsert_1m": _upsert_1m,
     "rollup_1h": lambda spark, sf_dir: rollup_1h(_minutes(spark, sf_dir, CLOCK - 2 * HOUR), CLOCK),

@@ -15,6 +15,9 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 
+# The exchange's trade id in a message, whatever its JSON type; it is unique within a symbol.
+RAW_ID = T.StructField("t", T.StringType())
+
 # Normalised trade as it travels on the topic.
 TRADE_SCHEMA = T.StructType(
     [
@@ -26,6 +29,9 @@ TRADE_SCHEMA = T.StructType(
     ]
 )
 
+# A trade that can be told from a second copy of itself.
+IDENTIFIED_SCHEMA = T.StructType([*TRADE_SCHEMA.fields, T.StructField("trade_id", T.StringType())])
+
 # Record of the topic: bytes.
 TOPIC_SCHEMA = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())])
 

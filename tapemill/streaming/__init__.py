@@ -1,3 +1,4 @@
 from tapemill.streaming.minutes import minute_updates, start_minute_stream
+from tapemill.streaming.once import once_only
 
-__all__ = ["minute_updates", "start_minute_stream"]
+__all__ = ["minute_updates", "once_only", "start_minute_stream"]

@@ -7,15 +7,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapemill.operators.bars import minute_bars
 from tapemill.operators.trades import parse_trades
+from tapemill.streaming.once import once_only
 
 # Lateness allowance and window width.
 WATERMARK = "2 minutes"
 WIDTH = "1 minute"
 
 
-def minute_updates(messages: DataFrame, watermark: str = WATERMARK, width: str = WIDTH) -> DataFrame:
-    """Streaming bars. A trade is dropped once its window ends at or before the watermark."""
-    return minute_bars(parse_trades(messages).withWatermark("event_time", watermark), width)
+def minute_updates(
+    messages: DataFrame, watermark: str = WATERMARK, width: str = WIDTH, once: bool = False
+) -> DataFrame:
+    """Streaming bars. A trade is dropped once its window ends at or before the watermark.
+
+    `once` counts trades of one id once; without it a batch that was published twice counts twice.
+    """
+    trades = parse_trades(messages, identified=once).withWatermark("event_time", watermark)
+    return minute_bars(once_only(trades, width) if once else trades, width)
 
 
 def start_minute_stream(
@@ -27,6 +34,7 @@ def start_minute_stream(
     available_now: bool = False,
     processing_time: str | None = None,
     state_partitions: int | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Emit the full current value of every touched window and hand it to `upsert`.
 
@@ -35,10 +43,11 @@ def start_minute_stream(
     from a batch over whole minutes.
 
     `state_partitions` is the shuffle width and the number of state stores. The first start fixes it for the
-    life of the checkpoint; the session's spark.sql.shuffle.partitions is the default.
+    life of the checkpoint; the session's spark.sql.shuffle.partitions is the default. `once` adds state of its
+    own, so it too is fixed by the first start.
     """
     writer = (
-        minute_updates(messages, watermark, width)
+        minute_updates(messages, watermark, width, once)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, _epoch: upsert(batch))
