@@ -1,5 +1,6 @@
 """Command line of the jobs, for spark-submit or `python -m tapemill.jobs`.
 
+    route      trades of a topic split into those in time and late ones, with counts
     trades     exchange messages of one topic, normalised onto another; rejects to a folder
     minutes    trades of a topic (or of text files) into the minute table, continuously
     hourly     freshness gate, hour rollup, snapshot
@@ -16,10 +17,12 @@ from tapemill.plans import build_dashboard, run_hourly
 from tapemill.session import build_session
 from tapemill.sinks import BarTable, publish_trades
 from tapemill.sources import read_trade_stream, read_trade_topic
-from tapemill.streaming import start_minute_stream
+from tapemill.streaming import kept_records, start_late_route, start_minute_stream
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if getattr(args, "routed", None):
+        return kept_records(spark, args.routed)
     if args.files:
         return read_trade_stream(spark, "text", args.files)
     return read_trade_topic(spark, args.servers, args.topic, args.starting_offsets, args.min_partitions)
@@ -49,6 +52,17 @@ def trades(spark: SparkSession, args: argparse.Namespace) -> None:
     writer.foreachBatch(write).start().awaitTermination()
 
 
+def route(spark: SparkSession, args: argparse.Namespace) -> None:
+    query = start_late_route(
+        _messages(spark, args),
+        args.to,
+        args.checkpoint,
+        available_now=args.available_now,
+        processing_time=args.every,
+    )
+    query.awaitTermination()
+
+
 def minutes(spark: SparkSession, args: argparse.Namespace) -> None:
     table = BarTable(spark, args.table, args.partition_by)
     messages = _messages(spark, args)
@@ -120,7 +134,12 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--symbol", help="overrides the symbol of the messages")
     sub.add_argument("--rejects", help="folder for messages that are not trades")
     sub.add_argument("--ids", action="store_true", help="publish each trade with an id")
+    sub = command("route", route, "source")
+    sub.add_argument("--to", required=True, help="folder of the split records")
+    sub.add_argument("--available-now", action="store_true")
+    sub.add_argument("--every", help='micro-batch interval, e.g. "10 seconds"')
     sub = command("minutes", minutes, "source", "table")
+    sub.add_argument("--routed", help="folder that `route` writes, instead of a topic")
     sub.add_argument("--available-now", action="store_true")
     sub.add_argument("--state-partitions", type=int, help="fixed by the first start on a checkpoint")
     sub.add_argument("--once", action="store_true", help="count trades of one id once; fixed by the first start")

@@ -160,6 +160,11 @@ def _decoded(messages: DataFrame, identified: bool = False) -> DataFrame:
     return message.select("value", _once(F.from_json("value", IDENTIFIED_SCHEMA if identified else TRADE_SCHEMA)))
 
 
+def decode_records(messages: DataFrame) -> DataFrame:
+    """Every topic record with its trade columns, and whether they are a usable trade."""
+    return _decoded(messages).withColumn("usable", _usable())
+
+
 def parse_trades(messages: DataFrame, identified: bool = False) -> DataFrame:
     """Trades of a topic with their event time, and with their id if `identified`; for a stream and for a batch.
 

@@ -126,12 +126,13 @@ _RECORD = f"""'{{"ts":' || {_TIME} || ',"symbol":"' || symbol || '"'
   || ',"qty":' || CAST(qty AS VARCHAR) || ',"side":"' || side || '"}}'"""
 
 # Late trades come last; they count if their minute ends after the watermark, two minutes behind the newest.
-_LATE = f"""{_TRADE}, phased AS (
-  SELECT *, event_id % {LATE_CYCLE} = {LATE_SLOT} AS late FROM trade), counted AS (
-  SELECT * FROM phased WHERE NOT late
-    OR (ts // 60000 + 1) * 60000 > (SELECT MAX(ts) FROM phased WHERE NOT late) - 120000), bar AS (
+_ROUTED = f"""{_TRADE}, phased AS (
+  SELECT *, event_id % {LATE_CYCLE} = {LATE_SLOT} AS late FROM trade), routed AS (
+  SELECT *, NOT late
+    OR (ts // 60000 + 1) * 60000 > (SELECT MAX(ts) FROM phased WHERE NOT late) - 120000 AS kept FROM phased)"""
+_LATE = f"""{_ROUTED}, bar AS (
   SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts, {_MEASURES}
-  FROM counted GROUP BY ALL)"""
+  FROM routed WHERE kept GROUP BY ALL)"""
 
 # A batch with every seventh bar twice, and a copy without its symbol of every eleventh.
 _BATCH = """batch AS (
@@ -183,6 +184,10 @@ FROM trade WHERE {_slot('not json', 'price not a number', *FAULT_TIMES)}""",
         "agg_1m": minutes,
         "agg_1m_fine": f"WITH {_FINE} SELECT {_BAR_OUT} FROM bar",
         "late_data": f"WITH {_LATE} SELECT {_BAR_OUT} FROM bar",
+        "late_trades": f"""WITH {_ROUTED}
+SELECT symbol, date_trunc('minute', make_timestamp(ts * 1000)) AS window_start_ts,
+  CAST(COUNT(*) FILTER (kept) AS BIGINT) AS trade_cnt, CAST(COUNT(*) FILTER (NOT kept) AS BIGINT) AS late_cnt
+FROM routed GROUP BY ALL""",
         "contract_violations": f"""WITH {_MINUTE}, {_BATCH}
 SELECT symbol, window_start_ts, CAST(COUNT(*) AS BIGINT) AS row_cnt,
   CAST(COUNT(*) FILTER (symbol IS NULL) AS BIGINT) AS null_row_cnt

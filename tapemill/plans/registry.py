@@ -36,7 +36,7 @@ from tapemill.schemas import KEYS, MEASURES, TOPIC_SCHEMA
 from tapemill.session import configure, work_dir
 from tapemill.sinks import BarTable, snapshot_tables
 from tapemill.sources import read_trade_stream
-from tapemill.streaming import start_minute_stream
+from tapemill.streaming import kept_records, late_records, start_late_route, start_minute_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,33 @@ def _late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, "late_data", with_late(read_event_trades(spark, sf_dir)))
 
 
+def _late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per minute, the trades that count and those that came too late to; each trade is in one of the two."""
+    root = work_dir(spark, "late_trades")
+    table = BarTable(spark, f"{root}/trade_agg_1m")
+    for phase in with_late(read_event_trades(spark, sf_dir)):
+        encode_trades(phase).write.mode("append").parquet(f"{root}/topic")
+        topic = read_trade_stream(spark, "parquet", f"{root}/topic", TOPIC_SCHEMA)
+        start_late_route(topic, f"{root}/routes", f"{root}/checkpoint-routes", available_now=True).awaitTermination()
+        start_minute_stream(
+            kept_records(spark, f"{root}/routes"),
+            lambda batch: table.upsert(batch, CLOCK, keyed=True),
+            f"{root}/checkpoint",
+            available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+    late = late_records(spark, f"{root}/routes").select(
+        F.col("key").cast("string").alias("symbol"),
+        F.date_trunc("minute", "event_time").alias("window_start_ts"),
+        F.lit(0).cast("bigint").alias("trade_cnt"),
+        F.lit(1).alias("late"),
+    )
+    kept = table.read().select(*KEYS, "trade_cnt", F.lit(0).alias("late"))
+    return kept.union(late).groupBy(*KEYS).agg(
+        F.sum("trade_cnt").alias("trade_cnt"), F.sum("late").cast("bigint").alias("late_cnt")
+    )
+
+
 def _stored(frame: DataFrame, folder: str) -> DataFrame:
     """The frame written out and read back, so that what follows does not scan the trades again."""
     frame.write.parquet(folder)
@@ -197,6 +224,7 @@ _QUERIES: dict[str, Query] = {
     "agg_1m": _minutes,
     "agg_1m_fine": lambda spark, sf_dir: minute_bars(with_event_time(fine_trades(read_events(spark, sf_dir)))),
     "late_data": _late_data,
+    "late_trades": _late_trades,
     "contract_violations": _contract_violations,
     "run_hourly": _run_hourly,
     "agg_1m_stream": _agg_1m_stream,

@@ -47,5 +47,10 @@ class Folder:
         if not self._fs.rename(draft, target):
             raise OSError(f"could not publish {target.toString()}")
 
+    def replace_text(self, text: str, *parts: str) -> None:
+        """Like write_text, also where the file exists."""
+        self.remove(*parts)
+        self.write_text(text, *parts)
+
     def remove(self, *parts: str) -> None:
         self._fs.delete(self._at(*parts), True)

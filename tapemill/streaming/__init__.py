@@ -1,4 +1,13 @@
 from tapemill.streaming.minutes import minute_updates, start_minute_stream
 from tapemill.streaming.once import once_only
+from tapemill.streaming.routes import kept_records, late_records, route_ledger, start_late_route
 
-__all__ = ["minute_updates", "once_only", "start_minute_stream"]
+__all__ = [
+    "kept_records",
+    "late_records",
+    "minute_updates",
+    "once_only",
+    "route_ledger",
+    "start_late_route",
+    "start_minute_stream",
+]
