@@ -109,6 +109,29 @@ def test_edge_rows(spark, documents, other_a):
     assert [row["n_a"] for row in pair_figures(documents([(1, None), (2, "▁")]), A, B).collect()] == [0, 0]
 
 
+def test_every_entry_is_a_token_by_itself():
+    """What makes the two ways of merging the same."""
+    own = tokenizers(A, B)
+    parts = tokenizers_library_merges(own, range(len(own.bytes_a)))
+    assert parts == [[i] for i in range(len(parts))]
+
+
+def tokenizers_library_merges(own, ids):
+    names = {i: name for name, i in own.a.get_vocab().items()}
+    return [[token.id for token in own.a.model.tokenize(names[i])] if i not in (50256,) else [i] for i in ids]
+
+
+def test_latin_texts_are_cut_as_by_the_library():
+    own = tokenizers(A, B)
+    rng = random.Random(9)
+    letters = [chr(c) for c in (*range(0, 0x250), *[32] * 200, *map(ord, "etaoinsr" * 30))]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 60))) for _ in range(4000)]
+    texts += ["".join(rng.choice(" ea\nst1'") for _ in range(40)) for _ in range(2000)]
+    assert all(token_alignment._LATIN(text) for text in texts)
+    expected = [e.ids for e in own.a.encode_batch(texts, add_special_tokens=False)]
+    assert [own.latin.encode_ordinary(text) for text in texts] == expected
+
+
 def test_every_id_has_bytes():
     own = tokenizers(A, B)
     assert own.length_b.min() > 0
