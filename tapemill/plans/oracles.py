@@ -205,6 +205,7 @@ SELECT {_BAR_OUT} FROM (
     SELECT 1 FROM sell WHERE sell.symbol = bar.symbol AND sell.window_start_ts = bar.window_start_ts))""",
         "rollup_1h": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where=last_run)})",
         "rollup_1h_history": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where='')})",
+        "rollup_1h_stream": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where='')})",
         "upsert_1h": f"WITH {_MINUTE} SELECT {_BAR_OUT} FROM ({_HOUR.format(where=both_runs)})",
         "snapshot_manifest": f"""WITH {_MINUTE}, hour AS ({_HOUR.format(where='')})
 SELECT 'trade_agg_1m' AS table_name, COUNT(*) AS row_cnt,
@@ -237,6 +238,7 @@ SELECT symbol, round(MIN(CAST(price_avg AS DOUBLE)) * CAST(0.999 AS DOUBLE), 6)
        round(MAX(CAST(price_avg AS DOUBLE)) * CAST(1.001 AS DOUBLE), 6) AS y_max
 FROM panel GROUP BY symbol""",
         "rolling_std": f"WITH {_PANEL} {_ROLLING.format(source='panel')}",
+        "rolling_std_stream": f"WITH {_MINUTE} {_ROLLING.format(source='bar')}",
         "rolling_std_history": f"WITH {_MINUTE} {_ROLLING.format(source='bar')}",
         "minute_bars": f"""WITH {_RECENT}
 SELECT symbol, strftime(window_start_ts, '%H:%M') AS minute, trade_cnt FROM recent""",

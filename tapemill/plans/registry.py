@@ -1,6 +1,6 @@
 """The registered queries, each over the whole `events` table of a data folder."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +36,18 @@ from tapemill.schemas import KEYS, MEASURES, TOPIC_SCHEMA
 from tapemill.session import configure, work_dir
 from tapemill.sinks import BarTable, snapshot_tables
 from tapemill.sources import read_trade_stream
-from tapemill.streaming import kept_records, late_records, start_late_route, start_minute_stream
+from tapemill.streaming import (
+    heartbeat,
+    kept_records,
+    late_records,
+    read_final_minutes,
+    start_final_minutes,
+    start_hour_stream,
+    start_late_route,
+    start_minute_stream,
+    start_rolling_stream,
+)
+from tapemill.streaming.rolling import ROLLED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +127,48 @@ def _late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, "late_data", with_late(read_event_trades(spark, sf_dir)))
 
 
+def _landed(spark: SparkSession, sf_dir: str, root: str) -> Iterator[DataFrame]:
+    """The topic as a stream, after each phase of trades has landed and at last a heartbeat that closes all windows."""
+    closing = heartbeat(F.lit(int((CLOCK + HOUR).timestamp() * 1000)))
+    end = spark.range(1).select(F.lit(None).cast("binary").alias("key"), closing.alias("value"))
+    for records in (*map(encode_trades, in_phases(read_event_trades(spark, sf_dir))), end):
+        records.write.mode("append").parquet(f"{root}/topic")
+        yield read_trade_stream(spark, "parquet", f"{root}/topic", TOPIC_SCHEMA)
+
+
+def _rollup_1h_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from trades in one query of chained windows, started again on its checkpoint after each phase."""
+    root = work_dir(spark, "rollup_1h_stream")
+    table = BarTable(spark, f"{root}/trade_agg_1h", "day")
+    for topic in _landed(spark, sf_dir, root):
+        start_hour_stream(
+            topic,
+            lambda batch: table.upsert(batch, CLOCK, keyed=True),
+            f"{root}/checkpoint",
+            available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        ).awaitTermination()
+    return _table_rows(table)
+
+
+def _rolling_std_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling deviation from final minutes and keyed state; both queries start again after each phase."""
+    root = work_dir(spark, "rolling_std_stream")
+    width = spark.sparkContext.defaultParallelism
+    for topic in _landed(spark, sf_dir, root):
+        start_final_minutes(
+            topic, f"{root}/minutes", f"{root}/checkpoint-minutes", available_now=True, state_partitions=width
+        ).awaitTermination()
+        start_rolling_stream(
+            read_final_minutes(spark, f"{root}/minutes"),
+            lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{root}/rolled/epoch={epoch}"),
+            f"{root}/checkpoint",
+            available_now=True,
+            state_partitions=width,
+        ).awaitTermination()
+    return spark.read.schema(ROLLED).parquet(f"{root}/rolled/epoch=*")
+
+
 def _late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per minute, the trades that count and those that came too late to; each trade is in one of the two."""
     root = work_dir(spark, "late_trades")
@@ -232,6 +285,8 @@ _QUERIES: dict[str, Query] = {
     "conform_agg": lambda spark, sf_dir: conform_bars(_minutes(spark, sf_dir), CLOCK),
     "upsert_1m": _upsert_1m,
     "rollup_1h": lambda spark, sf_dir: rollup_1h(_minutes(spark, sf_dir, CLOCK - 2 * HOUR), CLOCK),
+    "rollup_1h_stream": _rollup_1h_stream,
+    "rolling_std_stream": lambda spark, sf_dir: _rounded(_rolling_std_stream(spark, sf_dir), "rolling_std"),
     "rollup_1h_history": lambda spark, sf_dir: hour_bars(_minutes(spark, sf_dir)),
     "upsert_1h": _upsert_1h,
     "snapshot_manifest": _snapshot_manifest,

@@ -2,8 +2,8 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tapemill.operators.bars import minute_bars
 from tapemill.operators.trades import parse_trades
@@ -52,11 +52,22 @@ def start_minute_stream(
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, _epoch: upsert(batch))
     )
+    return start_query(writer, messages.sparkSession, available_now, processing_time, state_partitions)
+
+
+def start_query(
+    writer: DataStreamWriter,
+    spark: SparkSession,
+    available_now: bool = False,
+    processing_time: str | None = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Start with the trigger and, for its life, the shuffle width that are asked for."""
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    conf, width_key = messages.sparkSession.conf, "spark.sql.shuffle.partitions"
+    conf, width_key = spark.conf, "spark.sql.shuffle.partitions"
     session_width = conf.get(width_key)
     conf.set(width_key, state_partitions or session_width)
     try:
