@@ -21,3 +21,14 @@ def from_time(bars: DataFrame, lower: Column) -> DataFrame:
     if "window_date" in bars.columns:
         return bounded.where(F.col("window_date") >= utc_date(lower))
     return bounded
+
+
+def within(bars: DataFrame, lower: Column, upper: Column) -> DataFrame:
+    """Rows whose window starts at `lower` or later and before `upper`."""
+    bounded = from_time(bars, lower).where(F.col("window_start_ts") < upper)
+    if "window_date" not in bars.columns:
+        return bounded
+    day, last = F.col("window_date"), utc_date(upper)
+    if "window_hour" in bars.columns:
+        return bounded.where((day < last) | ((day == last) & (F.col("window_hour") <= utc_hour(upper))))
+    return bounded.where(day <= last)

@@ -233,6 +233,16 @@ SELECT symbol, round(avg_price, 6) AS avg_price, CAST(max_price AS VARCHAR) AS m
   CAST(min_price AS VARCHAR) AS min_price, trade_count FROM figure""",
         "volatility_1h": f"""WITH {_FIGURES}
 SELECT symbol, round(std_dev, 6) AS std_dev, round(vol_rate, 6) AS vol_rate FROM figure""",
+        "volatility_history": f"""WITH {_MINUTE}
+SELECT symbol, COUNT(*) AS minutes, round(stddev_samp(CAST(price_avg AS DOUBLE)), 6) AS std_dev,
+       round(CAST(MAX(price_max) - MIN(price_min) AS DOUBLE) / AVG(CAST(price_avg AS DOUBLE)) * 100, 6) AS vol_rate
+FROM bar GROUP BY symbol""",
+        "hour_moments": f"""WITH {_MINUTE}
+SELECT symbol, date_trunc('hour', window_start_ts) AS hour, COUNT(*) AS minutes,
+       round(AVG(CAST(price_avg AS DOUBLE)), 6) AS mean,
+       round(var_pop(CAST(price_avg AS DOUBLE)) * COUNT(*), 6) AS sq_dev,
+       CAST(MIN(price_min) AS VARCHAR) AS price_min, CAST(MAX(price_max) AS VARCHAR) AS price_max
+FROM bar GROUP BY ALL""",
         "axis_range_1h": f"""WITH {_PANEL}
 SELECT symbol, round(MIN(CAST(price_avg AS DOUBLE)) * CAST(0.999 AS DOUBLE), 6) AS y_min,
        round(MAX(CAST(price_avg AS DOUBLE)) * CAST(1.001 AS DOUBLE), 6) AS y_max

@@ -11,6 +11,7 @@ from tapemill.functions import display_time, event_time, parse_time
 from tapemill.operators import panels
 from tapemill.operators.bars import hour_bars, minute_bars, rollup_1h
 from tapemill.operators.contract import conform_bars, contract_violations
+from tapemill.operators.moments import hour_moments, merged_moments, read_moments, volatility, write_moments
 from tapemill.operators.quality import freshness_report, ingest_status
 from tapemill.operators.trades import (
     encode_trades,
@@ -249,6 +250,13 @@ def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_tables({"trade_agg_1m": minutes, "trade_agg_1h": hours}, f"{root}/backups", CLOCK)
 
 
+def _volatility_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volatility over all hours from their stored moments; minutes are read only to write these."""
+    folder = work_dir(spark, "moments")
+    write_moments(_minutes(spark, sf_dir), folder)
+    return volatility(merged_moments(read_moments(spark, folder)))
+
+
 def _display_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Window starts as text, parsed and shown in the display zone."""
     text = F.date_format("window_start_ts", "yyyy-MM-dd HH:mm:ss")
@@ -299,6 +307,8 @@ _QUERIES: dict[str, Query] = {
     "recent_total": _panel(panels.recent_total),
     "kpis_1h": _panel(panels.kpis_1h, "avg_price"),
     "volatility_1h": _panel(panels.volatility_1h, "std_dev", "vol_rate"),
+    "volatility_history": lambda spark, sf_dir: _rounded(_volatility_history(spark, sf_dir), "std_dev", "vol_rate"),
+    "hour_moments": lambda spark, sf_dir: _rounded(hour_moments(_minutes(spark, sf_dir)), "mean", "sq_dev"),
     "axis_range_1h": _panel(panels.axis_range_1h, "y_min", "y_max"),
     "rolling_std": _panel(panels.rolling_std, "rolling_std"),
     "rolling_std_history": lambda spark, sf_dir: _rounded(
