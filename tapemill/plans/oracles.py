@@ -239,8 +239,8 @@ SELECT symbol, COUNT(*) AS minutes, round(stddev_samp(CAST(price_avg AS DOUBLE))
 FROM bar GROUP BY symbol""",
         "hour_moments": f"""WITH {_MINUTE}
 SELECT symbol, date_trunc('hour', window_start_ts) AS hour, COUNT(*) AS minutes,
-       round(AVG(CAST(price_avg AS DOUBLE)), 6) AS mean,
-       round(var_pop(CAST(price_avg AS DOUBLE)) * COUNT(*), 6) AS sq_dev,
+       round(AVG(CAST(price_avg AS DOUBLE)), 7) AS mean,
+       round(stddev_pop(CAST(price_avg AS DOUBLE)), 6) AS deviation,
        CAST(MIN(price_min) AS VARCHAR) AS price_min, CAST(MAX(price_max) AS VARCHAR) AS price_max
 FROM bar GROUP BY ALL""",
         "axis_range_1h": f"""WITH {_PANEL}

@@ -250,6 +250,15 @@ def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_tables({"trade_agg_1m": minutes, "trade_agg_1h": hours}, f"{root}/backups", CLOCK)
 
 
+def _hour_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moments, with the squares as a deviation; a mean of sixty prices of cents has no tie at its seventh place."""
+    moments = hour_moments(_minutes(spark, sf_dir))
+    deviation = F.round(F.sqrt(F.col("sq_dev") / F.col("minutes")), DIGITS)
+    return moments.withColumns({"mean": F.round("mean", DIGITS + 1), "sq_dev": deviation}).withColumnRenamed(
+        "sq_dev", "deviation"
+    )
+
+
 def _volatility_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Volatility over all hours from their stored moments; minutes are read only to write these."""
     folder = work_dir(spark, "moments")
@@ -308,7 +317,7 @@ _QUERIES: dict[str, Query] = {
     "kpis_1h": _panel(panels.kpis_1h, "avg_price"),
     "volatility_1h": _panel(panels.volatility_1h, "std_dev", "vol_rate"),
     "volatility_history": lambda spark, sf_dir: _rounded(_volatility_history(spark, sf_dir), "std_dev", "vol_rate"),
-    "hour_moments": lambda spark, sf_dir: _rounded(hour_moments(_minutes(spark, sf_dir)), "mean", "sq_dev"),
+    "hour_moments": _hour_moments,
     "axis_range_1h": _panel(panels.axis_range_1h, "y_min", "y_max"),
     "rolling_std": _panel(panels.rolling_std, "rolling_std"),
     "rolling_std_history": lambda spark, sf_dir: _rounded(
