@@ -8,7 +8,9 @@ stochastic gradient descent in numpy, one text at a time.
 Learning takes a sample of the labelled rows, SAMPLE_ROWS at the most, in the order of a hash of their id. It is dealt
 into SHARDS partitions; in each of EPOCHS rounds a task per shard goes once through its texts from the shared
 parameters, and the driver takes the mean of the shards' parameters (a fixed number of values, SHARDS times). Fewer
-rows make fewer shards, of SHARD_ROWS, and more rounds, until each shard took STEPS steps or ROUNDS are over. Scores use the whole text and nothing else; as the output is linear in the mean, each word's share of it is computed once.
+rows make fewer shards, of SHARD_ROWS, and more rounds, until each shard took STEPS steps or ROUNDS are over. Scores
+use the whole text and nothing else; as the output is linear in the mean, the vectors are first turned into what each
+feature adds to it.
 
 Defined cases: null and empty texts and white space have no features and get the score of the outputs' constants, near
 the share of label 1; labels other than 0 and 1 are not learned from; of several labels of one id the highest
@@ -22,7 +24,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -30,7 +31,7 @@ from pyspark.sql.types import DoubleType
 
 from tapemill.llm.common import bound_batches, map_rows
 from tapemill.llm.toxicity import held_out
-from tapemill.llm.wordhash import STEP, mix
+from tapemill.llm.wordhash import P1, STEP, mix
 
 SAMPLE_ROWS = 6_000
 SHARDS = 6
@@ -39,59 +40,90 @@ EPOCHS = 6
 STEPS, ROUNDS = 6_000, 40
 RATE = 2.0
 SIZES = (3, 4, 5)
-BITS = 16
-WIDTH = 16
+# What a shard sends back stays below a megabyte: 2**BITS vectors of WIDTH floats.
+BITS = 15
+WIDTH = 6
 THRESHOLD = 0.5
-# Words remembered per worker before its table starts anew, and the longest of them; bounds of memory only.
-_KEPT_WORDS, _KEPT_LENGTH = 50_000, 64
+# Characters that are worked on at once.
+BLOCK = 1 << 18
+# An odd number, and the number that it makes 1 with, modulo 2**64.
+_BASE = int(P1)
+_INVERSE = pow(_BASE, -1, 1 << 64)
 # Hash of a pair of equal words.
 _SAME = np.uint64(1)
 
 
-def word_slots(word: str) -> tuple[int, np.ndarray]:
-    """The word's hash, and the slots of the word and its n-grams."""
-    marked = f"<{word}>"
-    grams = [marked, *(marked[i : i + n] for n in SIZES for i in range(len(marked) - n + 1))]
-    hashes = [xxhash.xxh3_64_intdigest(gram.encode()) for gram in grams]
-    return hashes[0], np.array([h >> (64 - BITS) for h in hashes], np.int64)
-
-
-def pair_slots(hashes: np.ndarray) -> np.ndarray:
-    """Slots of the pairs of neighbouring words."""
-    first, second = hashes[:-1], hashes[1:]
-    return (mix(np.where(first == second, _SAME, first * STEP + second)) >> np.uint64(64 - BITS)).astype(np.int64)
-
-
-class WordTable:
-    """What is kept of each word: its hash and a value made from its slots."""
-
-    def __init__(self, value_of):
-        self.value_of, self.known = value_of, {}
-
-    def of(self, word: str):
-        found = self.known.get(word)
-        if found is None:
-            code, slots = word_slots(word)
-            found = code, self.value_of(slots)
-            if len(word) <= _KEPT_LENGTH:
-                if len(self.known) >= _KEPT_WORDS:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-
-def _hashes(found: list) -> np.ndarray:
-    return np.fromiter((code for code, _ in found), np.uint64, len(found))
-
-
-def features(text: str, words: WordTable) -> tuple[np.ndarray, np.ndarray]:
+def _blocks(text: str) -> Iterator[list[str]]:
+    """The text's words, in groups of about BLOCK characters; a longer word is a group of its own."""
+    words = text.split()
+    begin = size = 0
+    for i, word in enumerate(words):
+        if i > begin and size + len(word) >= BLOCK:
+            yield words[begin:i]
+            begin, size = i, 0
+        size += len(word) + 1
+    if words:
+        yield words[begin:]
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    made = np.full(n, base, np.uint64)
+    made[:1] = 1
+    return np.cumprod(made, dtype=np.uint64)
+
+
+_LOOKUP: dict[int, np.ndarray] = {}
+
+
+def _power_table(base: int, n: int) -> np.ndarray:
+    """Powers 0 to n-1 of an odd number, modulo 2**64."""
+    if base not in _LOOKUP:
+        _LOOKUP[base] = _powers(base, 2 * BLOCK)
+    return _LOOKUP[base][:n] if n <= 2 * BLOCK else _powers(base, n)
+
+
+def _word_hashes(points: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+    """Of each word, a polynomial over its code points, from differences of one running sum."""
+    running = np.cumsum(points * _power_table(_BASE, len(points)), dtype=np.uint64)
+    first, last = spaces[:-1], spaces[1:] - 1
+    return (running[last] - running[first]) * _power_table(_INVERSE, len(points))[first]
+
+
+def slots_of(text: str) -> Iterator[np.ndarray]:
+    """Slots of all features of the text, with repeats, in arrays of bounded size."""
+    before = np.zeros(0, np.uint64)
+    for words in _blocks(text):
+        # A space stands for the marks at a word's ends.
+        marked = f" {' '.join(words)} "
+        points = np.frombuffer(marked.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        space = points == 32
+        hashes = _word_hashes(points, np.flatnonzero(space))
+        yield _slot(hashes)
+        pairs = np.concatenate([before, hashes])
+        first, second = pairs[:-1], pairs[1:]
+        yield _slot(np.where(first == second, _SAME, first * STEP + second))
+        before = hashes[-1:]
+        for n in SIZES:
+            count = len(points) - n + 1
+            if count <= 0:
+                continue
+            code, within = np.full(count, n, np.uint64), np.ones(count, bool)
+            for k in range(n):
+                code = code * STEP + points[k : k + count]
+                if 0 < k < n - 1:
+                    within &= ~space[k : k + count]
+            yield _slot(code[within])
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (mix(codes) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct slots of the text with their counts."""
-    found = [words.of(word) for word in text.split()]
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     counts = np.zeros(1 << BITS, np.int64)
-    for part in (*(slots for _, slots in found), pair_slots(_hashes(found))):
-        np.add.at(counts, part, 1)
+    for slots in slots_of(text):
+        counts += np.bincount(slots, minlength=1 << BITS)
     slots = np.flatnonzero(counts)
     return slots, counts[slots]
 
@@ -132,19 +164,13 @@ class QualityModel:
         return float(self.constants[1] - self.constants[0])
 
 
-class Scorer:
-    def __init__(self, weights: np.ndarray, offset: float):
-        self.weights, self.offset = weights, offset
-        self.words = WordTable(lambda slots: (len(slots), float(weights[slots].sum())))
-
-    def score(self, text: str) -> float:
-        found = [self.words.of(word) for word in text.split()]
-        raw = self.offset
-        if found:
-            pairs = pair_slots(_hashes(found))
-            size = len(pairs) + sum(n for _, (n, _) in found)
-            raw += (sum(total for _, (_, total) in found) + float(self.weights[pairs].sum())) / size
-        return float(1 / (1 + np.exp(-np.clip(raw, -500, 500))))
+def score(text: str, weights: np.ndarray, offset: float) -> float:
+    """Softmax of the outputs for the mean vector, for label 1."""
+    total, size = 0.0, 0
+    for slots in slots_of(text):
+        total += float(weights[slots].sum())
+        size += len(slots)
+    return float(1 / (1 + np.exp(-np.clip(offset + total / max(size, 1), -500, 500))))
 
 
 def _chosen(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
@@ -163,9 +189,8 @@ def _featured(sample: DataFrame, shards: int) -> DataFrame:
     """Label and features, a partition to each shard; place and order follow from the id alone."""
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
-        words = WordTable(lambda slots: slots)
         for batch in batches:
-            own = [features(text, words) for text in batch["text"]]
+            own = [features(text) for text in batch["text"]]
             yield [batch["label"], *([a.astype(np.int32).tobytes() for a in part] for part in zip(*own, strict=True))]
 
     dealt = sample.select("label", "text", F.xxhash64("id").alias("key"))
@@ -190,7 +215,7 @@ def _round(featured: DataFrame, model: QualityModel, begin: float, end: float, s
     learned = map_rows(
         featured, ["label", "slots", "counts"], "seen int, vectors binary, outputs binary, constants binary", rows_of
     ).collect()
-    shared.unpersist()
+    shared.destroy()
     learned.sort(key=lambda row: (row["seen"], row["outputs"]))
     mean = []
     for name, like in vars(model).items():
@@ -230,9 +255,9 @@ def quality(docs: DataFrame, model: QualityModel, text_column: str = "text") ->
     bound_batches()
 
     @pandas_udf(DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = Scorer(*shared.value)
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        weights, offset = shared.value
         for texts in batches:
-            yield pd.Series([scorer.score(text or "") for text in texts], dtype="float64")
+            yield pd.Series([score(text or "", weights, offset) for text in texts], dtype="float64")
 
-    return score(F.col(text_column))
+    return scores(F.col(text_column))

@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import queries
 
 from tapemill.llm import quality
-from tapemill.llm.quality import QualityModel, Scorer, WordTable, features, pair_slots, word_slots
+from tapemill.llm.quality import QualityModel, features, score, slots_of
 from tapemill.llm.toxicity import held_out
 
 
@@ -85,25 +85,42 @@ def test_score_is_the_softmax_of_the_mean_vector():
     rng = np.random.default_rng(0)
     model = QualityModel.fresh(0.6)
     model.outputs = rng.normal(size=model.outputs.shape).astype(np.float32)
-    words = WordTable(lambda slots: slots)
     for text in ("one two two three", "one", "", "ein Wort é 日本 " * 30):
-        slots, counts = features(text, words)
+        slots, counts = features(text)
         mean = (counts / max(counts.sum(), 1)) @ model.vectors[slots]
         raw = model.outputs @ mean + model.constants
         expected = np.exp(raw[1]) / np.exp(raw).sum()
-        assert Scorer(model.weights(), model.offset()).score(text) == pytest.approx(expected, abs=1e-5)
-
-
-def test_features():
-    code, slots = word_slots("ab")
-    # The word with its ends, two grams of three letters, and one of four.
-    assert len(slots) == 4
-    same = pair_slots(np.array([code, code, code], np.uint64))
-    assert len(set(same)) == 1
-    assert set(same) == set(pair_slots(np.array([7, 7], np.uint64)))
-    assert set(same) != set(pair_slots(np.array([7, 8], np.uint64)))
-    slots, counts = features("ab ab", WordTable(lambda slots: slots))
-    assert counts.sum() == 2 * 4 + 1
+        assert score(text, model.weights(), model.offset()) == pytest.approx(expected, abs=1e-5)
+
+
+def grams(text):
+    """Features by name, from plain loops; a pair of equal words has one name."""
+    words = text.split()
+    found = [("word", w) for w in words]
+    found += [("gram", f" {w} "[i : i + n]) for w in words for n in quality.SIZES for i in range(len(w) + 3 - n)]
+    return found + [("pair", None if a == b else (a, b)) for a, b in zip(words, words[1:], strict=False)]
+
+
+@pytest.mark.parametrize("block", [4, 9, 1 << 18])
+def test_features(monkeypatch, block):
+    monkeypatch.setattr(quality, "BLOCK", block)
+    monkeypatch.setattr(quality, "_LOOKUP", {})
+    monkeypatch.setattr(quality, "BITS", 40)
+    text = "ab ab\tcab  x é日本🙂 ab, abcdefghijklmnop x x"
+    slots = np.concatenate(list(slots_of(text)))
+    expected = grams(text)
+    assert len(slots) == len(expected)
+    # As many distinct slots, met as often.
+    assert sorted(np.unique(slots, return_counts=True)[1]) == sorted(expected.count(f) for f in set(expected))
+    assert list(slots_of(" \n")) == []
+
+
+def test_blocks_do_not_change_the_features(monkeypatch):
+    text = " ".join(f"w{i % 37}é" for i in range(500))
+    whole = features(text)
+    monkeypatch.setattr(quality, "BLOCK", 50)
+    monkeypatch.setattr(quality, "_LOOKUP", {})
+    assert all((a == b).all() for a, b in zip(whole, features(text), strict=True))
 
 
 def test_a_step_lowers_the_loss():
