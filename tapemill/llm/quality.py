@@ -21,6 +21,8 @@ columns are ignored, so their names cannot clash.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -186,16 +188,18 @@ def _sample(docs: DataFrame, chosen: DataFrame, id_column: str, text_column: str
 
 
 def _featured(sample: DataFrame, shards: int) -> DataFrame:
-    """Label and features, a partition to each shard; place and order follow from the id alone."""
+    """Shard, label and features; shard and order follow from the id alone, and a shard lies in one partition."""
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
         for batch in batches:
             own = [features(text) for text in batch["text"]]
-            yield [batch["label"], *([a.astype(np.int32).tobytes() for a in part] for part in zip(*own, strict=True))]
+            yield [batch["shard"], batch["label"], *([a.astype(np.int32).tobytes() for a in part] for part in zip(*own, strict=True))]
 
-    dealt = sample.select("label", "text", F.xxhash64("id").alias("key"))
-    dealt = dealt.repartition(shards, "key").sortWithinPartitions("key")
-    return map_rows(dealt, ["label", "text"], "label int, slots binary, counts binary", rows_of)
+    key = F.xxhash64("id")
+    dealt = sample.select("label", "text", key.alias("key"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "key")
+    kind = "shard int, label int, slots binary, counts binary"
+    return map_rows(dealt, ["shard", "label", "text"], kind, rows_of)
 
 
 def _round(featured: DataFrame, model: QualityModel, begin: float, end: float, shard_rows: float) -> QualityModel:
@@ -203,20 +207,20 @@ def _round(featured: DataFrame, model: QualityModel, begin: float, end: float, s
     shared = featured.sparkSession.sparkContext.broadcast(model)
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
-        own, seen = QualityModel(*(a.copy() for a in vars(shared.value).values())), 0
-        for batch in batches:
-            for label, slots, counts in zip(batch["label"], batch["slots"], batch["counts"], strict=True):
+        rows = ((batch[name][i] for name in columns) for batch in batches for i in range(len(batch["label"])))
+        for shard, own_rows in groupby(map(tuple, rows), key=itemgetter(0)):
+            own, seen = QualityModel(*(a.copy() for a in vars(shared.value).values())), 0
+            for _, label, slots, counts in own_rows:
                 rate = begin + (end - begin) * min(1.0, seen / shard_rows)
                 own.learn(label, np.frombuffer(slots, np.int32), np.frombuffer(counts, np.int32), rate)
                 seen += 1
-        if seen:
-            yield [[seen], *([a.tobytes()] for a in vars(own).values())]
+            yield [[shard], [seen], *([a.tobytes()] for a in vars(own).values())]
 
-    learned = map_rows(
-        featured, ["label", "slots", "counts"], "seen int, vectors binary, outputs binary, constants binary", rows_of
-    ).collect()
+    columns = ["shard", "label", "slots", "counts"]
+    kind = "shard int, seen int, vectors binary, outputs binary, constants binary"
+    learned = map_rows(featured, columns, kind, rows_of).collect()
     shared.destroy()
-    learned.sort(key=lambda row: (row["seen"], row["outputs"]))
+    learned.sort(key=itemgetter("shard"))
     mean = []
     for name, like in vars(model).items():
         total = sum(row["seen"] * np.frombuffer(row[name], np.float32).astype(np.float64) for row in learned)
