@@ -45,6 +45,8 @@ FAULT_TIMES = {
 FAULT_FLAGS = {"maker flag 1": "1", "maker flag 0": "0", "maker flag text": '"true"', "maker flag empty text": '""'}
 
 
+VENUES = 500
+
 # The stream gets the trades in two phases, before this time and from it on, and then late ones of both. The time lies
 # within a minute, whose window is then emitted twice.
 PHASE_END_MS = ORIGIN_MS + 7_230_000
@@ -144,6 +146,12 @@ def read_event_trades(spark: SparkSession, sf_dir: str, since: datetime | None =
     return event_trades(events)
 
 
+def thin_trades(events: DataFrame) -> DataFrame:
+    """The trades dealt among VENUES symbols of each type, whose feeds have gaps."""
+    venue = (F.col("event_id") % VENUES).cast("string")
+    return event_trades(events).withColumn("symbol", F.concat_ws("-", "symbol", venue))
+
+
 def in_phases(trades: DataFrame) -> list[DataFrame]:
     """All trades in two phases of time, cut within a minute."""
     first = F.col("ts") < PHASE_END_MS

@@ -10,6 +10,7 @@ from tapemill.plans.event_feed import (
     LATE_CYCLE,
     LATE_SLOT,
     ORIGIN_MS,
+    VENUES,
 )
 from tapemill.plans.registry import SYMBOL
 
@@ -61,6 +62,12 @@ _BAR_OUT = """symbol, window_start_ts, CAST(trade_cnt AS BIGINT) AS trade_cnt,
   CAST(CAST(volume_sum AS DECIMAL(38,10)) AS VARCHAR) AS volume_sum, CAST(price_avg AS VARCHAR) AS price_avg,
   CAST(price_min AS VARCHAR) AS price_min, CAST(price_max AS VARCHAR) AS price_max"""
 
+# The minutes of many thin feeds, up to the clock.
+_THIN = f"""{_TRADE}, thin AS (
+  SELECT DISTINCT symbol || '-' || (event_id % {VENUES}) AS symbol,
+    date_trunc('minute', make_timestamp(ts * 1000)) AS start
+  FROM trade WHERE date_trunc('minute', make_timestamp(ts * 1000)) <= {NOW})"""
+
 _PANEL = f"""{_MINUTE}, panel AS (
   SELECT * FROM bar WHERE window_start_ts >= {NOW} - INTERVAL '1 hour')"""
 
@@ -215,6 +222,14 @@ SELECT 'trade_agg_1h', COUNT(*), MIN(window_start_ts), MAX(window_start_ts) FROM
         "dq_recent_30m": f"""WITH {_MINUTE}
 SELECT COUNT(*) AS cnt, COUNT(*) > 0 AS fresh FROM bar
 WHERE window_start_ts >= {NOW} - INTERVAL '30 minutes'""",
+        "outages": f"""WITH {_THIN}, step AS (
+  SELECT symbol, start, lead(start) OVER (PARTITION BY symbol ORDER BY start) AS following FROM thin)
+SELECT symbol, start + INTERVAL '1 minute' AS silent_from, following AS silent_until, following IS NULL AS ongoing,
+  date_diff('minute', start + INTERVAL '1 minute', coalesce(following, {NOW})) AS silent_minutes
+FROM step WHERE coalesce(following, {NOW}) > start + INTERVAL '30 minutes'""",
+        "symbol_freshness": f"""WITH {_THIN}
+SELECT symbol, MAX(start) AS last_window, MAX(start) >= {NOW} - INTERVAL '30 minutes' AS fresh
+FROM thin GROUP BY symbol""",
         "ingest_status": f"""WITH {_RECENT}
 SELECT CASE WHEN COUNT(*) > 0 THEN 'ok' ELSE 'no data' END AS status,
        CAST(COALESCE(SUM(trade_cnt), 0) AS BIGINT) AS recent_rows FROM recent""",

@@ -12,6 +12,7 @@ from tapemill.operators import panels
 from tapemill.operators.bars import hour_bars, minute_bars, rollup_1h
 from tapemill.operators.contract import conform_bars, contract_violations
 from tapemill.operators.moments import hour_moments, merged_moments, read_moments, volatility, write_moments
+from tapemill.operators.outages import outages, symbol_freshness
 from tapemill.operators.quality import freshness_report, ingest_status
 from tapemill.operators.trades import (
     encode_trades,
@@ -29,6 +30,7 @@ from tapemill.plans.event_feed import (
     in_phases,
     read_event_trades,
     read_events,
+    thin_trades,
     with_late,
     with_retries,
 )
@@ -250,6 +252,10 @@ def _snapshot_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot_tables({"trade_agg_1m": minutes, "trade_agg_1h": hours}, f"{root}/backups", CLOCK)
 
 
+def _thin_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minute_bars(with_event_time(thin_trades(read_events(spark, sf_dir))))
+
+
 def _hour_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The moments, with the squares as a deviation; a mean of sixty prices of cents has no tie at its seventh place."""
     moments = hour_moments(_minutes(spark, sf_dir))
@@ -308,6 +314,8 @@ _QUERIES: dict[str, Query] = {
     "upsert_1h": _upsert_1h,
     "snapshot_manifest": _snapshot_manifest,
     "dq_recent_30m": _panel(freshness_report),
+    "outages": lambda spark, sf_dir: outages(_thin_minutes(spark, sf_dir), CLOCK),
+    "symbol_freshness": lambda spark, sf_dir: symbol_freshness(_thin_minutes(spark, sf_dir), CLOCK),
     "ingest_status": _panel(ingest_status),
     "panel_1h": _panel(panels.panel_1h),
     "panel_1h_symbol": _panel(panels.panel_1h, symbol=SYMBOL),
