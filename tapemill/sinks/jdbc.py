@@ -38,6 +38,88 @@ def merge_statement(target: str, staging: str) -> str:
     )
 
 
+def ledger_statement(ledger: str) -> str:
+    """Table of the batches that each job has merged."""
+    columns = "job TEXT NOT NULL, epoch BIGINT NOT NULL, merged_at TIMESTAMPTZ NOT NULL DEFAULT CURRENT_TIMESTAMP"
+    return f"CREATE TABLE IF NOT EXISTS {ledger} ({columns}, PRIMARY KEY (job, epoch))"
+
+
+def entry_statement(ledger: str, job: str, epoch: int) -> str:
+    """Enter a batch; in the merge's transaction, so both are there or neither."""
+    return f"INSERT INTO {ledger} (job, epoch) VALUES ({_quoted(job)}, {int(epoch)})"
+
+
+def last_statement(ledger: str, job: str) -> str:
+    """The newest batch of a job that has been merged, null before the first."""
+    return f"SELECT MAX(epoch) FROM {ledger} WHERE job = {_quoted(job)}"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def staging_name(staging: str, epoch: int, tables: int = 2) -> str:
+    """Staging tables take turns, so a writer of an earlier batch that still runs does not fill this batch's."""
+    return f"{staging}_{epoch % tables}"
+
+
+def merge_once(connection: Any, target: str, staging: str, ledger: str, job: str, epoch: int) -> bool:
+    """Merge a staged batch and enter it in one transaction; False if it or a later one has been entered.
+
+    A replayed batch then changes nothing, also one that comes after a later batch has replaced its rows. Of two
+    writers of one batch the ledger's key lets one commit.
+    """
+    cursor = connection.cursor()
+    cursor.execute(last_statement(ledger, job))
+    last = cursor.fetchone()[0]
+    if last is not None and last >= epoch:
+        return False
+    try:
+        cursor.execute(entry_statement(ledger, job, epoch))
+        cursor.execute(merge_statement(target, staging))
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    return True
+
+
+def upsert_epoch_jdbc(
+    bars: DataFrame,
+    epoch: int,
+    target: str,
+    staging: str,
+    ledger: str,
+    job: str,
+    connect: Callable[[], Any],
+    now: Now = None,
+    **options: str,
+) -> bool:
+    """`upsert_jdbc` for the batches of a stream, each merged once; whether this one was.
+
+    Create `target` and the tables that `staging_name` gives with `create_statement`, `ledger` with
+    `ledger_statement`. A batch that the ledger has is not staged at all. `connect` opens a DB-API connection that does
+    not commit by itself.
+    """
+    connection = connect()
+    try:
+        cursor = connection.cursor()
+        cursor.execute(last_statement(ledger, job))
+        last = cursor.fetchone()[0]
+        if last is not None and last >= epoch:
+            return False
+        own = staging_name(staging, epoch)
+        _stage(bars, own, now, options)
+        return merge_once(connection, target, own, ledger, job, epoch)
+    finally:
+        connection.close()
+
+
+def _stage(bars: DataFrame, staging: str, now: Now, options: dict[str, str]) -> None:
+    writer = conform_bars(bars, now).write.format("jdbc")
+    writer.options(dbtable=staging, batchsize=str(BATCH_ROWS), truncate="true", **options).mode("overwrite").save()
+
+
 def upsert_jdbc(
     bars: DataFrame,
     target: str,
@@ -52,13 +134,7 @@ def upsert_jdbc(
     starts stay instants whatever zone the database session has. Key and null constraints are the tables'
     own; in the staging table they refuse a bad batch before the merge. An empty frame changes nothing.
     """
-    (
-        conform_bars(bars, now)
-        .write.format("jdbc")
-        .options(dbtable=staging, batchsize=str(BATCH_ROWS), truncate="true", **options)
-        .mode("overwrite")
-        .save()
-    )
+    _stage(bars, staging, now, options)
     connection = connect()
     try:
         cursor = connection.cursor()

@@ -11,12 +11,12 @@ import json
 import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tapemill.functions import utc_date, utc_hour
 from tapemill.functions.temporal import Now
-from tapemill.operators.contract import ANY_NULL, VIOLATION, check_contract, conform_bars, key_counts
+from tapemill.operators.contract import ANY_NULL, check_contract, conform_bars
 from tapemill.schemas import BAR_SCHEMA, KEYS
 from tapemill.sinks.files import Folder
 
@@ -24,6 +24,13 @@ PARTITIONING = {
     "day": ["window_date"],
     "hour": ["window_date", "window_hour"],
 }
+# Rows are sorted by symbol, so a row group holds few; its Bloom filter tells whether one between its first and last is
+# among them. Sized for so many symbols to a row group.
+SYMBOLS = 10_000
+SYMBOL_FILTER = {
+    "parquet.bloom.filter.enabled#symbol": "true",
+    "parquet.bloom.filter.expected.ndv#symbol": str(SYMBOLS),
+}
 # Staged rows older than this belong to no living writer.
 ABANDONED = timedelta(days=1)
 _POINTERS = "_current/*.json"
@@ -46,13 +53,16 @@ class BarTable:
         root: str,
         partition_by: str = "hour",
         retain: timedelta = timedelta(hours=1),
+        **options: str,
     ):
         """`partition_by` "hour" keeps the rewrite of a micro-batch small; "day" has fewer folders.
 
         It counts for a new table; an existing one keeps its partitioning. `retain` is how long a replaced
-        partition stays readable: longer than the longest query over the table.
+        partition stays readable: longer than the longest query over the table. `options` go to the Parquet writer,
+        e.g. **{"parquet.block.size": "33554432"} for smaller row groups where many symbols are read singly.
         """
         self.spark = spark
+        self.options = SYMBOL_FILTER | options
         self.retain_ms = retain // timedelta(milliseconds=1)
         self.folder = Folder(spark, root)
         existing = next(iter(self._pointer()[1]), None)
@@ -75,16 +85,17 @@ class BarTable:
         """Insert the rows; on an existing key replace all measures and `updated_at`. Repeatable.
 
         The rows are first written to a staging folder, so a streaming micro-batch is computed once and
-        the merge no longer depends on it. No row passes through the driver. `keyed` says that keys are known
-        to occur once, as those of a grouping do; they are then not shuffled to be counted.
+        the merge no longer depends on it; nulls and touched partitions are observed in that pass. No row passes
+        through the driver. `keyed` says that keys are known to occur once, as those of a grouping do; they are then
+        not read again and shuffled to be counted.
         """
         self._remove_abandoned()
         staging = f"_staging/{uuid.uuid4().hex}"
         conformed = conform_bars(bars, now).withColumns({name: _partition_value(name) for name in self.parts})
-        conformed.write.parquet(self.folder.path(staging))
+        seen = self._staged(conformed, self.folder.path(staging))
         try:
             staged = self.spark.read.schema(self._ddl).parquet(self.folder.path(staging))
-            touched = self._touched(staged, keyed)
+            touched = self._touched(staged, keyed, seen)
             if touched:
                 self._replace(staged, touched)
         finally:
@@ -97,18 +108,20 @@ class BarTable:
             if changed < oldest:
                 self.folder.remove(name)
 
-    def _touched(self, staged: DataFrame, keyed: bool) -> list[str]:
+    def _staged(self, rows: DataFrame, path: str) -> dict:
+        """Write the rows; folders of the partitions they belong to, and how many of them have a null."""
+        names = [F.concat(F.lit(f"{name}="), F.col(name).cast("string")) for name in self.parts]
+        seen = Observation()
+        rows.observe(
+            seen, F.collect_set(F.concat_ws("/", *names)).alias("touched"), F.count_if(F.expr(ANY_NULL)).alias("nulls")
+        ).write.parquet(path)
+        return seen.get
+
+    def _touched(self, staged: DataFrame, keyed: bool, seen: dict) -> list[str]:
         """Folders of the partitions the staged rows belong to, once they are known to keep the contract."""
-        # The groups of key_counts lie within a partition; keyed rows are such groups already.
-        counts = staged.withColumn("violation", F.expr(ANY_NULL)) if keyed else key_counts(staged, *self.parts)
-        violation = F.col("violation") if keyed else F.expr(VIOLATION)
-        names = {name: F.col(name).cast("string").alias(name) for name in self.parts}
-        summary = (
-            counts.groupBy(*names.values()).agg(F.count_if(violation).alias("violations")).orderBy(*names).collect()
-        )
-        if any(row["violations"] for row in summary):
+        if seen["nulls"] or not keyed:
             check_contract(staged)
-        return ["/".join(f"{name}={row[name]}" for name in self.parts) for row in summary]
+        return sorted(seen["touched"])
 
     def _replace(self, staged: DataFrame, touched: list[str]) -> None:
         number, live = self._pointer()
@@ -116,7 +129,7 @@ class BarTable:
         # A crashed attempt may have left a folder the pointer does not name: never write into one.
         version = max([number, *self._versions()]) + 1
         merged = self._merged(staged, stale)
-        merged.write.partitionBy(*self.parts).parquet(self.folder.path(f"version={version}"))
+        merged.write.options(**self.options).partitionBy(*self.parts).parquet(self.folder.path(f"version={version}"))
         if self._pointer()[0] != number:
             raise RuntimeError(f"{self.folder.root} was changed by another writer; repeat the upsert")
         self._publish(version, live | dict.fromkeys(touched, version))

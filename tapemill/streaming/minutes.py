@@ -27,7 +27,7 @@ def minute_updates(
 
 def start_minute_stream(
     messages: DataFrame,
-    upsert: Callable[[DataFrame], None],
+    upsert: Callable[..., None],
     checkpoint: str,
     watermark: str = WATERMARK,
     width: str = WIDTH,
@@ -35,6 +35,7 @@ def start_minute_stream(
     processing_time: str | None = None,
     state_partitions: int | None = None,
     once: bool = False,
+    numbered: bool = False,
 ) -> StreamingQuery:
     """Emit the full current value of every touched window and hand it to `upsert`.
 
@@ -44,13 +45,14 @@ def start_minute_stream(
 
     `state_partitions` is the shuffle width and the number of state stores. The first start fixes it for the
     life of the checkpoint; the session's spark.sql.shuffle.partitions is the default. `once` adds state of its
-    own, so it too is fixed by the first start.
+    own, so it too is fixed by the first start. `numbered` gives `upsert` the number of each batch, too, which a
+    replay repeats.
     """
     writer = (
         minute_updates(messages, watermark, width, once)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _epoch: upsert(batch))
+        .foreachBatch(upsert if numbered else lambda batch, _epoch: upsert(batch))
     )
     return start_query(writer, messages.sparkSession, available_now, processing_time, state_partitions)
 

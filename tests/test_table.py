@@ -252,3 +252,23 @@ def test_statements_create_and_merge_by_key():
         connection.execute(add.format("staging") + row.format("A", "NULL"))
     with pytest.raises(duckdb.ConstraintException):
         connection.execute(add.format("staging") + row.format("A", 1))
+
+
+def test_keyed_rows_are_staged_in_one_pass(spark, table, tmp_path, monkeypatch):
+    """Nothing reads the staged rows to check them; a first upsert reads them once, to write the table."""
+    reads = []
+    check = "tapemill.sinks.table.check_contract"
+    monkeypatch.setattr(check, lambda staged: reads.append(staged))
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1), ("B", at(hours=3), 1, 1, 1)]), keyed=True)
+    assert not reads
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    assert len(reads) == 1
+    assert len(table.partitions()) == (1 if len(table.parts) == 1 else 2)
+
+
+def test_an_empty_grouping_changes_nothing(spark, table):
+    """A batch that turns out empty behind a shuffle."""
+    table.upsert(bars(spark, [("A", NOON, 1, 1, 1)]))
+    empty = bars(spark, [("B", NOON, 1, 1, 1)]).where("trade_cnt > 5").dropDuplicates(["symbol"])
+    table.upsert(empty, keyed=True)
+    assert table.read().count() == 1
