@@ -8,13 +8,26 @@ P1, P2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 # Words kept per worker before its table starts anew; bounds its memory only.
 _KEPT_WORDS = 200_000
-_hash_of: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """Hash of each word, made when the word is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        made = self[word] = xxhash.xxh3_64_intdigest(word)
+        return made
+
+
+_hash_of = _Hashes()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * P1
-    x = (x ^ (x >> np.uint64(27))) * P2
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= P1
+    x ^= x >> np.uint64(27)
+    x *= P2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def words_of(text: str) -> list[bytes]:
@@ -25,8 +38,6 @@ def words_of(text: str) -> list[bytes]:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_hash_of) > _KEPT_WORDS:
         _hash_of.clear()
-    for word in set(words).difference(_hash_of):
-        _hash_of[word] = xxhash.xxh3_64_intdigest(word)
     return np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
 
 
@@ -36,5 +47,6 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     code = np.full(len(words) - n + 1, n, np.uint64)
     for k in range(n):
-        code = code * STEP + words[k : len(words) - n + 1 + k]
+        code *= STEP
+        code += words[k : len(words) - n + 1 + k]
     return mix(code)
