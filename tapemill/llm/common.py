@@ -1,6 +1,7 @@
 """What the corpus operators share: tables, intermediate results, work on Arrow batches."""
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,18 @@ def bound_batches(spark: SparkSession | None = None) -> None:
             conf.set(name, str(most))
 
 
+@contextmanager
+def narrow_batches(spark: SparkSession, rows: int = 10_000) -> Iterator[None]:
+    """While an action over short rows runs, so many of them make a batch; the bound of bytes stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # Arrow batches are turned into Python objects in parts of about so many bytes.
 PART_BYTES = 4 << 20
 

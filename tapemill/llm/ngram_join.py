@@ -10,13 +10,13 @@ signatures with one shingle deleted are indexed too: such a segment also finds s
 shingle, and counts for two. A set too large for the band's own members only looks up as many segments as it
 needs, those with most shingles, which the fewest others have.
 
-Candidates are linked in rounds. First each member of a signature's bucket is compared with the bucket's
-smallest; what that links is one component. In buckets of more than CROWD members that still hold several
-components, each member is then compared with one other, in an order of each bucket's own, up to CROWDED_ROUNDS
-times. After that, members of different components are compared: all of a smaller bucket; of a crowded one only
-with the sets that cannot do without it. A set leaves out crowded buckets as long as its other segments suffice,
-and then takes the least crowded first; that is the cost-based allocation of what it must look up. Members of
-crowded buckets are compared in blocks, as arrays within a task. Every candidate is verified on the words of both
+Candidates are linked in two rounds. First each member of a signature's bucket is compared with the bucket's
+smallest; what that links is one component. After that, members of different components are compared: all of a bucket
+of up to CROWD members; of a crowded one only with the sets that cannot do without it. A set leaves out crowded buckets
+as long as its other segments suffice, and then takes the least crowded first; that is the cost-based allocation of what
+it must look up. Members of crowded buckets are compared in blocks, as arrays within a task. Two sets that meet in many
+crowded buckets are a candidate in the one of the smallest signature: each carries its smallest KNOWN signatures, and
+a candidate is left to a smaller signature that both carry. Every candidate is verified on the words of both
 texts. So no pair is lost, and a large group of copies costs in proportion to its size.
 
 Defined cases: words are runs of characters other than ASCII white space, with A to Z lower-cased; a text of
@@ -30,13 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tapemill.llm.common import map_rows, saved
+from tapemill.llm.common import bound_batches, map_rows, narrow_batches, saved
 from tapemill.llm.graph import components
 from tapemill.llm.wordhash import P1, P2, STEP, mix, run_hashes, word_hashes, words_of
 
@@ -52,9 +51,8 @@ CROWD = 16
 # Members of a crowded bucket are compared in blocks of about so many, by sketches of so many bytes at the most.
 BLOCK = 1024
 MOST_BYTES = 1024
-# So many rounds try to settle crowded buckets by few comparisons of each member; on the data at hand, they moved
-# more pairs than they settled.
-CROWDED_ROUNDS = 0
+# Signatures of crowded buckets that a set carries; a pair that has smaller ones in common meets again, and is lost nowhere.
+KNOWN = 64
 # Ids up to so many are broadcast; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -80,7 +78,10 @@ def _shingles(text: str) -> frozenset:
 
 def similar(a: str, b: str) -> bool:
     """The exact test, on words."""
-    first, second = _shingles(a), _shingles(b)
+    return _similar(_shingles(a), _shingles(b))
+
+
+def _similar(first: frozenset, second: frozenset) -> bool:
     return _alike(len(first & second), len(first) + len(second))
 
 
@@ -145,20 +146,25 @@ def signatures(tokens: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray,
     salt = mix(np.array([number + 1], np.uint64) * STEP)
     if not m:
         return mix(tokens ^ salt), np.zeros(size, bool), np.ones(size, np.int64)
-    place = (mix(tokens + salt) % np.uint64(m)).astype(np.int64)
+    # Tokens are mixed hashes: the upper half of one more product is even enough to deal them among m segments.
+    half = np.uint64(32)
+    place = (((tokens ^ salt) * P1 >> half) * np.uint64(m) >> half).astype(np.int16 if m < 1 << 15 else np.int64)
     order = np.argsort(place, kind="stable")
     place, tokens = place[order], mix(tokens[order] ^ salt)
-    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-    held = place[starts]
-    counts = np.diff(np.append(starts, size))
+    edges = np.empty(size + 1, bool)
+    edges[0] = edges[size] = True
+    np.not_equal(place[1:], place[:-1], out=edges[1:size])
+    edges = np.flatnonzero(edges)
+    starts, counts = edges[:-1], edges[1:] - edges[:-1]
+    held = place[starts].astype(np.int64)
     sums = np.add.reduceat(tokens, starts)
     names = mix(held.astype(np.uint64) * STEP + salt)
     exact = mix(sums + names)
     # One shingle deleted, in the first segments, where that leaves any.
-    group = np.repeat(np.arange(len(starts)), counts)
-    inside = (held[group] < DELETED) & (counts[group] > 1)
-    deleted = mix(sums[group[inside]] - tokens[inside] + names[group[inside]])
     double = (held < DELETED) & (counts > 1)
+    group = np.repeat(np.flatnonzero(double), counts[double])
+    inside = np.repeat(double, counts)
+    deleted = mix(sums[group] - tokens[inside] + names[group])
     worth = 1 + double
     if size >= 2 << number:
         # Too large for the band's own members: look up what is needed, the best-filled segments first.
@@ -234,9 +240,11 @@ def _shared(signed: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            apart = pc.less(batch.column(2), 0)
-            yield digests(batch.filter(apart))
-            held.append(batch.filter(pc.invert(apart)).select([0, 1, 2]))
+            apart = batch.column(2).to_numpy() < 0
+            if apart.any():
+                yield digests(batch.filter(pa.array(apart)))
+                batch = batch.filter(pa.array(~apart))
+            held.append(batch.select([0, 1, 2]))
         table = pa.Table.from_batches(held, pa.schema(list(read)[:3]))
         del held
         names = table.column(0).to_numpy()
@@ -292,16 +300,20 @@ def _verified(pairs: DataFrame, digests: DataFrame, docs: DataFrame, id_column:
     sides = [texts.select(F.col("doc").alias(side), F.col("text").alias(f"text_{side}")) for side in "ab"]
 
     def rows_of(batches: Iterator[dict[str, list]]) -> Iterator[list]:
+        known, tokens, words = None, None, None
         for batch in batches:
-            links, known, tokens = [], None, None
+            links = []
             for a, b, first, second in zip(*batch.values(), strict=True):
-                if first is not known:
-                    known, tokens = first, shingle_set(first)
+                # Pairs of one document mostly follow one another.
+                if first != known:
+                    known, tokens, words = first, shingle_set(first), None
                 others = shingle_set(second)
                 shared = len(np.intersect1d(tokens, others, assume_unique=True))
                 # Hashes may say too much, never too little; words decide.
-                if _alike(shared, len(tokens) + len(others)) and similar(first, second):
-                    links.append((a, b))
+                if _alike(shared, len(tokens) + len(others)):
+                    words = _shingles(first) if words is None else words
+                    if _similar(words, _shingles(second)):
+                        links.append((a, b))
             yield [[a for a, _ in links], [b for _, b in links]]
 
     joined = pairs.join(sides[1], "b").join(sides[0], "a")
@@ -311,7 +323,9 @@ def _verified(pairs: DataFrame, digests: DataFrame, docs: DataFrame, id_column:
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every document: size of its set, smallest id that links lead to."""
     docs = docs.where(F.col(id_column).isNotNull())
-    found = saved(_shared(_signed(docs, id_column, text_column)), "ngram-shared")
+    shared = _shared(_signed(docs, id_column, text_column))
+    with narrow_batches(docs.sparkSession):
+        found = saved(shared, "ngram-shared")
     digests = found.where(F.col("kind") == _DIGEST_ROW).select("doc", "size", "low", "high", "sketch")
     shared = found.where(F.col("kind") != _DIGEST_ROW).select("signature", "doc", "kind", "first")
     filled = digests.where("size > 0")
@@ -327,17 +341,9 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     members = saved(stands.where("doc != first").distinct(), "ngram-members")
     verify = lambda pairs: _verified(pairs, digests, docs, id_column, text_column)
     links = verify(members.select(F.col("first").alias("a"), F.col("doc").alias("b")).distinct())
-    for rounds_left in reversed(range(CROWDED_ROUNDS + 1)):
-        linked = saved(components(links), "ngram-linked")
-        links = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        still = _unsettled(members, linked, digests)
-        crowded = still.where(F.col("members") > CROWD)
-        if not rounds_left or crowded.isEmpty():
-            break
-        more = verify(_next_in_bucket(crowded))
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
+    linked = saved(components(links), "ngram-linked")
+    links = linked.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    still = _unsettled(members, linked, digests)
     links = links.unionByName(verify(_remaining(still, digests)))
     places = components(links.unionByName(equal.select(F.col("stand_in").alias("a"), F.col("doc").alias("b"))))
     sizes = digests.groupBy("doc").agg(F.max("size").cast("bigint").alias("n_shingles"))
@@ -356,14 +362,6 @@ def _unsettled(members: DataFrame, linked: DataFrame, digests: DataFrame) -> Dat
     return saved(placed.join(mixed, "signature").join(sizes, "doc"), "ngram-mixed")
 
 
-def _next_in_bucket(crowded: DataFrame) -> DataFrame:
-    """Each member with the one before it, in an order of each bucket's own: as many pairs as members."""
-    order = Window.partitionBy("signature").orderBy(F.xxhash64("signature", "doc"), "doc")
-    beside = crowded.withColumns({"b": F.lag("doc").over(order), "part": F.lag("component").over(order)})
-    pairs = beside.where("component != part").select(F.least("doc", "b").alias("a"), F.greatest("doc", "b").alias("b"))
-    return pairs.distinct()
-
-
 def _remaining(still: DataFrame, digests: DataFrame) -> DataFrame:
     """Pairs of a bucket that neither its smallest document nor a component has settled."""
     sides = [
@@ -383,7 +381,8 @@ def _crowded_pairs(crowded: DataFrame, digests: DataFrame) -> DataFrame:
     """Plausible pairs of sets that cannot do without a crowded bucket with the bucket's other members.
 
     A bucket's asking members are cut into blocks, and so are all its members; each pair of blocks is one group,
-    compared within a task as arrays. Only plausible pairs leave it.
+    compared within a task as arrays, one group after the other. Only plausible pairs leave it, each from the bucket
+    of the smallest signature that the two are known to meet in.
     """
     # The cheapest of its crowded buckets that a set cannot do without, by what it counts them for.
     own = Window.partitionBy("doc", F.expr("kind & 254"))
@@ -398,36 +397,74 @@ def _crowded_pairs(crowded: DataFrame, digests: DataFrame) -> DataFrame:
     rows = saved(costs.select("signature", "doc", "kind", "component", "members", asks), "ngram-crowded")
     asked = rows.groupBy("signature").agg(F.count_if("asks").alias("asking")).where("asking > 0")
     of_doc = digests.select("doc", "size", "sketch")
-    rows = rows.join(asked, "signature").join(of_doc, "doc")
+    rows = rows.join(asked, "signature").join(of_doc, "doc").join(_known(rows), "doc", "left")
     left, right = (F.ceil(F.col(name) / BLOCK).cast("int") for name in ("asking", "members"))
     own_block = lambda n: F.pmod(F.xxhash64("doc"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     columns = ["signature", "doc", "kind", "component", "size", "sketch"]
-    asking = rows.where("asks").select(*columns, F.lit(True).alias("asks"), own_block(left).alias("x"), every(right).alias("y"))
-    others = rows.select(*columns, F.lit(False).alias("asks"), own_block(right).alias("y"), every(left).alias("x"))
-    dealt = asking.unionByName(others).select("signature", "x", "y", *columns[1:], "asks")
-    read = to_arrow_schema(dealt.schema)
+    wanted, held = F.col("wanted").alias("known"), F.col("held").alias("known")
+    asking = rows.where("asks").select(*columns, F.lit(True).alias("asks"), wanted, own_block(left).alias("x"), every(right).alias("y"))
+    others = rows.select(*columns, F.lit(False).alias("asks"), held, own_block(right).alias("y"), every(left).alias("x"))
+    dealt = asking.unionByName(others).select("signature", "x", "y", *columns[1:], "asks", "known")
+    keys = dealt.columns[:3]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches, read)
-        keys = [table.column(i).to_numpy() for i in range(3)]
-        order = np.lexsort(keys[::-1])
-        docs, kinds, parts, sizes = (table.column(i).to_numpy() for i in range(3, 7))
-        held, asking = table.column(7).to_pylist(), table.column(8).to_numpy()
-        edges = np.flatnonzero(
-            np.append(True, np.logical_or.reduce([key[order][1:] != key[order][:-1] for key in keys]))
-        )
-        found: list[np.ndarray] = []
-        for group in np.split(order, edges[1:]) if len(order) else ():
-            i, j = _plausible_in(group[asking[group]], group[~asking[group]], kinds, parts, sizes, held)
-            found.append(np.column_stack([np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])]))
-            if sum(map(len, found)) > 1 << 18:
-                found = [np.unique(np.concatenate(found), axis=0)]
-        # A pair meets in several buckets: it leaves the task once.
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        yield pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    return dealt.repartition("signature", "x", "y").mapInArrow(work, "a bigint, b bigint").distinct()
+        found = np.zeros((0, 2), np.int64)
+        for group in _groups(batches, len(keys)):
+            found = np.concatenate([found, _met(group)])
+            if len(found) > 1 << 16:
+                # A pair may meet in several buckets: it leaves the task once, or seldom more.
+                found = np.unique(found, axis=0)
+                if len(found) > 1 << 15:
+                    yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                    found = found[:0]
+        found = np.unique(found, axis=0)
+        yield pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+
+    bound_batches(dealt.sparkSession)
+    sorted_groups = dealt.repartition(*keys).sortWithinPartitions(*keys)
+    return sorted_groups.mapInArrow(work, "a bigint, b bigint").distinct()
+
+
+def _known(rows: DataFrame) -> DataFrame:
+    """Of each set, the smallest signatures of crowded buckets that it asks for (wanted) or is in (held).
+
+    Those with a shingle deleted are left out, as two such do not meet in their bucket.
+    """
+    plain = rows.where("kind & 1 = 0")
+    smallest = lambda column: F.slice(F.array_sort(F.collect_set(column)), 1, KNOWN)
+    return plain.groupBy("doc").agg(
+        smallest(F.when(F.col("asks"), F.col("signature"))).alias("wanted"), smallest(F.col("signature")).alias("held")
+    )
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that are equal in the first columns, of sorted rows."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        rest = pa.concat_tables([rest, table]) if rest is not None else table
+        columns = [rest.column(i).to_numpy() for i in range(keys)]
+        edges = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        for start, end in zip([0, *edges], edges, strict=False):
+            yield rest.slice(start, end - start)
+        if len(edges):
+            rest = rest.slice(edges[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def _met(group: pa.Table) -> np.ndarray:
+    """Plausible pairs of a group's asking and other rows that are not left to a smaller signature."""
+    signature = group.column(0)[0].as_py()
+    docs, kinds, parts, sizes = (group.column(i).to_numpy() for i in range(3, 7))
+    sketches, asking = group.column(7).to_pylist(), group.column(8).to_numpy()
+    i, j = _plausible_in(np.flatnonzero(asking), np.flatnonzero(~asking), kinds, parts, sizes, sketches)
+    if len(i):
+        smaller = [frozenset(x for x in own or () if x < signature) for own in group.column(9).to_pylist()]
+        here = [smaller[a].isdisjoint(smaller[b]) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+        i, j = i[here], j[here]
+    return np.column_stack([np.minimum(docs[i], docs[j]), np.maximum(docs[i], docs[j])])
 
 
 def _words(side: np.ndarray, held: list[bytes], n: int) -> np.ndarray:

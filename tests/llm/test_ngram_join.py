@@ -70,6 +70,33 @@ def test_crowded_buckets_lose_no_pair(documents, monkeypatch):
     assert result(documents(rows)) == brute_force(rows)
 
 
+@pytest.mark.parametrize("known", [0, 3, 64])
+def test_near_copies_that_hardly_miss(documents, monkeypatch, known):
+    """A third of the rows around one text, most pairs of them just not similar enough: all in the same crowded buckets."""
+    monkeypatch.setattr(ngram_join, "KNOWN", known)
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    rng = random.Random(known)
+    base = [f"b{i}" for i in range(150)]
+    rows = [" ".join(w if rng.random() > 0.017 else f"e{rng.randint(0, 10**6)}" for w in base) for _ in range(250)]
+    rows += [" ".join(f"o{rng.randint(0, 400)}" for _ in range(80)) for _ in range(250)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    expected = brute_force(rows)
+    assert len({of for _, of in expected.values()}) > 260
+    assert result(documents(rows)) == expected
+
+
+def test_groups_of_sorted_rows():
+    import pyarrow as pa
+
+    keys = [1, 1, 1, 2, 2, 3, 5, 5, 5, 5]
+    table = pa.table({"k": keys, "x": [0] * 10, "y": [0] * 10, "v": list(range(10))})
+    for size in (1, 2, 3, 10):
+        made = [g.column("v").to_pylist() for g in ngram_join._groups(iter(table.to_batches(size)), 3)]
+        assert made == [[0, 1, 2], [3, 4], [5], [6, 7, 8, 9]]
+    assert list(ngram_join._groups(iter([]), 3)) == []
+
+
 def test_all_texts_of_an_id_link(documents):
     first, second, third, fourth = ([f"{c}{i}" for i in range(24)] for c in "xyzw")
     rows = [(1, first), (5, first), (5, second), (9, [*second[:-1], "other"])]
