@@ -31,10 +31,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.remove_repeated_chunks(docs)
+    # A column of the documents' own that has the operator's name steps aside for it.
+    names = [name if name.lower() != "removed_chunks" else _free(docs, name) for name in docs.columns]
+    cut = line_dedup.remove_repeated_chunks(docs.toDF(*names))
     kept = cut.where((F.col("removed_chunks") == 0) | (F.col("text") != ""))
     changed = F.when(F.col("removed_chunks") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(docs.columns)
+    return kept.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(names).toDF(*docs.columns)
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """The name with as many underscores before it as no column has."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
